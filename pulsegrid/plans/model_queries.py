@@ -1,6 +1,258 @@
-"""Registered model queries (M1-M6, E8/E9 flagship, S10)."""
+"""Registered model queries (M1-M6, M4, S9, S10, E8/E9 on the flagship data).
+
+Fits whose results have a closed-form check get an oracle:
+
+* M1: at the unregularised optimum of logistic regression the score
+  equations hold, ``avg(p·z_j) = avg(y·z_j)`` and ``avg(p) = avg(y)``.  The
+  query returns the left side from the fitted model, the oracle the right side.
+* M2: a single depth-1 tree without bootstrap on all features splits where
+  the weighted gini impurity is smallest among the midpoints of consecutive
+  distinct values; SQL finds that arg-min.
+* M3: on a separable label a linear SVC classifies every training row right.
+* S9: a saved and re-loaded model predicts exactly as the fitted one.
+
+Fits of the full three-model flow, loss curves and timings have no closed
+form and are checked rows-only.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+import uuid
+
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import StandardScaler
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pulsegrid.operators import evaluate as E
+from pulsegrid.operators.features import FEATURES, SCALED, assembler
+from pulsegrid.operators.models import (
+    LOGISTIC,
+    SVC,
+    ModelSettings,
+    fit_model,
+    objective_history,
+    probability_of_one,
+    root_split,
+    score_all,
+)
+from pulsegrid.operators.neural import fit_with_curve
+from pulsegrid.plans.catalog import FEATS, LABEL_R_SQL, ROUND, SPLIT_NAMES, SPLIT_SEED, split_case_sql
+from pulsegrid.plans.classify import classification_grid, embeddings_signal, prepare
+from pulsegrid.session import scratch_path
+from pulsegrid.sources.sinks import load_model, save_model
+from pulsegrid.sources.tables import read_table
+
+# ---------------------------------------------------------------------------
+# Fixed values of the model checks.
+# ---------------------------------------------------------------------------
+SCORE_ROUND = 4            # score-equation sides agree to ~1e-8; compare at 4 decimals
+LR_TOL = 1e-10
+STUMP_BINS = 64
+SVC_THRESHOLD_QTY = 30     # separable label: l_quantity > 30
+XOR_TAX = 0.07             # stump label: (l_quantity > 30) <> (l_tax >= 0.07)
+MLP_HIDDEN = 16
+MLP_CHUNK = 10
+MLP_CHUNKS = 5
+MLP_SEED = 7
+
+
+def _scaled_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem", FEATS + ["l_returnflag"])
+    sig = li.withColumn("label", (F.col("l_returnflag") == "R").cast("double"))
+    pre = Pipeline(stages=[assembler(FEATS),
+                           StandardScaler(inputCol=FEATURES, outputCol=SCALED,
+                                          withMean=True, withStd=True)]).fit(sig)
+    return pre.transform(sig).select(SCALED, "label")
+
+
+def q_m1_lr_score_equations(spark, sf_dir):
+    """M1: fitted LR probabilities reproduce the label moments (score equations)."""
+    from pyspark.ml.functions import vector_to_array
+
+    data = _scaled_lineitem(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lr = LogisticRegression(featuresCol=SCALED, labelCol="label", tol=LR_TOL, maxIter=200).fit(data)
+        scored = lr.transform(data).select(vector_to_array(SCALED).alias("z"),
+                                           probability_of_one("probability").alias("p"))
+        aggs = [F.avg("p").alias("intercept")] + [
+            F.avg(F.col("p") * F.col("z")[i]).alias(c) for i, c in enumerate(FEATS)]
+        row = scored.agg(*aggs)
+        parts = ", ".join(f"'{c}', {c}" for c in ["intercept"] + FEATS)
+        out = row.selectExpr(f"stack({len(FEATS) + 1}, {parts}) as (term, moment)")
+        out = out.select("term", F.round("moment", SCORE_ROUND).alias("moment")).persist()
+        out.count()
+        return out
+    finally:
+        data.unpersist()
+
+
+def _stump_data(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity", "l_tax"])
+    label = ((F.col("l_quantity") > SVC_THRESHOLD_QTY) != (F.col("l_tax") >= XOR_TAX)).cast("double")
+    return assembler(["l_quantity", "l_tax"]).transform(li.withColumn("label", label))
+
+
+def q_m2_rf_stump_threshold(spark, sf_dir):
+    """M2: one tree, depth 1, no bootstrap, all features: root feature and threshold."""
+    data = _stump_data(spark, sf_dir)
+    rf = RandomForestClassifier(featuresCol=FEATURES, labelCol="label", numTrees=1, maxDepth=1,
+                                bootstrap=False, featureSubsetStrategy="all",
+                                maxBins=STUMP_BINS, seed=1).fit(data)
+    split = root_split(rf)
+    names = ["l_quantity", "l_tax"]
+    schema = T.StructType([T.StructField("feature", T.StringType()),
+                           T.StructField("threshold", T.DoubleType())])
+    rows = [] if split is None else [(names[split[0]], split[1])]
+    return spark.createDataFrame(rows, schema)
+
+
+def q_m3_svc_separable_counts(spark, sf_dir):
+    """M3: linear SVC on a separable label; predicted class counts."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_quantity"])
+    data = assembler(["l_quantity"]).transform(
+        li.withColumn("label", (F.col("l_quantity") > SVC_THRESHOLD_QTY).cast("double")))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        svc = LinearSVC(featuresCol=FEATURES, labelCol="label").fit(data)
+        out = svc.transform(data).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).persist()
+        out.count()
+        return out
+    finally:
+        data.unpersist()
+
+
+def q_s9_model_roundtrip(spark, sf_dir):
+    """S9 + A5: a saved and re-loaded preprocessing + LR pipeline predicts identically."""
+    signal = embeddings_signal(spark, sf_dir)
+    scaled, pre = prepare(signal, "vec_id", "x")
+    train = scaled.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lr = fit_model(LOGISTIC, train)
+    finally:
+        train.unpersist()
+    fitted = PipelineModel(stages=[pre, lr])
+    path = scratch_path(spark, "model")
+    save_model(fitted, path)
+    loaded = load_model(path)
+    from pulsegrid.operators.features import array_to_features
+    from pulsegrid.operators.split import with_split
+
+    held = with_split(signal, (0.7, 0.2, 0.1), SPLIT_NAMES, SPLIT_SEED, "vec_id").filter(
+        F.col("split") != "train")
+    held = array_to_features(held, "x")
+    a = fitted.transform(held).select("vec_id", F.col("prediction_lr").alias("actual"))
+    b = loaded.transform(held).select("vec_id", F.col("prediction_lr").alias("prediction"))
+    return E.exact_match(a.join(b, "vec_id"))
+
+
+def _flagship_result(spark, sf_dir):
+    return classification_grid(embeddings_signal(spark, sf_dir), "vec_id", "x")
+
+
+def q_e8_flagship_grid(spark, sf_dir):
+    """E1-E8 over LR, RF and SVC on embeddings (label < 5): test and validation."""
+    return _flagship_result(spark, sf_dir).metrics
+
+
+def q_e9_x8_timings(spark, sf_dir):
+    """E9 + X8: preprocessing, per-model fit, scoring and total seconds."""
+    return _flagship_result(spark, sf_dir).timings
+
+
+def q_m4_scored_rows(spark, sf_dir):
+    """M4: every held-out row scored by every model (key, split, model, prediction)."""
+    signal = embeddings_signal(spark, sf_dir)
+    scaled, _ = prepare(signal, "vec_id", "x")
+    train = scaled.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        models = {n: fit_model(n, train) for n in (LOGISTIC, SVC)}
+    finally:
+        train.unpersist()
+    held = scaled.filter(F.col("split") != "train")
+    return score_all(held, models).select("vec_id", "split", "label", "model", "prediction")
+
+
+def q_m5_objective_history(spark, sf_dir):
+    """M5 + S10: objective per optimizer iteration for LR and SVC (RF has none)."""
+    res = _flagship_result(spark, sf_dir)
+    return objective_history(spark, res.models)
+
+
+def q_m6_perceptron_curve(spark, sf_dir):
+    """M6 + A4: perceptron fitted in chunks; train/validation loss after each chunk."""
+    signal = embeddings_signal(spark, sf_dir)
+    scaled, _ = prepare(signal, "vec_id", "x", weights=(0.7, 0.3), split_names=("train", "validation"))
+    tagged = scaled.withColumn(
+        "split", F.when(F.col("split") == "train", "train").otherwise("validation")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        width = len(tagged.select(SCALED).first()[0])
+        _, curve = fit_with_curve(spark, tagged, [width, MLP_HIDDEN, 2], MLP_CHUNK, MLP_CHUNKS,
+                                  MLP_SEED)
+        curve = curve.persist()
+        curve.count()
+        return curve
+    finally:
+        tagged.unpersist()
+
+
+QUERIES = {
+    "m1_lr_score_equations": q_m1_lr_score_equations,
+    "m2_rf_stump_threshold": q_m2_rf_stump_threshold,
+    "m3_svc_separable_counts": q_m3_svc_separable_counts,
+    "s9_model_roundtrip": q_s9_model_roundtrip,
+    "e8_flagship_grid": q_e8_flagship_grid,
+    "e9_x8_timings": q_e9_x8_timings,
+    "m4_scored_rows": q_m4_scored_rows,
+    "m5_objective_history": q_m5_objective_history,
+    "m6_perceptron_curve": q_m6_perceptron_curve,
+}
+
+
+def _score_eq_sql() -> str:
+    z = ", ".join(f"({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS z_{c}" for c in FEATS)
+    parts = " UNION ALL ".join(
+        [f"SELECT 'intercept' AS term, round(avg(y), {SCORE_ROUND}) AS moment FROM z"]
+        + [f"SELECT '{c}', round(avg(y * z_{c}), {SCORE_ROUND}) FROM z" for c in FEATS])
+    return f"WITH z AS (SELECT {LABEL_R_SQL} AS y, {z} FROM lineitem) {parts}"
+
+
+def _stump_sql() -> str:
+    y = (f"CAST((l_quantity > {SVC_THRESHOLD_QTY}) <> (l_tax >= {XOR_TAX}) AS DOUBLE)")
+    return (
+        f"WITH base AS (SELECT l_quantity, l_tax, {y} AS y FROM lineitem), "
+        "vals AS (SELECT 'l_quantity' AS feature, l_quantity AS v, count(*) AS n, sum(y) AS pos "
+        "FROM base GROUP BY l_quantity UNION ALL "
+        "SELECT 'l_tax', l_tax, count(*), sum(y) FROM base GROUP BY l_tax), "
+        "cum AS (SELECT feature, v, lead(v) OVER (PARTITION BY feature ORDER BY v) AS v_next, "
+        "sum(n) OVER (PARTITION BY feature ORDER BY v) AS nl, "
+        "sum(pos) OVER (PARTITION BY feature ORDER BY v) AS pl, "
+        "sum(n) OVER (PARTITION BY feature) AS nt, sum(pos) OVER (PARTITION BY feature) AS pt "
+        "FROM vals), "
+        "cand AS (SELECT feature, (v + v_next) / 2 AS threshold, CAST(nl AS DOUBLE) AS nl, "
+        "CAST(pl AS DOUBLE) AS pl, CAST(nt - nl AS DOUBLE) AS nr, CAST(pt - pl AS DOUBLE) AS pr "
+        "FROM cum WHERE v_next IS NOT NULL), "
+        "g AS (SELECT feature, threshold, "
+        "nl * (1 - (pl / nl) * (pl / nl) - (1 - pl / nl) * (1 - pl / nl)) + "
+        "nr * (1 - (pr / nr) * (pr / nr) - (1 - pr / nr) * (1 - pr / nr)) AS w_gini FROM cand) "
+        "SELECT feature, CAST(threshold AS DOUBLE) AS threshold FROM g "
+        "ORDER BY w_gini, feature LIMIT 1")
+
+
+def _roundtrip_sql() -> str:
+    split = split_case_sql(SPLIT_SEED, ["vec_id"])
+    return (f"SELECT true AS all_equal, count(*) AS n FROM embeddings WHERE {split} <> 'train'")
+
+
+ORACLES = {
+    "m1_lr_score_equations": _score_eq_sql(),
+    "m2_rf_stump_threshold": _stump_sql(),
+    "m3_svc_separable_counts":
+        f"SELECT CAST(l_quantity > {SVC_THRESHOLD_QTY} AS DOUBLE) AS prediction, count(*) AS n "
+        "FROM lineitem GROUP BY 1",
+    "s9_model_roundtrip": _roundtrip_sql(),
+}
