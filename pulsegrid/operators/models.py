@@ -143,3 +143,28 @@ def probability_of_one(col: str) -> F.Column:
     from pyspark.ml.functions import vector_to_array
 
     return vector_to_array(F.col(col))[1]
+
+
+def persist_for_iterations(df: DataFrame, min_rows_per_partition: int = 100_000) -> DataFrame:
+    """Persist a training set for iterative fitters, spread over enough partitions.
+
+    Each optimizer iteration is one job over the partitions of the training
+    set.  When the input has fewer partitions than its row count warrants (a
+    file with a single row group is read by one task), the rows are spread to
+    ``min(defaultParallelism, rows / min_rows_per_partition)`` partitions so
+    that the iterations use every core.  Small sets stay in one partition:
+    there, the per-task cost of every iteration outweighs the work.  Inputs
+    that already have enough partitions are persisted as they are.
+    """
+    from pyspark import StorageLevel
+
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    target = max(1, min(parallelism, n // max(1, min_rows_per_partition)))
+    if cached.rdd.getNumPartitions() >= target:
+        return cached
+    spread = cached.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    cached.unpersist()
+    return spread

@@ -18,7 +18,6 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +25,13 @@ from pyspark.sql import types as T
 
 from pulsegrid.operators.evaluate import metric_grid
 from pulsegrid.operators.features import FEATURES, SCALED, array_to_features, fit_preprocessing
-from pulsegrid.operators.models import MODEL_NAMES, ModelSettings, fit_model, score_all
+from pulsegrid.operators.models import (
+    MODEL_NAMES,
+    ModelSettings,
+    fit_model,
+    persist_for_iterations,
+    score_all,
+)
 from pulsegrid.operators.split import balance, with_split
 from pulsegrid.sources.tables import read_table
 
@@ -93,7 +98,7 @@ def classification_grid(df: DataFrame, key: str | Sequence[str], features: str |
                           balance_fractions, balance_seed, fit_on)
     timings = [("all", "preprocess_fit", time.perf_counter() - t_all)]
 
-    train = scaled.filter(F.col("split") == SPLITS[0]).persist(StorageLevel.MEMORY_AND_DISK)
+    train = persist_for_iterations(scaled.filter(F.col("split") == SPLITS[0]))
     fitted = {}
     try:
         for name in models:

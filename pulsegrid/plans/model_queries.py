@@ -35,6 +35,7 @@ from pulsegrid.operators.models import (
     ModelSettings,
     fit_model,
     objective_history,
+    persist_for_iterations,
     probability_of_one,
     root_split,
     score_all,
@@ -73,7 +74,7 @@ def q_m1_lr_score_equations(spark, sf_dir):
     """M1: fitted LR probabilities reproduce the label moments (score equations)."""
     from pyspark.ml.functions import vector_to_array
 
-    data = _scaled_lineitem(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    data = persist_for_iterations(_scaled_lineitem(spark, sf_dir))
     try:
         lr = LogisticRegression(featuresCol=SCALED, labelCol="label", tol=LR_TOL, maxIter=200).fit(data)
         scored = lr.transform(data).select(vector_to_array(SCALED).alias("z"),
@@ -115,7 +116,7 @@ def q_m3_svc_separable_counts(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_quantity"])
     data = assembler(["l_quantity"]).transform(
         li.withColumn("label", (F.col("l_quantity") > SVC_THRESHOLD_QTY).cast("double")))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = persist_for_iterations(data)
     try:
         svc = LinearSVC(featuresCol=FEATURES, labelCol="label").fit(data)
         out = svc.transform(data).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).persist()
@@ -129,7 +130,7 @@ def q_s9_model_roundtrip(spark, sf_dir):
     """S9 + A5: a saved and re-loaded preprocessing + LR pipeline predicts identically."""
     signal = embeddings_signal(spark, sf_dir)
     scaled, pre = prepare(signal, "vec_id", "x")
-    train = scaled.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    train = persist_for_iterations(scaled.filter(F.col("split") == "train"))
     try:
         lr = fit_model(LOGISTIC, train)
     finally:
@@ -167,7 +168,7 @@ def q_m4_scored_rows(spark, sf_dir):
     """M4: every held-out row scored by every model (key, split, model, prediction)."""
     signal = embeddings_signal(spark, sf_dir)
     scaled, _ = prepare(signal, "vec_id", "x")
-    train = scaled.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
+    train = persist_for_iterations(scaled.filter(F.col("split") == "train"))
     try:
         models = {n: fit_model(n, train) for n in (LOGISTIC, SVC)}
     finally:
@@ -188,7 +189,8 @@ def q_m6_perceptron_curve(spark, sf_dir):
     scaled, _ = prepare(signal, "vec_id", "x", weights=(0.7, 0.3), split_names=("train", "validation"))
     tagged = scaled.withColumn(
         "split", F.when(F.col("split") == "train", "train").otherwise("validation")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    tagged = persist_for_iterations(tagged)
     try:
         width = len(tagged.select(SCALED).first()[0])
         _, curve = fit_with_curve(spark, tagged, [width, MLP_HIDDEN, 2], MLP_CHUNK, MLP_CHUNKS,
