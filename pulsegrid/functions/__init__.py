@@ -2,6 +2,7 @@
 
 from pulsegrid.functions.hashing import hash_hex, hash_unit
 from pulsegrid.functions.scalar import (
+    affine_array,
     bce_with_logits,
     dot,
     elapsed_seconds,
@@ -13,6 +14,6 @@ from pulsegrid.functions.scalar import (
 )
 
 __all__ = [
-    "hash_hex", "hash_unit", "bce_with_logits", "dot", "elapsed_seconds",
+    "affine_array", "hash_hex", "hash_unit", "bce_with_logits", "dot", "elapsed_seconds",
     "fixed_decimals", "percent_of", "rint", "sigmoid", "zscore",
 ]

@@ -50,10 +50,23 @@ def percent_of(numerator: str | Column, denominator: str | Column) -> Column:
 
 
 def dot(x: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:
-    """Linear score ``x · w + b`` for an array<double> column ``x``."""
-    w = F.array(*[F.lit(float(v)) for v in weights])
-    products = F.zip_with(_c(x).cast("array<double>"), w, lambda a, b: a * b)
-    return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(bias))
+    """Linear score ``x · w + b`` for an array column ``x`` and fixed weights.
+
+    Written out as ``((0 + x[0]*w0) + x[1]*w1) + ...`` so it stays inside
+    whole-stage codegen (a higher-order ``aggregate`` would be interpreted).
+    """
+    arr = _c(x)
+    acc = F.lit(0.0)
+    for i, w in enumerate(weights):
+        acc = acc + arr[i].cast("double") * F.lit(float(w))
+    return acc + F.lit(float(bias))
+
+
+def affine_array(x: str | Column, shift: Sequence[float], scale: Sequence[float]) -> Column:
+    """``[(x[i] - shift[i]) / scale[i]]`` element-wise; NULL where ``scale[i]`` is 0."""
+    arr = _c(x)
+    return F.array(*[F.try_divide(arr[i].cast("double") - F.lit(float(m)), F.lit(float(s)))
+                     for i, (m, s) in enumerate(zip(shift, scale))])
 
 
 def elapsed_seconds(begin: float, end: float) -> float:

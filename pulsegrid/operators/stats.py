@@ -73,3 +73,25 @@ def vector_stats(df: DataFrame, vector_col: str) -> DataFrame:
     arrays = s.select(vector_to_array("s.mean").alias("mean"), vector_to_array("s.std").alias("std"))
     return arrays.select(F.posexplode(F.arrays_zip("mean", "std")).alias("feature", "v")).select(
         "feature", F.col("v.mean").alias("mean"), F.col("v.std").alias("std_samp"))
+
+
+def array_width(df: DataFrame, col: str) -> int:
+    """Length of an array column, read from one row."""
+    row = df.select(F.size(col).alias("w")).first()
+    return int(row["w"]) if row is not None else 0
+
+
+def element_stats(df: DataFrame, col: str, width: int) -> tuple[list, list, list]:
+    """Per-element mean, sample std and population std of an array column.
+
+    One global aggregate with ``3 × width`` expressions (partial aggregation
+    on every task); only ``3 × width`` numbers reach the driver.
+    """
+    x = F.col(col)
+    aggs = []
+    for i in range(width):
+        v = x[i].cast("double")
+        aggs += [F.avg(v), F.stddev_samp(v), F.stddev_pop(v)]
+    row = df.agg(*aggs).first()
+    vals = list(row)
+    return vals[0::3], vals[1::3], vals[2::3]

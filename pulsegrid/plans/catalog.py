@@ -46,6 +46,7 @@ EXACT_FRACTION = 0.7       # exact positional train share
 FIRST_N = 50               # rows taken from the validation part
 EVERY_K = 10               # every k-th logged value
 BATCH = 32                 # mini-batch size
+CHECK_N = 64               # rows of the pre-scoring loss check
 ROUND = 6
 # A mean of <= 32 two-decimal values has at most 7 decimals: round past them, not onto a tie.
 MEAN_ROUND = 9
@@ -333,6 +334,41 @@ def q_a5_p9_exact_match(spark, sf_dir):
     return E.exact_match(pairs, by=["l_linestatus"])
 
 
+def _inference(spark, sf_dir):
+    from pulsegrid.plans.inference import inference_flow
+
+    return inference_flow(spark, sf_dir, linear_predict_fn(embedding_weights(64), 0.0),
+                          seed=SPLIT_SEED, fraction=EXACT_FRACTION, first_n=FIRST_N,
+                          check_n=CHECK_N, batch_size=BATCH)
+
+
+def q_m7_inference_validation_rows(spark, sf_dir):
+    """Inference flow: first 50 validation rows scored in batches."""
+    pred = _inference(spark, sf_dir).predictions
+    return pred.select("vec_id", "pos", "actual", "prediction", _r(F.col("probability"), "probability"))
+
+
+def q_m8_inference_first_rows_loss(spark, sf_dir):
+    """Inference flow: mean log loss of the first 64 rows in key order."""
+    loss = _inference(spark, sf_dir).first_rows_loss
+    return loss.select(_r(F.col("loss"), "loss"), "n")
+
+
+def q_a5_inference_match(spark, sf_dir):
+    """Inference flow: do the 50 predictions equal the labels (A5)?"""
+    return _inference(spark, sf_dir).match
+
+
+def q_p8_xy_concat(spark, sf_dir):
+    """Features with the label appended as the last element."""
+    sig = lineitem_signal(spark, sf_dir)
+    xy = C.append_label(C.features_array(FEATS, "x"), "label", "xy")
+    out = sig.select(*LINE_KEY, xy)
+    return out.select(*LINE_KEY, F.size("xy").cast("bigint").alias("xy_len"),
+                      F.element_at("xy", -1).alias("xy_last"),
+                      _r(F.aggregate("xy", F.lit(0.0), lambda a, v: a + v), "xy_sum"))
+
+
 QUERIES: dict[str, Query] = {
     "p1_p3_signal_columns": q_p1_p3_signal_columns,
     "s1_csv_inferred": q_s1_csv_inferred,
@@ -360,6 +396,10 @@ QUERIES: dict[str, Query] = {
     "s8_report_lines": q_s8_report_lines,
     "m8_mean_bce": q_m8_mean_bce,
     "a5_p9_exact_match": q_a5_p9_exact_match,
+    "p8_xy_concat": q_p8_xy_concat,
+    "m7_inference_validation_rows": q_m7_inference_validation_rows,
+    "m8_inference_first_rows_loss": q_m8_inference_first_rows_loss,
+    "a5_inference_match": q_a5_inference_match,
 }
 
 
@@ -427,6 +467,20 @@ def _sig(z: str) -> str:
     return f"(1.0 / (1.0 + exp(-({z}))))"
 
 
+def _inference_sql() -> str:
+    md5 = md5_sql(SPLIT_SEED, ["vec_id"])
+    return (
+        "WITH e AS (SELECT vec_id, CAST(label < 5 AS DOUBLE) AS y, "
+        "unnest(range(0, len(embedding))) AS j, unnest(CAST(embedding AS DOUBLE[])) AS v "
+        "FROM embeddings), "
+        "st AS (SELECT j, avg(v) AS m, stddev_pop(v) AS s FROM e GROUP BY j), "
+        "zz AS (SELECT e.vec_id, e.y, sum((e.v - st.m) / st.s * "
+        "(CAST((e.j % 7) - 3 AS DOUBLE) / 10.0)) AS logit FROM e JOIN st USING (j) "
+        "GROUP BY e.vec_id, e.y), "
+        f"num AS (SELECT *, row_number() OVER (ORDER BY {md5}, vec_id) - 1 AS pos, "
+        "count(*) OVER () AS n FROM zz)")
+
+
 ORACLES: dict[str, str] = {
     "p1_p3_signal_columns":
         f"SELECT l_orderkey, l_linenumber, {_feats_sql()}, {LABEL_R_SQL} AS label FROM lineitem",
@@ -515,4 +569,21 @@ ORACLES: dict[str, str] = {
         f"count(*) AS n FROM (SELECT l_linestatus, {LABEL_R_SQL} AS label, "
         f"CAST(round_even({_sig(line_logit_sql())}, 0) AS DOUBLE) AS prediction FROM lineitem) "
         "GROUP BY l_linestatus",
+    "p8_xy_concat":
+        f"SELECT l_orderkey, l_linenumber, CAST(5 AS BIGINT) AS xy_len, {LABEL_R_SQL} AS xy_last, "
+        f"round(((((0.0 + l_quantity) + l_extendedprice) + l_discount) + l_tax) + {LABEL_R_SQL}, "
+        f"{ROUND}) AS xy_sum FROM lineitem",
+    "m7_inference_validation_rows":
+        _inference_sql() + f" SELECT vec_id, pos, y AS actual, "
+        f"CAST(round_even({_sig('logit')}, 0) AS DOUBLE) AS prediction, "
+        f"round({_sig('logit')}, {ROUND}) AS probability FROM num "
+        f"WHERE pos >= floor(CAST(n AS DOUBLE) * {_dbl(EXACT_FRACTION)}) ORDER BY pos LIMIT {FIRST_N}",
+    "m8_inference_first_rows_loss":
+        _inference_sql() + f" SELECT round(avg({bce_sql('logit', 'y')}), {ROUND}) AS loss, "
+        f"CAST({CHECK_N} AS BIGINT) AS n FROM (SELECT * FROM zz ORDER BY vec_id LIMIT {CHECK_N})",
+    "a5_inference_match":
+        _inference_sql() + ", v AS (SELECT y, "
+        f"CAST(round_even({_sig('logit')}, 0) AS DOUBLE) AS p FROM num "
+        f"WHERE pos >= floor(CAST(n AS DOUBLE) * {_dbl(EXACT_FRACTION)}) ORDER BY pos LIMIT {FIRST_N}) "
+        "SELECT bool_and(y IS NOT DISTINCT FROM p) AS all_equal, count(*) AS n FROM v",
 }
