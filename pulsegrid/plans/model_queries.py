@@ -150,8 +150,15 @@ def q_s9_model_roundtrip(spark, sf_dir):
     return E.exact_match(a.join(b, "vec_id"))
 
 
+_FLAGSHIP_RESULTS: dict = {}
+
+
 def _flagship_result(spark, sf_dir):
-    return classification_grid(embeddings_signal(spark, sf_dir), "vec_id", "x")
+    """One fitted flagship per session and data folder, shared by the queries below."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _FLAGSHIP_RESULTS:
+        _FLAGSHIP_RESULTS[key] = classification_grid(embeddings_signal(spark, sf_dir), "vec_id", "x")
+    return _FLAGSHIP_RESULTS[key]
 
 
 def q_e8_flagship_grid(spark, sf_dir):
@@ -202,6 +209,26 @@ def q_m6_perceptron_curve(spark, sf_dir):
         tagged.unpersist()
 
 
+def q_m6_training_log_every_kth(spark, sf_dir):
+    """M6 + S4 + S3 + P6 + P7 + X4: training log written, read back, every 10th val loss."""
+    from pulsegrid.plans.training import training_flow
+
+    res = training_flow(spark, sf_dir, scratch_path(spark, "training-log"), "demo-0",
+                        seed=SPLIT_SEED, hidden=(MLP_HIDDEN,), chunk_iters=MLP_CHUNK,
+                        chunks=MLP_CHUNKS * 2, mlp_seed=MLP_SEED)
+    return res.printed
+
+
+def q_s6_flagship_report(spark, sf_dir):
+    """The run report of the flagship (written, appended, and returned as lines)."""
+    from pulsegrid.plans.report import write_run_report
+
+    res = _flagship_result(spark, sf_dir)
+    base = scratch_path(spark, "report")
+    return write_run_report(spark, res.metrics, res.timings, f"{base}/results-report",
+                            f"{base}/results.csv", f"{base}/run-times.csv", "run-0")
+
+
 QUERIES = {
     "m1_lr_score_equations": q_m1_lr_score_equations,
     "m2_rf_stump_threshold": q_m2_rf_stump_threshold,
@@ -212,6 +239,8 @@ QUERIES = {
     "m4_scored_rows": q_m4_scored_rows,
     "m5_objective_history": q_m5_objective_history,
     "m6_perceptron_curve": q_m6_perceptron_curve,
+    "m6_training_log_every_kth": q_m6_training_log_every_kth,
+    "s6_flagship_report": q_s6_flagship_report,
 }
 
 
