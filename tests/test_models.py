@@ -96,3 +96,15 @@ def test_fit_on_all_differs_from_fit_on_train(spark):
     m1 = pre_train.stages[-1].mean.toArray()
     m2 = pre_all.stages[-1].mean.toArray()
     assert not np.allclose(m1, m2)
+
+
+def test_concurrent_fits_same_models_and_wall_time(spark, grid):
+    par = classification_grid(embeddings_signal(spark, SF001), "vec_id", "x", fit_parallelism=3)
+    t = {(r.model, r.stage): r.seconds for r in par.timings.collect()}
+    wall = t[("all", "fit_all")]
+    assert all(v <= wall + 1e-6 for (m, s), v in t.items() if s == "fit")
+    assert t[("all", "total")] >= wall
+    # Deterministic fitters give the same coefficients whether fitted alone or concurrently.
+    a = grid.models[LOGISTIC].coefficients.toArray()
+    b = par.models[LOGISTIC].coefficients.toArray()
+    assert np.allclose(a, b)
