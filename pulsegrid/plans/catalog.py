@@ -113,8 +113,7 @@ def _r(col, name: str, digits: int = ROUND):
 def lineitem_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key + features + class column last, then P1 renames it to ``label``."""
     li = read_table(spark, sf_dir, "lineitem", LINE_KEY + FEATS + ["l_returnflag"])
-    df = li.select(*LINE_KEY, *FEATS, (F.col("l_returnflag") == "R").cast("double").alias("is_r"))
-    return C.rename_last(df, "label")
+    return signal_from_lineitem(li)
 
 
 def _line_logit(df: DataFrame):
@@ -122,7 +121,16 @@ def _line_logit(df: DataFrame):
 
 
 def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sig = lineitem_signal(spark, sf_dir)
+    return rule_scored_rows(lineitem_signal(spark, sf_dir))
+
+
+def signal_from_lineitem(li: DataFrame) -> DataFrame:
+    df = li.select(*LINE_KEY, *FEATS, (F.col("l_returnflag") == "R").cast("double").alias("is_r"))
+    return C.rename_last(df, "label")
+
+
+def rule_scored_rows(sig: DataFrame) -> DataFrame:
+    """Split tag + one ``(model, prediction)`` row per rule model (batch or stream)."""
     tagged = SP.with_split(sig, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, LINE_KEY)
     preds = {name: F.expr(pred).cast("double") for name, pred in RULES.items()}
     stacked = ", ".join(f"'{n}', pred_{n}" for n in preds)
@@ -369,6 +377,26 @@ def q_p8_xy_concat(spark, sf_dir):
                       _r(F.aggregate("xy", F.lit(0.0), lambda a, v: a + v), "xy_sum"))
 
 
+def q_stream_e8_metric_grid(spark, sf_dir):
+    """Streaming E1-E8: lineitem read as a file stream, rule models scored, running counts.
+
+    Same result as ``e8_metric_grid``; the state is one row per model and split.
+    """
+    import uuid
+
+    from pulsegrid.sources.tables import table_path
+    from pulsegrid.streaming import run_to_table, running_confusion_scored, stream_table
+
+    schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
+    stream = stream_table(spark, sf_dir, schema, glob="lineitem.parquet")
+    li = stream.select(*LINE_KEY, *FEATS, "l_returnflag")
+    metrics = running_confusion_scored(rule_scored_rows(signal_from_lineitem(li)))
+    name = f"pg_stream_grid_{uuid.uuid4().hex[:8]}"
+    grid = run_to_table(metrics, name, scratch_path(spark, "stream-grid"))
+    rates = [_r(F.col(m), m) for m in E.METRIC_COLUMNS]
+    return grid.select("model", "split", "tp", "tn", "fp", "fn", "n", *rates)
+
+
 QUERIES: dict[str, Query] = {
     "p1_p3_signal_columns": q_p1_p3_signal_columns,
     "s1_csv_inferred": q_s1_csv_inferred,
@@ -400,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "m7_inference_validation_rows": q_m7_inference_validation_rows,
     "m8_inference_first_rows_loss": q_m8_inference_first_rows_loss,
     "a5_inference_match": q_a5_inference_match,
+    "stream_e8_metric_grid": q_stream_e8_metric_grid,
 }
 
 
@@ -569,6 +598,9 @@ ORACLES: dict[str, str] = {
         f"count(*) AS n FROM (SELECT l_linestatus, {LABEL_R_SQL} AS label, "
         f"CAST(round_even({_sig(line_logit_sql())}, 0) AS DOUBLE) AS prediction FROM lineitem) "
         "GROUP BY l_linestatus",
+    "stream_e8_metric_grid":
+        _grid_sql() + " SELECT model, split, tp, tn, fp, fn, n, "
+        + ", ".join(f"round({m}, {ROUND}) AS {m}" for m in E.METRIC_COLUMNS) + " FROM grid",
     "p8_xy_concat":
         f"SELECT l_orderkey, l_linenumber, CAST(5 AS BIGINT) AS xy_len, {LABEL_R_SQL} AS xy_last, "
         f"round(((((0.0 + l_quantity) + l_extendedprice) + l_discount) + l_tax) + {LABEL_R_SQL}, "

@@ -21,17 +21,41 @@ from pulsegrid.session import scratch_path
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
-                 max_files_per_trigger: int = 1) -> DataFrame:
-    """Parquet files arriving in ``path`` as a streaming DataFrame."""
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
+                 max_files_per_trigger: int = 1, glob: str | None = None) -> DataFrame:
+    """Parquet files arriving in the folder ``path`` (optionally matching ``glob``)."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.parquet(path)
 
 
 def running_confusion(stream: DataFrame, prepare, models: dict, label: str = "label",
                       by: Sequence[str] = ("model", "split")) -> DataFrame:
     """Streaming E1-E6: ``prepare`` maps raw rows to scaled features (a fitted transform)."""
     scored = score_all(prepare(stream), models, label)
-    return with_rates(confusion_counts(scored, by, label))
+    return running_confusion_scored(scored, label, by)
+
+
+def running_confusion_scored(scored: DataFrame, label: str = "label",
+                             by: Sequence[str] = ("model", "split"),
+                             prediction: str = "prediction") -> DataFrame:
+    """Streaming E1-E6 over rows that already carry ``(…, model, prediction)``."""
+    return with_rates(confusion_counts(scored, by, label, prediction))
+
+
+def run_to_table(metrics: DataFrame, query_name: str, checkpoint: str | None = None) -> DataFrame:
+    """Drive a streaming aggregate over all available input, return its result table.
+
+    For bounded backfills and tests: the query processes every file present,
+    stops, and the (small, one row per group) result is returned as a batch
+    DataFrame.
+    """
+    query = start_running_confusion(metrics, query_name, checkpoint)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return metrics.sparkSession.table(query_name)
 
 
 def start_running_confusion(metrics: DataFrame, query_name: str,
