@@ -81,17 +81,27 @@ def array_width(df: DataFrame, col: str) -> int:
     return int(row["w"]) if row is not None else 0
 
 
-def element_stats(df: DataFrame, col: str, width: int) -> tuple[list, list, list]:
+def element_stats(df: DataFrame, col: str, width: int | None = None) -> tuple[list, list, list]:
     """Per-element mean, sample std and population std of an array column.
 
-    One global aggregate with ``3 × width`` expressions (partial aggregation
-    on every task); only ``3 × width`` numbers reach the driver.
+    One ``Summarizer`` aggregate over the column as an ML vector (a single
+    aggregate function, partial per task, whatever the width); only
+    ``3 × width`` numbers reach the driver.  The population std is derived
+    from the sample variance: ``var_pop = var_samp · (n - 1) / n``.
     """
-    x = F.col(col)
-    aggs = []
-    for i in range(width):
-        v = x[i].cast("double")
-        aggs += [F.avg(v), F.stddev_samp(v), F.stddev_pop(v)]
-    row = df.agg(*aggs).first()
-    vals = list(row)
-    return vals[0::3], vals[1::3], vals[2::3]
+    import math
+
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    vec = array_to_vector(F.col(col).cast("array<double>"))
+    row = df.select(Summarizer.metrics("mean", "variance", "count").summary(vec).alias("s")).first()
+    s = row["s"]
+    n = int(s["count"])
+    means = [float(v) for v in s["mean"].toArray()]
+    var = [float(v) for v in s["variance"].toArray()]
+    if width is not None and width != len(means):
+        raise ValueError(f"expected width {width}, got {len(means)}")
+    samp = [math.sqrt(v) if n > 1 else None for v in var]
+    pop = [math.sqrt(v * (n - 1) / n) if n > 0 else None for v in var]
+    return means, samp, pop

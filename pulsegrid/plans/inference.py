@@ -25,7 +25,7 @@ from pulsegrid.operators import evaluate as E
 from pulsegrid.operators.columns import side_by_side
 from pulsegrid.operators.positions import exact_split, first_rows
 from pulsegrid.operators.score import class_from_logit, score_batches
-from pulsegrid.operators.stats import array_width, element_stats
+from pulsegrid.operators.stats import element_stats
 from pulsegrid.plans.classify import embeddings_signal
 
 
@@ -38,8 +38,7 @@ class InferenceResult:
 
 def standardise_all_rows(signal: DataFrame, col: str = "x", out: str = "z") -> DataFrame:
     """X1 with NumPy semantics (population std) over every row; constant elements → NULL."""
-    width = array_width(signal, col)
-    means, _, stds = element_stats(signal, col, width)
+    means, _, stds = element_stats(signal, col)
     return signal.withColumn(out, affine_array(col, means, stds))
 
 
@@ -47,8 +46,9 @@ def inference_flow(spark: SparkSession, sf_dir: str, make_predict_fn: Callable,
                    fraction: float = 0.7, first_n: int = 50, check_n: int = 64,
                    batch_size: int = 32) -> InferenceResult:
     signal = embeddings_signal(spark, sf_dir)
-    z = standardise_all_rows(signal).select("vec_id", "label", "z")
-    width = array_width(z, "z")
+    means, _, stds = element_stats(signal, "x")
+    width = len(means)
+    z = signal.select("vec_id", "label", affine_array("x", means, stds).alias("z"))
 
     head = score_batches(first_rows(z, check_n, [F.col("vec_id")]), "z", make_predict_fn,
                          width, batch_size, "logit")
