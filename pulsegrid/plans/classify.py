@@ -33,7 +33,7 @@ from pulsegrid.operators.models import (
     persist_for_iterations,
     score_all,
 )
-from pulsegrid.operators.split import balance, with_split
+from pulsegrid.operators.split import balance, balancing_fractions, with_split
 from pulsegrid.sources.tables import read_table
 
 SPLITS = ("train", "test", "validation")
@@ -143,8 +143,20 @@ def classification_grid(df: DataFrame, key: str | Sequence[str], features: str |
 FLAGSHIP_FIT_PARALLELISM = 3   # LR, RF and SVC fitted as concurrent jobs
 
 
-def flagship(spark: SparkSession, sf_dir: str, settings: ModelSettings = ModelSettings()) -> DataFrame:
-    """Embeddings, label ``label < 5``: LR + RF + SVC metric grid on test and validation."""
+def flagship_result(spark: SparkSession, sf_dir: str,
+                    settings: ModelSettings = ModelSettings()) -> GridResult:
+    """The full flow on the embeddings (label ``label < 5``).
+
+    The classes are balanced first (D5, fractions from one count aggregate),
+    then LR + RF + SVC are fitted concurrently and evaluated on test and
+    validation.
+    """
     signal = embeddings_signal(spark, sf_dir)
     return classification_grid(signal, "vec_id", "x", settings=settings,
-                               fit_parallelism=FLAGSHIP_FIT_PARALLELISM).metrics
+                               balance_fractions=balancing_fractions(signal),
+                               fit_parallelism=FLAGSHIP_FIT_PARALLELISM)
+
+
+def flagship(spark: SparkSession, sf_dir: str, settings: ModelSettings = ModelSettings()) -> DataFrame:
+    """Metric grid of ``flagship_result`` (one row per model and split)."""
+    return flagship_result(spark, sf_dir, settings).metrics

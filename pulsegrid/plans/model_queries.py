@@ -42,12 +42,7 @@ from pulsegrid.operators.models import (
 )
 from pulsegrid.operators.neural import fit_with_curve
 from pulsegrid.plans.catalog import FEATS, LABEL_R_SQL, ROUND, SPLIT_NAMES, SPLIT_SEED, split_case_sql
-from pulsegrid.plans.classify import (
-    FLAGSHIP_FIT_PARALLELISM,
-    classification_grid,
-    embeddings_signal,
-    prepare,
-)
+from pulsegrid.plans.classify import embeddings_signal, flagship_result, prepare
 from pulsegrid.session import scratch_path
 from pulsegrid.sources.sinks import load_model, save_model
 from pulsegrid.sources.tables import read_table
@@ -166,8 +161,7 @@ def _flagship_result(spark, sf_dir):
     """One fitted flagship per session and data folder, shared by the queries below."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _FLAGSHIP_RESULTS:
-        _FLAGSHIP_RESULTS[key] = classification_grid(embeddings_signal(spark, sf_dir), "vec_id", "x",
-                                                     fit_parallelism=FLAGSHIP_FIT_PARALLELISM)
+        _FLAGSHIP_RESULTS[key] = flagship_result(spark, sf_dir)
     return _FLAGSHIP_RESULTS[key]
 
 

@@ -74,6 +74,6 @@ def write_run_report(spark, metrics: DataFrame, timings: DataFrame, report_path:
     lines = report_lines(metrics, timings).withColumnRenamed("position", "order")
     write_report(lines, report_path)
     total = timings.filter((F.col("model") == "all") & (F.col("stage") == "total")).select("seconds")
-    append_log(total, times_path, run_id=run_id)
+    append_log(total, times_path, run_id=run_id, single_file=True)  # one row
     append_report_csv(spark, report_path, results_path, run_id)
     return lines

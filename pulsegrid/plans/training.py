@@ -52,7 +52,7 @@ def training_flow(spark: SparkSession, sf_dir: str, log_dir: str, run_id: str, s
                                       mlp_seed)
     finally:
         tagged.unpersist()
-    append_log(wide_log(curve), log_dir, run_id=run_id)
+    append_log(wide_log(curve), log_dir, run_id=run_id, single_file=True)  # one row per chunk
     log = read_log_csv(spark, f"{log_dir.rstrip('/')}/run_id={run_id}")
     val_points = logged_points(log, "step", "val_loss")
     kth = every_kth_logged(log, "step", "val_loss", every)

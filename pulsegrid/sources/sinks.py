@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame
 
 
 def append_log(df: DataFrame, path: str, run_id: str | None = None,
-               fmt: str = "csv") -> None:
-    """Append rows to a log folder, one sub-folder per run id."""
+               fmt: str = "csv", single_file: bool = False) -> None:
+    """Append rows to a log folder, one sub-folder per run id.
+
+    ``single_file`` writes one file per append through one task; use it only
+    for small tables (a training log, a run-time row).
+    """
     from pyspark.sql import functions as F
 
     out = df if run_id is None else df.withColumn("run_id", F.lit(run_id))
-    writer = out.coalesce(1).write.mode("append")
+    writer = (out.coalesce(1) if single_file else out).write.mode("append")
     if run_id is not None:
         writer = writer.partitionBy("run_id")
     if fmt == "csv":
@@ -26,7 +30,11 @@ def append_log(df: DataFrame, path: str, run_id: str | None = None,
 
 
 def write_report(lines: DataFrame, path: str, column: str = "line") -> None:
-    """Overwrite a text report (one line per row, in ``order`` if present)."""
+    """Overwrite a text report (one line per row, in ``order`` if present).
+
+    A report is a few lines per model and split, so it is written as one
+    ordered file.
+    """
     ordered = lines.orderBy("order") if "order" in lines.columns else lines
     ordered.select(column).coalesce(1).write.mode("overwrite").text(path)
 
