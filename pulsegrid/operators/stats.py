@@ -75,12 +75,6 @@ def vector_stats(df: DataFrame, vector_col: str) -> DataFrame:
         "feature", F.col("v.mean").alias("mean"), F.col("v.std").alias("std_samp"))
 
 
-def array_width(df: DataFrame, col: str) -> int:
-    """Length of an array column, read from one row."""
-    row = df.select(F.size(col).alias("w")).first()
-    return int(row["w"]) if row is not None else 0
-
-
 def element_stats(df: DataFrame, col: str, width: int | None = None) -> tuple[list, list, list]:
     """Per-element mean, sample std and population std of an array column.
 

@@ -16,7 +16,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.hashing import hash_unit
 from pulsegrid.functions.scalar import bce_with_logits, dot, fixed_decimals, rint, sigmoid
 from pulsegrid.operators import columns as C
 from pulsegrid.operators import evaluate as E

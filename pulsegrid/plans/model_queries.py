@@ -17,9 +17,7 @@ form and are checked rows-only.
 
 from __future__ import annotations
 
-import uuid
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler
@@ -32,7 +30,6 @@ from pulsegrid.operators.features import FEATURES, SCALED, assembler
 from pulsegrid.operators.models import (
     LOGISTIC,
     SVC,
-    ModelSettings,
     fit_model,
     objective_history,
     persist_for_iterations,
@@ -41,7 +38,7 @@ from pulsegrid.operators.models import (
     score_all,
 )
 from pulsegrid.operators.neural import fit_with_curve
-from pulsegrid.plans.catalog import FEATS, LABEL_R_SQL, ROUND, SPLIT_NAMES, SPLIT_SEED, split_case_sql
+from pulsegrid.plans.catalog import FEATS, LABEL_R_SQL, SPLIT_NAMES, SPLIT_SEED, split_case_sql
 from pulsegrid.plans.classify import embeddings_signal, flagship_result, prepare
 from pulsegrid.session import scratch_path
 from pulsegrid.sources.sinks import load_model, save_model

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,8 +49,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def strip_scheme(path: str) -> str:
-    """``file:/x`` → ``/x`` for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path

@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.models import FOREST, LOGISTIC, SVC, fit_model, objective_history
+from pulsegrid.operators.models import FOREST, LOGISTIC, SVC, objective_history
 from pulsegrid.operators.neural import fit_with_curve, wide_log
 from pulsegrid.operators.score import class_from_logit, linear_predict_fn, lr_weights, score_batches
 from pulsegrid.plans.classify import classification_grid, embeddings_signal, prepare
@@ -108,3 +108,12 @@ def test_concurrent_fits_same_models_and_wall_time(spark, grid):
     a = grid.models[LOGISTIC].coefficients.toArray()
     b = par.models[LOGISTIC].coefficients.toArray()
     assert np.allclose(a, b)
+
+
+def test_epoch_mean_loss_weights_rows(spark):
+    from pulsegrid.operators.neural import epoch_mean_loss
+
+    rows = [(1, "train", 1.0), (1, "train", 3.0), (1, "validation", 2.0), (2, "train", 0.5)]
+    df = spark.createDataFrame(rows, "step int, split string, loss double")
+    got = {(r.step, r.split): (r.loss, r.n) for r in epoch_mean_loss(df).collect()}
+    assert got == {(1, "train"): (2.0, 2), (1, "validation"): (2.0, 1), (2, "train"): (0.5, 1)}

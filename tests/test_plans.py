@@ -4,7 +4,6 @@ import os
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from pulsegrid.operators.score import linear_predict_fn
 from pulsegrid.plans.catalog import embedding_weights

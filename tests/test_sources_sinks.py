@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from pulsegrid.sources.csv import read_log_csv, read_signal_csv, read_signal_csv_inferred
 from pulsegrid.sources.sinks import append_log, append_report_csv, write_report

@@ -1,6 +1,5 @@
 """Hash splits, balancing and exact positions."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 

@@ -3,7 +3,6 @@
 import os
 
 from pyspark import StorageLevel
-from pyspark.sql import functions as F
 
 from pulsegrid.operators.evaluate import metric_grid
 from pulsegrid.operators.features import SCALED, array_to_features
