@@ -10,12 +10,15 @@ Numbering is the distributed form of ``zipWithIndex`` after a global sort:
    full sort key is unique.  Spark range-partitions a sort from a sample, and a
    unique key lets it cut any run of equal keys (one key holding a third of the
    rows, or identical copies) across many partitions instead of one.
-2. ``monotonically_increasing_id`` after the sort is ``(partition << 33) + i``.
-   The sorted frame is ``checkpoint()``-ed (shared checkpoint folder) so the
-   counting pass and the numbering pass read the very same partitions.
+2. ``monotonically_increasing_id`` after the sort is ``(partition << 33) + i``:
+   the id carries the row's place in the sorted order.  The sorted rows are
+   written once as a parquet table below the shared checkpoint folder, which
+   cuts the lineage (nothing upstream is recomputed after a lost executor)
+   and fixes the ids, so the counting pass and the numbering pass see the
+   same values.  The counting pass reads only the id column.
 3. Row counts per sort partition (one row per partition) → prefix sums →
    broadcast back.  The broadcast table has exactly one row per sort
-   partition, so its size is bounded by ``spark.sql.shuffle.partitions``.
+   partition, so its size is bounded by the number of sort partitions.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.hashing import hash_hex
-from pulsegrid.session import checkpoint_dir
+from pulsegrid.session import scratch_path
 
 _LOCAL_BITS = 33
 
@@ -43,18 +46,21 @@ def with_positions(df: DataFrame, order: Sequence[Column], column: str = "pos",
 
     ``total_column`` also attaches the total row count (for positional cuts).
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     content = F.xxhash64(*[F.col(c) for c in df.columns])
     staged = (df.withColumn("_pg_scan", F.monotonically_increasing_id())
               .withColumn("_pg_tie", content))
     ordered = staged.orderBy(*order, F.col("_pg_tie"), F.col("_pg_scan"))
-    numbered = (ordered.withColumn("_pg_mid", F.monotonically_increasing_id())
-                .drop("_pg_scan", "_pg_tie")
-                .checkpoint(eager=True))
+    path = scratch_path(spark, "positions")
+    (ordered.withColumn("_pg_mid", F.monotonically_increasing_id())
+     .drop("_pg_scan", "_pg_tie")
+     .write.mode("overwrite").parquet(path))
+    numbered = spark.read.parquet(path)
 
     part = F.shiftright(F.col("_pg_mid"), _LOCAL_BITS)
     local = F.col("_pg_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    counts = numbered.groupBy(part.alias("_pg_part")).agg(F.count(F.lit(1)).alias("_pg_n"))
+    counts = (numbered.select(part.alias("_pg_part"))
+              .groupBy("_pg_part").agg(F.count(F.lit(1)).alias("_pg_n")))
     # One row per sort partition: a bounded table, summed in one small task.
     w = Window.orderBy("_pg_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(
