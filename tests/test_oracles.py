@@ -27,3 +27,14 @@ def test_every_query_has_rows_and_stable_schema(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["model", "split"]
     assert df.count() == 6
+
+
+ROWS_ONLY = sorted(set(entry.queries()) - set(entry.oracle_sql()))
+
+
+@pytest.mark.parametrize("name", ROWS_ONLY)
+def test_rows_only_query_runs(spark, name):
+    df = entry.queries()[name](spark, SF001)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert len(set(df.columns)) == len(df.columns)
