@@ -96,10 +96,13 @@ def _stump_data(spark, sf_dir):
 
 def q_m2_rf_stump_threshold(spark, sf_dir):
     """M2: one tree, depth 1, no bootstrap, all features: root feature and threshold."""
-    data = _stump_data(spark, sf_dir)
-    rf = RandomForestClassifier(featuresCol=FEATURES, labelCol="label", numTrees=1, maxDepth=1,
-                                bootstrap=False, featureSubsetStrategy="all",
-                                maxBins=STUMP_BINS, seed=1).fit(data)
+    data = persist_for_iterations(_stump_data(spark, sf_dir))
+    try:
+        rf = RandomForestClassifier(featuresCol=FEATURES, labelCol="label", numTrees=1, maxDepth=1,
+                                    bootstrap=False, featureSubsetStrategy="all",
+                                    maxBins=STUMP_BINS, seed=1).fit(data)
+    finally:
+        data.unpersist()
     split = root_split(rf)
     names = ["l_quantity", "l_tax"]
     schema = T.StructType([T.StructField("feature", T.StringType()),

@@ -21,9 +21,15 @@ from pulsegrid.session import scratch_path
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
-                 max_files_per_trigger: int = 1, glob: str | None = None) -> DataFrame:
-    """Parquet files arriving in the folder ``path`` (optionally matching ``glob``)."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+                 max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
+    """Parquet files arriving in the folder ``path`` (optionally matching ``glob``).
+
+    By default each micro-batch takes every new file; ``max_files_per_trigger``
+    caps a batch (for rate limiting a backfill).
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
