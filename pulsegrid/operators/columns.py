@@ -38,3 +38,14 @@ def side_by_side(df: DataFrame, key: str | Sequence[str], label: str = "label",
     keys = [key] if isinstance(key, str) else list(key)
     return df.select(*keys, F.col(label).cast("double").alias("actual"),
                      F.col(prediction).cast("double").alias("prediction"))
+
+
+def content_key(df: DataFrame, name: str = "row_key",
+                cols: Sequence[str] | None = None) -> DataFrame:
+    """Row key for tables without one (a headerless signal CSV): ``xxhash64`` of the row.
+
+    Deterministic and independent of partitioning; identical rows share a key
+    and so always land on the same side of a split.
+    """
+    use = list(cols) if cols else list(df.columns)
+    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in use]))

@@ -160,3 +160,23 @@ def flagship_result(spark: SparkSession, sf_dir: str,
 def flagship(spark: SparkSession, sf_dir: str, settings: ModelSettings = ModelSettings()) -> DataFrame:
     """Metric grid of ``flagship_result`` (one row per model and split)."""
     return flagship_result(spark, sf_dir, settings).metrics
+
+
+def classify_signal_csv(spark: SparkSession, path: str, n_features: int, label: str = "label",
+                        seed: int = 22, balance_classes: bool = True,
+                        settings: ModelSettings = ModelSettings(),
+                        fit_parallelism: int = 1) -> GridResult:
+    """The original end-to-end flow on a headerless signal CSV (S2 → D5 → D2 → F1/F2 → M1-M3 → E8).
+
+    Rows get a content-hash key (the file has none), classes are balanced with
+    fractions from one count aggregate, and the features are assembled from
+    the positional columns ``_c0 .. _c{n-1}``.
+    """
+    from pulsegrid.operators.columns import content_key
+    from pulsegrid.sources.csv import read_signal_csv
+
+    keyed = content_key(read_signal_csv(spark, path, n_features, label), "row_key")
+    fractions = balancing_fractions(keyed, label) if balance_classes else None
+    feats = [f"_c{i}" for i in range(n_features)]
+    return classification_grid(keyed, "row_key", feats, label, seed, settings=settings,
+                               balance_fractions=fractions, fit_parallelism=fit_parallelism)

@@ -233,6 +233,18 @@ def q_s6_flagship_report(spark, sf_dir):
                             f"{base}/results.csv", f"{base}/run-times.csv", "run-0")
 
 
+def q_s2_signal_csv_grid(spark, sf_dir):
+    """S2 → E8 end to end: embeddings written as a headerless signal CSV, then classified."""
+    from pulsegrid.plans.classify import classify_signal_csv
+
+    signal = embeddings_signal(spark, sf_dir)
+    width = len(signal.select("x").first()[0])
+    wide = signal.select(*[F.col("x")[i].alias(f"_c{i}") for i in range(width)], "label")
+    path = scratch_path(spark, "signal-csv-wide")
+    wide.write.mode("overwrite").option("header", "false").csv(path)
+    return classify_signal_csv(spark, path, width, fit_parallelism=3).metrics
+
+
 QUERIES = {
     "m1_lr_score_equations": q_m1_lr_score_equations,
     "m2_rf_stump_threshold": q_m2_rf_stump_threshold,
@@ -245,6 +257,7 @@ QUERIES = {
     "m6_perceptron_curve": q_m6_perceptron_curve,
     "m6_training_log_every_kth": q_m6_training_log_every_kth,
     "s6_flagship_report": q_s6_flagship_report,
+    "s2_signal_csv_grid": q_s2_signal_csv_grid,
 }
 
 

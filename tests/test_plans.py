@@ -3,6 +3,7 @@
 import os
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from pulsegrid.operators.score import linear_predict_fn
@@ -62,3 +63,21 @@ def test_report_lines_and_files(spark, tmp_out):
     times = spark.read.option("header", "true").csv(f"{base}/times/run_id=run-1").collect()
     assert len(times) == 1 and float(times[0].seconds) > 0
     assert spark.read.option("header", "true").csv(f"{base}/results").count() == len(lines)
+
+
+def test_classify_signal_csv_end_to_end(spark, tmp_out):
+    from pulsegrid.operators.columns import content_key
+    from pulsegrid.plans.classify import classify_signal_csv
+
+    sig = embeddings_signal(spark, SF001)
+    wide = sig.select(*[F.col("x")[i].alias(f"_c{i}") for i in range(8)], "label")
+    path = os.path.join(tmp_out, "signal.csv")
+    wide.write.option("header", "false").csv(path)
+    res = classify_signal_csv(spark, path, 8,
+                              settings=ModelSettings(lr_max_iter=5, svc_max_iter=5, rf_num_trees=2))
+    rows = res.metrics.collect()
+    assert len(rows) == 6 and all(r.n > 0 for r in rows)
+    keyed = content_key(wide)
+    a = {r.row_key for r in keyed.collect()}
+    b = {r.row_key for r in content_key(wide.repartition(3)).collect()}
+    assert a == b
