@@ -3,7 +3,13 @@
 Splits are half-open ranges of ``hash_unit(seed, key)``: a split is a plain
 filter, so it needs no shuffle and no sort (``randomSplit`` sorts every
 partition on all columns first), and a row lands on the same side whatever the
-partitioning.  Rows with equal keys land on the same side.
+partitioning.
+
+Rows with equal keys land on the same side (a group split: duplicates never
+straddle train and test).  A key that holds a large share of the rows moves
+that share as one block; to spread such a key, pass more columns in ``key``
+(e.g. ``[id, content_hash]``) so its rows hash apart.  NULL key parts are
+skipped by ``concat_ws``, so NULL-keyed rows share one deterministic side.
 """
 
 from __future__ import annotations
