@@ -103,11 +103,24 @@ def classification_grid(df: DataFrame, key: str | Sequence[str], features: str |
     """
     spark = df.sparkSession
     t_all = time.perf_counter()
-    scaled, pre = prepare(df, key, features, label, seed, weights, SPLITS,
-                          balance_fractions, balance_seed, fit_on)
+    keys = [key] if isinstance(key, str) else list(key)
+    if balance_fractions:
+        df = balance(df, balance_fractions, balance_seed, keys, label)
+    tagged = with_split(df, weights, SPLITS, seed, keys)
+    if isinstance(features, str):
+        tagged = array_to_features(tagged, features, FEATURES)
+        cols, raw = None, [FEATURES]
+    else:
+        cols, raw = list(features), list(features)
+    base = tagged.select(*keys, F.col(label).cast("double").alias(label), "split", *raw)
+    # The raw training split is read once and cached; the scaler is fitted
+    # from the cache and the fitters see its scaled view (each caches its own
+    # blocks), so the source is not read again until evaluation.
+    train_raw = persist_for_iterations(base.filter(F.col("split") == SPLITS[0]))
+    pre = fit_preprocessing(train_raw if fit_on == "train" else base, cols)
+    train = pre.transform(train_raw).select(*keys, label, "split", SCALED)
     timings = [("all", "preprocess_fit", time.perf_counter() - t_all)]
 
-    train = persist_for_iterations(scaled.filter(F.col("split") == SPLITS[0]))
     def fit_one(name):
         t0 = time.perf_counter()
         model = fit_model(name, train, SCALED, label, settings)
@@ -127,9 +140,10 @@ def classification_grid(df: DataFrame, key: str | Sequence[str], features: str |
             timings.append((name, "fit", seconds))
         timings.append(("all", "fit_all", time.perf_counter() - t_fit))
     finally:
-        train.unpersist()
+        train_raw.unpersist()
 
-    held_out = scaled.filter(F.col("split").isin(list(eval_splits)))
+    held_out = pre.transform(base.filter(F.col("split").isin(list(eval_splits)))).select(
+        *keys, label, "split", SCALED)
     metrics = metric_grid(score_all(held_out, fitted, label), ("model", "split"), label)
     if materialize_metrics:
         t0 = time.perf_counter()
