@@ -32,6 +32,8 @@ from pulsegrid.functions.hashing import hash_hex
 from pulsegrid.session import scratch_path
 
 _LOCAL_BITS = 33
+# Largest offsets table (one row per sort partition, two longs) sent as a broadcast.
+MAX_BROADCAST_PARTITIONS = 2_000_000
 
 
 def shuffle_order(seed: int, key: str | Sequence[str]) -> list[Column]:
@@ -60,7 +62,8 @@ def with_positions(df: DataFrame, order: Sequence[Column], column: str = "pos",
     part = F.shiftright(F.col("_pg_mid"), _LOCAL_BITS)
     local = F.col("_pg_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     counts = (numbered.select(part.alias("_pg_part"))
-              .groupBy("_pg_part").agg(F.count(F.lit(1)).alias("_pg_n")))
+              .groupBy("_pg_part").agg(F.count(F.lit(1)).alias("_pg_n"))).persist()
+    n_parts = counts.count()
     # One row per sort partition: a bounded table, summed in one small task.
     w = Window.orderBy("_pg_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(
@@ -68,8 +71,10 @@ def with_positions(df: DataFrame, order: Sequence[Column], column: str = "pos",
         (F.sum("_pg_n").over(w) - F.col("_pg_n")).alias("_pg_off"),
         F.sum("_pg_n").over(Window.partitionBy(F.lit(1))).alias("_pg_total"),
     )
+    # Broadcast only below a checked size; past it, a plain (shuffle) join.
+    side = F.broadcast(offsets) if n_parts <= MAX_BROADCAST_PARTITIONS else offsets
     out = (numbered.withColumn("_pg_part", part).withColumn("_pg_local", local)
-           .join(F.broadcast(offsets), "_pg_part")
+           .join(side, "_pg_part")
            .withColumn(column, F.col("_pg_off") + F.col("_pg_local")))
     if total_column:
         out = out.withColumnRenamed("_pg_total", total_column)

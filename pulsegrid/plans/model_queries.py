@@ -17,7 +17,6 @@ form and are checked rows-only.
 
 from __future__ import annotations
 
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler

@@ -105,3 +105,19 @@ def test_randomsplit_is_layout_dependent_but_hash_split_is_not(spark):
     h = [SP.hash_split(ev.repartition(n), [0.3, 0.7], 1000, "event_id")[1].count() for n in (1, 5)]
     assert h[0] == h[1]
     assert isinstance(a, int) and isinstance(b, int)
+
+
+def test_positions_do_not_depend_on_layout(spark):
+    """Same rows → same positions under any input partitioning (safe to recompute)."""
+    ev = _events(spark)
+    order = POS.shuffle_order(7, "event_id")
+    a = {r.event_id: r.pos for r in POS.with_positions(ev.repartition(1), order).collect()}
+    b = {r.event_id: r.pos for r in POS.with_positions(ev.repartition(7), order).collect()}
+    assert a == b
+
+
+def test_positions_shuffle_join_past_broadcast_limit(spark, monkeypatch):
+    monkeypatch.setattr(POS, "MAX_BROADCAST_PARTITIONS", 0)
+    ev = spark.range(0, 500).withColumnRenamed("id", "event_id")
+    out = POS.with_positions(ev, POS.shuffle_order(7, "event_id"))
+    assert sorted(r.pos for r in out.collect()) == list(range(500))
