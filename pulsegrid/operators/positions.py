@@ -36,6 +36,19 @@ _LOCAL_BITS = 33
 MAX_BROADCAST_PARTITIONS = 2_000_000
 
 
+def sort_partition_bound(spark) -> int:
+    """Upper bound on the partitions of a global sort: the shuffle partition setting.
+
+    AQE may start from ``initialPartitionNum`` and only coalesces from there.
+    """
+    conf = spark.conf
+    bound = int(conf.get("spark.sql.shuffle.partitions", "200"))
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    if initial not in (None, "", "None"):
+        bound = max(bound, int(initial))
+    return bound
+
+
 def shuffle_order(seed: int, key: str | Sequence[str]) -> list[Column]:
     """Sort columns that define the seeded permutation (D3)."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -62,8 +75,8 @@ def with_positions(df: DataFrame, order: Sequence[Column], column: str = "pos",
     part = F.shiftright(F.col("_pg_mid"), _LOCAL_BITS)
     local = F.col("_pg_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     counts = (numbered.select(part.alias("_pg_part"))
-              .groupBy("_pg_part").agg(F.count(F.lit(1)).alias("_pg_n"))).persist()
-    n_parts = counts.count()
+              .groupBy("_pg_part").agg(F.count(F.lit(1)).alias("_pg_n")))
+    n_parts = sort_partition_bound(spark)
     # One row per sort partition: a bounded table, summed in one small task.
     w = Window.orderBy("_pg_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select(
@@ -71,7 +84,8 @@ def with_positions(df: DataFrame, order: Sequence[Column], column: str = "pos",
         (F.sum("_pg_n").over(w) - F.col("_pg_n")).alias("_pg_off"),
         F.sum("_pg_n").over(Window.partitionBy(F.lit(1))).alias("_pg_total"),
     )
-    # Broadcast only below a checked size; past it, a plain (shuffle) join.
+    # Broadcast only below a checked size (one row per sort partition, bounded
+    # by the shuffle partition setting); past it, a plain (shuffle) join.
     side = F.broadcast(offsets) if n_parts <= MAX_BROADCAST_PARTITIONS else offsets
     out = (numbered.withColumn("_pg_part", part).withColumn("_pg_local", local)
            .join(side, "_pg_part")
