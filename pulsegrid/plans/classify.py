@@ -48,6 +48,7 @@ class GridResult:
     timings: DataFrame
     models: dict = field(default_factory=dict)
     preprocessing: PipelineModel | None = None
+    held_out: DataFrame | None = None   # scaled evaluation rows (lazy)
 
 
 def embeddings_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +152,7 @@ def classification_grid(df: DataFrame, key: str | Sequence[str], features: str |
         metrics.count()  # one row per model × split
         timings.append(("all", "score_evaluate", time.perf_counter() - t0))
     timings.append(("all", "total", time.perf_counter() - t_all))
-    return GridResult(metrics, spark.createDataFrame(timings, TIMING_SCHEMA), fitted, pre)
+    return GridResult(metrics, spark.createDataFrame(timings, TIMING_SCHEMA), fitted, pre, held_out)
 
 
 FLAGSHIP_FIT_PARALLELISM = 3   # LR, RF and SVC fitted as concurrent jobs

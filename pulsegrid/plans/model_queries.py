@@ -175,16 +175,10 @@ def q_e9_x8_timings(spark, sf_dir):
 
 
 def q_m4_scored_rows(spark, sf_dir):
-    """M4: every held-out row scored by every model (key, split, model, prediction)."""
-    signal = embeddings_signal(spark, sf_dir)
-    scaled, _ = prepare(signal, "vec_id", "x")
-    train = persist_for_iterations(scaled.filter(F.col("split") == "train"))
-    try:
-        models = {n: fit_model(n, train) for n in (LOGISTIC, SVC)}
-    finally:
-        train.unpersist()
-    held = scaled.filter(F.col("split") != "train")
-    return score_all(held, models).select("vec_id", "split", "label", "model", "prediction")
+    """M4: every held-out row scored by every flagship model (key, split, model, prediction)."""
+    res = _flagship_result(spark, sf_dir)
+    return score_all(res.held_out, res.models).select("vec_id", "split", "label", "model",
+                                                      "prediction")
 
 
 def q_m5_objective_history(spark, sf_dir):
