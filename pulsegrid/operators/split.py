@@ -73,7 +73,7 @@ def balance(df: DataFrame, fractions: Mapping[float, float], seed: int, key: Key
     """Keep a hashed fraction of each class in one pass over the data.
 
     ``fractions`` maps class value → kept fraction (1.0 keeps the class whole;
-    classes not named are kept whole).  This is P4 + D1 + U1 of the original
+    classes not named, and rows with a NULL label, are kept whole).  This is P4 + D1 + U1 of the original
     flow fused into one filter, so the input is scanned once.
     """
     u = hash_unit(seed, key)
@@ -83,7 +83,7 @@ def balance(df: DataFrame, fractions: Mapping[float, float], seed: int, key: Key
         named.append(float(value))
         cond = (F.col(label) == F.lit(float(value))) & (u < F.lit(float(frac)))
         keep = cond if keep is None else keep | cond
-    others = ~F.col(label).isin(named)
+    others = ~F.col(label).isin(named) | F.col(label).isNull()
     keep = others if keep is None else keep | others
     return df.filter(keep)
 

@@ -121,3 +121,9 @@ def test_positions_shuffle_join_past_broadcast_limit(spark, monkeypatch):
     ev = spark.range(0, 500).withColumnRenamed("id", "event_id")
     out = POS.with_positions(ev, POS.shuffle_order(7, "event_id"))
     assert sorted(r.pos for r in out.collect()) == list(range(500))
+
+
+def test_balance_keeps_unnamed_and_null_labels(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, None), (4, 2.0)], "k long, label double")
+    kept = SP.balance(df, {0.0: 0.0}, 1, "k")
+    assert sorted(r.k for r in kept.collect()) == [2, 3, 4]
