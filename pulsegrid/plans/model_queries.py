@@ -238,6 +238,35 @@ def q_s2_signal_csv_grid(spark, sf_dir):
     return classify_signal_csv(spark, path, width, fit_parallelism=3).metrics
 
 
+def q_stream_flagship_confusion(spark, sf_dir):
+    """Streaming M4 + E1-E6: the embeddings as a file stream, scored by the flagship models.
+
+    The fitted preprocessing and models are applied to every arriving row
+    (all splits); the state is one row per model and split.
+    """
+    import uuid
+
+    from pulsegrid.operators.features import array_to_features
+    from pulsegrid.operators.split import with_split
+    from pulsegrid.sources.tables import table_path
+    from pulsegrid.streaming import run_to_table, running_confusion, stream_table
+
+    res = _flagship_result(spark, sf_dir)
+    schema = spark.read.parquet(table_path(sf_dir, "embeddings")).schema
+    raw = stream_table(spark, sf_dir, schema, glob="embeddings.parquet")
+    signal = raw.select("vec_id", F.col("embedding").cast("array<double>").alias("x"),
+                        (F.col("label") < 5).cast("double").alias("label"))
+    tagged = with_split(signal, (0.7, 0.2, 0.1), SPLIT_NAMES, SPLIT_SEED, "vec_id")
+
+    def prepare_rows(df):
+        return res.preprocessing.transform(array_to_features(df, "x")).select(
+            "vec_id", "label", "split", SCALED)
+
+    metrics = running_confusion(tagged, prepare_rows, res.models)
+    name = f"pg_stream_flagship_{uuid.uuid4().hex[:8]}"
+    return run_to_table(metrics, name, scratch_path(spark, "stream-flagship"))
+
+
 QUERIES = {
     "m1_lr_score_equations": q_m1_lr_score_equations,
     "m2_rf_stump_threshold": q_m2_rf_stump_threshold,
@@ -251,6 +280,7 @@ QUERIES = {
     "m6_training_log_every_kth": q_m6_training_log_every_kth,
     "s6_flagship_report": q_s6_flagship_report,
     "s2_signal_csv_grid": q_s2_signal_csv_grid,
+    "stream_flagship_confusion": q_stream_flagship_confusion,
 }
 
 
