@@ -5,6 +5,11 @@ digits of ``md5('<seed>:<key>')`` read as an unsigned 32-bit integer, divided
 by 2^32.  The same value comes out of any engine that has md5 (the DuckDB
 oracle uses ``cast('0x' || substr(md5(...), 1, 8) as bigint) / 4294967296.0``),
 and it does not depend on how the rows are partitioned, unlike ``randomSplit``.
+
+Key columns are rendered as text before hashing.  Integers and strings print
+the same in every engine; doubles do not (``1.0E10`` vs ``10000000000.0``), so
+for results that must match another engine, key on integers or strings (e.g.
+prices as integer cents).
 """
 
 from __future__ import annotations

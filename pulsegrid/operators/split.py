@@ -62,6 +62,15 @@ def hash_split(df: DataFrame, weights: Sequence[float], seed: int,
     return [df.filter((u >= F.lit(lo)) & (u < F.lit(hi))) for lo, hi in split_bounds(weights)]
 
 
+def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
+    """D1/D2 with ``randomSplit`` semantics, for parity with existing results.
+
+    Spark sorts every partition on all columns before sampling, and the rows
+    chosen depend on the partition layout; prefer ``hash_split``.
+    """
+    return df.randomSplit(list(weights), seed=seed)
+
+
 def with_split(df: DataFrame, weights: Sequence[float], names: Sequence[str],
                seed: int, key: KeySpec, column: str = "split") -> DataFrame:
     """Tag every row with its split name in one pass (no separate scans)."""

@@ -100,8 +100,8 @@ def test_log_filters(spark):
 
 def test_randomsplit_is_layout_dependent_but_hash_split_is_not(spark):
     ev = _events(spark).select("event_id")
-    a = ev.repartition(1).randomSplit([0.3, 0.7], seed=1000)[1].count()
-    b = ev.repartition(5).randomSplit([0.3, 0.7], seed=1000)[1].count()
+    a = SP.random_split(ev.repartition(1), [0.3, 0.7], 1000)[1].count()
+    b = SP.random_split(ev.repartition(5), [0.3, 0.7], 1000)[1].count()
     h = [SP.hash_split(ev.repartition(n), [0.3, 0.7], 1000, "event_id")[1].count() for n in (1, 5)]
     assert h[0] == h[1]
     assert isinstance(a, int) and isinstance(b, int)
