@@ -115,7 +115,8 @@ def lineitem_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal_from_lineitem(li)
 
 
-def _line_logit(df: DataFrame):
+def _line_logit():
+    """Fixed linear score of the lineitem features."""
     return dot(C.features_array(FEATS, "x"), LINE_WEIGHTS, LINE_BIAS)
 
 
@@ -183,7 +184,6 @@ def q_d2_hash_split_three_way(spark, sf_dir):
     return SP.with_split(ev, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, "event_id")
 
 
-
 def q_d5_balance(spark, sf_dir):
     """One-pass balance: class 1 kept, class 0 hashed down to the class-1 count."""
     sig = lineitem_signal(spark, sf_dir)
@@ -276,7 +276,7 @@ def q_f1_f2_standard_scaler(spark, sf_dir):
 def q_x2_x3_x5_x7_linear_scores(spark, sf_dir):
     """X7 logit, X2 sigmoid, X3 half-even class, X5 log loss with fixed weights."""
     sig = lineitem_signal(spark, sf_dir)
-    z = _line_logit(sig)
+    z = _line_logit()
     scored = sig.select(*LINE_KEY, "label", z.alias("logit"))
     return scored.select(*LINE_KEY, _r(F.col("logit"), "logit"),
                          _r(sigmoid("logit"), "probability"),
@@ -328,7 +328,7 @@ def q_m8_mean_bce(spark, sf_dir):
     """M8 + A4: mean log loss of the fixed linear scorer per split."""
     sig = lineitem_signal(spark, sf_dir)
     tagged = SP.with_split(sig, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, LINE_KEY)
-    out = E.mean_bce(tagged.withColumn("logit", _line_logit(tagged)), "logit", by=["split"])
+    out = E.mean_bce(tagged.withColumn("logit", _line_logit()), "logit", by=["split"])
     return out.select("split", _r(F.col("loss"), "loss"), "n")
 
 
@@ -336,7 +336,7 @@ def q_a5_p9_exact_match(spark, sf_dir):
     """P9 + A5: actual vs predicted class side by side; all equal per line status?"""
     li = read_table(spark, sf_dir, "lineitem", LINE_KEY + FEATS + ["l_returnflag", "l_linestatus"])
     sig = li.withColumn("label", (F.col("l_returnflag") == "R").cast("double"))
-    pred = sig.withColumn("prediction", rint(sigmoid(_line_logit(sig))))
+    pred = sig.withColumn("prediction", rint(sigmoid(_line_logit())))
     pairs = C.side_by_side(pred, LINE_KEY + ["l_linestatus"])
     return E.exact_match(pairs, by=["l_linestatus"])
 
