@@ -1,4 +1,4 @@
-"""Model fitters, scoring and training curves.
+"""Model fitters, multi-model scoring and objective curves (M1-M5).
 
 Fitting is Spark ML: each iteration broadcasts the coefficients and
 tree-aggregates gradients (LR, SVC) or split statistics (RF) across the
@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,7 +138,7 @@ def root_split(tree_model) -> tuple[int, float] | None:
     return (int(m.group(1)), float(m.group(2))) if m else None
 
 
-def probability_of_one(col: str) -> F.Column:
+def probability_of_one(col: str) -> Column:
     """Second element of a probability vector as a double."""
     from pyspark.ml.functions import vector_to_array
 

@@ -180,17 +180,20 @@ def flagship(spark: SparkSession, sf_dir: str, settings: ModelSettings = ModelSe
 def classify_signal_csv(spark: SparkSession, path: str, n_features: int, label: str = "label",
                         seed: int = 22, balance_classes: bool = True,
                         settings: ModelSettings = ModelSettings(),
-                        fit_parallelism: int = 1) -> GridResult:
+                        fit_parallelism: int = 1, parquet_path: str | None = None) -> GridResult:
     """The original end-to-end flow on a headerless signal CSV (S2 → D5 → D2 → F1/F2 → M1-M3 → E8).
 
-    Rows get a content-hash key (the file has none), classes are balanced with
-    fractions from one count aggregate, and the features are assembled from
+    The CSV is parsed once into parquet (``parquet_path``, default a fresh
+    folder below the checkpoint folder) together with a content-hash row key
+    (the file has none); every later pass reads the parquet.  Classes are
+    balanced with fractions from one count aggregate, and the features are
     the positional columns ``_c0 .. _c{n-1}``.
     """
-    from pulsegrid.operators.columns import content_key
-    from pulsegrid.sources.csv import read_signal_csv
+    from pulsegrid.session import scratch_path
+    from pulsegrid.sources.csv import signal_csv_to_parquet
 
-    keyed = content_key(read_signal_csv(spark, path, n_features, label), "row_key")
+    out = parquet_path or scratch_path(spark, "signal-parquet")
+    keyed = signal_csv_to_parquet(spark, path, out, n_features, label, key="row_key")
     fractions = balancing_fractions(keyed, label) if balance_classes else None
     feats = [f"_c{i}" for i in range(n_features)]
     return classification_grid(keyed, "row_key", feats, label, seed, settings=settings,

@@ -36,3 +36,19 @@ def read_signal_csv_inferred(spark: SparkSession, path: str, label: str = "label
 def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
     """S3: CSV with a header row (training-log read-back)."""
     return spark.read.csv(path, header=True, inferSchema=True)
+
+
+def signal_csv_to_parquet(spark: SparkSession, csv_path: str, out_path: str, n_features: int,
+                          label: str = "label", key: str | None = "row_key") -> DataFrame:
+    """Parse a signal CSV once and keep it as parquet (vectorised scans, pruning, pushdown).
+
+    With ``key`` set, a content-hash row key (see ``content_key``) is computed
+    once and stored with the rows.  Returns the parquet table.
+    """
+    from pulsegrid.operators.columns import content_key
+
+    df = read_signal_csv(spark, csv_path, n_features, label)
+    if key:
+        df = content_key(df, key)
+    df.write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
