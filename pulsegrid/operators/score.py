@@ -34,6 +34,30 @@ def linear_predict_fn(weights: Sequence[float], bias: float = 0.0) -> Callable[[
     return make
 
 
+def save_linear_weights(path: str, weights: Sequence[float], bias: float = 0.0) -> None:
+    """Write linear-model weights as ``.npz`` (``w``, ``b``) for ``npz_predict_fn``."""
+    np.savez(path, w=np.asarray(weights, dtype=np.float64), b=np.float64(bias))
+
+
+def npz_predict_fn(path: str) -> Callable[[], Callable]:
+    """Factory for a linear scorer whose weights live in a file on shared storage.
+
+    Only the path travels with the task; each Python worker opens the file
+    once, when Spark first calls the factory there, the way a trained
+    checkpoint is loaded for inference.
+    """
+    def make():
+        with np.load(path) as data:
+            w = np.asarray(data["w"], dtype=np.float64)
+            b = float(data["b"])
+
+        def predict(x: np.ndarray) -> np.ndarray:
+            return np.asarray(x, dtype=np.float64).reshape(-1, w.shape[0]) @ w + b
+        return predict
+
+    return make
+
+
 def score_batches(df: DataFrame, input_col: str, make_predict_fn: Callable[[], Callable],
                   width: int, batch_size: int = 32, output: str = "logit") -> DataFrame:
     """M7 + D7: apply a batch predict function to an ``array<double>`` column."""

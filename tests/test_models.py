@@ -117,3 +117,18 @@ def test_epoch_mean_loss_weights_rows(spark):
     df = spark.createDataFrame(rows, "step int, split string, loss double")
     got = {(r.step, r.split): (r.loss, r.n) for r in epoch_mean_loss(df).collect()}
     assert got == {(1, "train"): (2.0, 2), (1, "validation"): (2.0, 1), (2, "train"): (0.5, 1)}
+
+
+def test_npz_weights_scorer_matches_in_memory(spark, tmp_out):
+    import os
+
+    from pulsegrid.operators.score import npz_predict_fn, save_linear_weights
+
+    w = [0.5, -1.0, 0.25]
+    path = os.path.join(tmp_out, "weights.npz")
+    save_linear_weights(path, w, 0.1)
+    df = spark.createDataFrame([([1.0, 2.0, 3.0],), ([0.0, -1.0, 4.0],)], "x array<double>")
+    a = score_batches(df, "x", npz_predict_fn(path), width=3, batch_size=1).collect()
+    b = score_batches(df, "x", linear_predict_fn(w, 0.1), width=3, batch_size=1).collect()
+    assert [r.logit for r in a] == pytest.approx([r.logit for r in b])
+    assert a[0].logit == pytest.approx(0.5 - 2.0 + 0.75 + 0.1)
