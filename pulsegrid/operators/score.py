@@ -40,14 +40,23 @@ def save_linear_weights(path: str, weights: Sequence[float], bias: float = 0.0)
 
 
 def npz_predict_fn(path: str) -> Callable[[], Callable]:
-    """Factory for a linear scorer whose weights live in a file on shared storage.
+    """Factory for a linear scorer whose weights live in a file.
 
     Only the path travels with the task; each Python worker opens the file
     once, when Spark first calls the factory there, the way a trained
-    checkpoint is loaded for inference.
+    checkpoint is loaded for inference.  ``path`` is either readable by every
+    worker, or a bare file name shipped with ``SparkContext.addFile`` and
+    resolved through ``SparkFiles.get``.
     """
     def make():
-        with np.load(path) as data:
+        import os
+
+        local = path
+        if os.sep not in path:
+            from pyspark import SparkFiles
+
+            local = SparkFiles.get(path)
+        with np.load(local) as data:
             w = np.asarray(data["w"], dtype=np.float64)
             b = float(data["b"])
 

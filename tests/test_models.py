@@ -132,3 +132,16 @@ def test_npz_weights_scorer_matches_in_memory(spark, tmp_out):
     b = score_batches(df, "x", linear_predict_fn(w, 0.1), width=3, batch_size=1).collect()
     assert [r.logit for r in a] == pytest.approx([r.logit for r in b])
     assert a[0].logit == pytest.approx(0.5 - 2.0 + 0.75 + 0.1)
+
+
+def test_npz_weights_shipped_with_add_file(spark, tmp_out):
+    import os
+
+    from pulsegrid.operators.score import npz_predict_fn, save_linear_weights
+
+    path = os.path.join(tmp_out, "shipped_weights.npz")
+    save_linear_weights(path, [2.0, 1.0], -0.5)
+    spark.sparkContext.addFile(path)
+    df = spark.createDataFrame([([1.0, 3.0],)], "x array<double>")
+    got = score_batches(df, "x", npz_predict_fn("shipped_weights.npz"), width=2).first().logit
+    assert got == pytest.approx(2.0 + 3.0 - 0.5)
