@@ -43,7 +43,13 @@ def probability_column(model_name: str) -> str:
 
 @dataclass
 class ModelSettings:
-    """Fitter settings; the defaults are Spark's (and the original flow's)."""
+    """Fitter settings.
+
+    Fixed values from the original flow: 12 trees with ``sqrt`` features per
+    node for the forest.  Everything else is Spark's default (LR: 100
+    iterations, tol 1e-6; forest depth 5; SVC: 100 iterations, no
+    regularisation); the forest seed is explicit so runs repeat.
+    """
 
     lr_max_iter: int = 100
     lr_tol: float = 1e-6
