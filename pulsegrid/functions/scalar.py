@@ -49,13 +49,27 @@ def percent_of(numerator: str | Column, denominator: str | Column) -> Column:
     return F.try_divide(_c(numerator).cast("double"), _c(denominator).cast("double")) * F.lit(100.0)
 
 
+# Widths up to this are unrolled into one expression per element (stays in
+# whole-stage codegen); wider arrays use one higher-order function instead, so
+# the plan does not grow with the width.
+UNROLL_LIMIT = 256
+
+
+def _const_array(values: Sequence[float]) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
+
+
 def dot(x: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:
     """Linear score ``x · w + b`` for an array column ``x`` and fixed weights.
 
-    Written out as ``((0 + x[0]*w0) + x[1]*w1) + ...`` so it stays inside
-    whole-stage codegen (a higher-order ``aggregate`` would be interpreted).
+    Up to ``UNROLL_LIMIT`` elements it is written out as
+    ``((0 + x[0]*w0) + x[1]*w1) + ...`` so it stays inside whole-stage codegen;
+    wider, it is one ``aggregate(zip_with(...))`` (same left-to-right sum).
     """
     arr = _c(x)
+    if len(weights) > UNROLL_LIMIT:
+        prods = F.zip_with(arr.cast("array<double>"), _const_array(weights), lambda a, b: a * b)
+        return F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(bias))
     acc = F.lit(0.0)
     for i, w in enumerate(weights):
         acc = acc + arr[i].cast("double") * F.lit(float(w))
@@ -65,7 +79,13 @@ def dot(x: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:
 def affine_array(x: str | Column, shift: Sequence[float], scale: Sequence[float]) -> Column:
     """``[(x[i] - shift[i]) / scale[i]]`` element-wise; NULL where ``scale[i]`` is 0."""
     arr = _c(x)
-    return F.array(*[F.try_divide(arr[i].cast("double") - F.lit(float(m)), F.lit(float(s)))
+    if len(shift) > UNROLL_LIMIT:
+        pairs = F.arrays_zip(_const_array(shift).alias("m"),
+                             F.array(*[F.lit(None if v is None else float(v)).cast("double")
+                                       for v in scale]).alias("s"))
+        return F.zip_with(arr.cast("array<double>"), pairs,
+                          lambda v, p: F.try_divide(v - p["m"], p["s"]))
+    return F.array(*[F.try_divide(arr[i].cast("double") - F.lit(float(m)), F.lit(s).cast("double"))
                      for i, (m, s) in enumerate(zip(shift, scale))])
 
 

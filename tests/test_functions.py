@@ -60,3 +60,17 @@ def test_dot_and_format(spark):
     assert row.d == pytest.approx(0.5 - 2.0 + 6.0 + 0.25)
     assert row.t == "0.12345679"
     assert row.p == "12.3457%"
+
+
+def test_wide_arrays_use_the_same_arithmetic(spark, monkeypatch):
+    import pulsegrid.functions.scalar as S
+
+    w = [0.1 * (i % 5 - 2) for i in range(10)]
+    m = [float(i) for i in range(10)]
+    sd = [1.0 + i for i in range(9)] + [0.0]
+    df = spark.createDataFrame([([float(i * i) for i in range(10)],)], "x array<double>")
+    narrow = df.select(S.dot("x", w, 0.5).alias("d"), S.affine_array("x", m, sd).alias("z")).first()
+    monkeypatch.setattr(S, "UNROLL_LIMIT", 3)
+    wide = df.select(S.dot("x", w, 0.5).alias("d"), S.affine_array("x", m, sd).alias("z")).first()
+    assert wide.d == narrow.d
+    assert wide.z == narrow.z and wide.z[-1] is None
