@@ -97,6 +97,16 @@ def balance(df: DataFrame, fractions: Mapping[float, float], seed: int, key: Key
     return df.filter(keep)
 
 
+def balance_sample_by(df: DataFrame, fractions: Mapping[float, float], seed: int,
+                      label: str = "label") -> DataFrame:
+    """D5 with Spark's ``sampleBy`` (per-row Bernoulli draws), for parity runs.
+
+    One pass like ``balance``, but which rows are kept depends on the
+    partition layout; classes not named are dropped, as ``sampleBy`` does.
+    """
+    return df.sampleBy(label, {float(k): float(v) for k, v in fractions.items()}, seed)
+
+
 def balancing_fractions(df: DataFrame, label: str = "label",
                         positive: float = 1.0, negative: float = 0.0) -> dict[float, float]:
     """Fraction of the larger class that makes both classes about equal.

@@ -127,3 +127,13 @@ def test_balance_keeps_unnamed_and_null_labels(spark):
     df = spark.createDataFrame([(1, 0.0), (2, 1.0), (3, None), (4, 2.0)], "k long, label double")
     kept = SP.balance(df, {0.0: 0.0}, 1, "k")
     assert sorted(r.k for r in kept.collect()) == [2, 3, 4]
+
+
+def test_balance_sample_by_keeps_about_the_fraction(spark):
+    ev = _events(spark).withColumn("label", (F.col("value") > 25).cast("double"))
+    out = SP.balance_sample_by(ev, {0.0: 1.0, 1.0: 0.5}, 3)
+    n0 = ev.filter("label = 0").count()
+    n1 = ev.filter("label = 1").count()
+    got = {r.label: r["count"] for r in out.groupBy("label").count().collect()}
+    assert got[0.0] == n0
+    assert 0.4 * n1 < got[1.0] < 0.6 * n1
