@@ -65,9 +65,23 @@ def run_to_table(metrics: DataFrame, query_name: str, checkpoint: str | None = N
 
 
 def start_running_confusion(metrics: DataFrame, query_name: str,
-                            checkpoint: str | None = None) -> StreamingQuery:
-    """Run the aggregate into an in-memory table (complete mode; state = one row per group)."""
+                            checkpoint: str | None = None,
+                            table_path: str | None = None) -> StreamingQuery:
+    """Run the aggregate in complete mode (state = one row per group).
+
+    Without ``table_path`` the result is an in-memory table named
+    ``query_name`` (small: one row per group).  With it, every micro-batch
+    overwrites a parquet table there with the complete result (file sinks
+    take no complete mode, ``foreachBatch`` does).
+    """
     spark = metrics.sparkSession
     location = checkpoint or scratch_path(spark, f"stream-{query_name}")
-    return (metrics.writeStream.outputMode("complete").format("memory")
-            .queryName(query_name).option("checkpointLocation", location).start())
+    writer = (metrics.writeStream.outputMode("complete").queryName(query_name)
+              .option("checkpointLocation", location))
+    if table_path is None:
+        return writer.format("memory").start()
+
+    def overwrite(batch: DataFrame, _epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(table_path)
+
+    return writer.foreachBatch(overwrite).start()

@@ -37,3 +37,21 @@ def test_stream_matches_batch(spark, tmp_out):
     batch = metric_grid(score_all(prep(raw), models))
     exp = {(r.model, r.split): (r.tp, r.tn, r.fp, r.fn) for r in batch.collect()}
     assert got == exp
+
+
+def test_stream_to_parquet_table(spark, tmp_out):
+    from pulsegrid.plans.catalog import rule_scored_rows, signal_from_lineitem
+    from pulsegrid.streaming import running_confusion_scored
+
+    schema = spark.read.parquet(f"{SF001}/lineitem.parquet").schema
+    stream = stream_table(spark, SF001, schema, glob="lineitem.parquet")
+    li = stream.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                       "l_discount", "l_tax", "l_returnflag")
+    metrics = running_confusion_scored(rule_scored_rows(signal_from_lineitem(li)))
+    out = os.path.join(tmp_out, "grid")
+    q = start_running_confusion(metrics, "pg_stream_table_test", os.path.join(tmp_out, "ck"), out)
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    assert got.count() == 12
+    assert got.agg(F.sum("n")).first()[0] == 4 * spark.read.parquet(f"{SF001}/lineitem.parquet").count()
