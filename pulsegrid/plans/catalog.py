@@ -98,6 +98,36 @@ def line_logit_sql() -> str:
     return f"({expr} + {_dbl(LINE_BIAS)})"
 
 
+def positive_zero_rounds(sql: str) -> str:
+    """Wrap every ``round(...)`` call as ``(round(...) + 0.0)``.
+
+    DuckDB rounds a tiny negative value to ``-0.0``; Spark's ``round`` goes
+    through a decimal and gives ``0.0``.  Adding ``0.0`` turns ``-0.0`` into
+    ``0.0`` (IEEE) and leaves every other value unchanged.  Only the exact
+    function name ``round`` is wrapped (not ``round_even``); the SQL here has
+    no parentheses inside string literals.
+    """
+    out, i, token = [], 0, "round("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + len(token)])
+            i = j + len(token)
+            continue
+        depth, k = 0, j + len(token) - 1
+        while k < len(sql):
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        inner = positive_zero_rounds(sql[j + len(token):k])
+        out.append(sql[i:j] + "(round(" + inner + ") + 0.0)")
+        i = k + 1
+
+
 def bce_sql(z: str, y: str) -> str:
     return f"(greatest({z}, 0.0::DOUBLE) - {z} * {y} + ln(1 + exp(-abs({z}))))"
 
@@ -509,7 +539,7 @@ def _inference_sql() -> str:
         "count(*) OVER () AS n FROM zz)")
 
 
-ORACLES: dict[str, str] = {
+_ORACLES: dict[str, str] = {
     "p1_p3_signal_columns":
         f"SELECT l_orderkey, l_linenumber, {_feats_sql()}, {LABEL_R_SQL} AS label FROM lineitem",
     "s1_csv_inferred":
@@ -618,3 +648,5 @@ ORACLES: dict[str, str] = {
         f"WHERE pos >= floor(CAST(n AS DOUBLE) * {_dbl(EXACT_FRACTION)}) ORDER BY pos LIMIT {FIRST_N}) "
         "SELECT bool_and(y IS NOT DISTINCT FROM p) AS all_equal, count(*) AS n FROM v",
 }
+
+ORACLES: dict[str, str] = {name: positive_zero_rounds(sql) for name, sql in _ORACLES.items()}

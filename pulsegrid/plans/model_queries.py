@@ -37,7 +37,14 @@ from pulsegrid.operators.models import (
     score_all,
 )
 from pulsegrid.operators.neural import fit_with_curve
-from pulsegrid.plans.catalog import FEATS, LABEL_R_SQL, SPLIT_NAMES, SPLIT_SEED, split_case_sql
+from pulsegrid.plans.catalog import (
+    FEATS,
+    LABEL_R_SQL,
+    SPLIT_NAMES,
+    SPLIT_SEED,
+    positive_zero_rounds,
+    split_case_sql,
+)
 from pulsegrid.plans.classify import embeddings_signal, flagship_result, prepare
 from pulsegrid.session import scratch_path
 from pulsegrid.sources.sinks import load_model, save_model
@@ -320,7 +327,7 @@ def _roundtrip_sql() -> str:
 
 
 ORACLES = {
-    "m1_lr_score_equations": _score_eq_sql(),
+    "m1_lr_score_equations": positive_zero_rounds(_score_eq_sql()),
     "m2_rf_stump_threshold": _stump_sql(),
     "m3_svc_separable_counts":
         f"SELECT CAST(l_quantity > {SVC_THRESHOLD_QTY} AS DOUBLE) AS prediction, count(*) AS n "

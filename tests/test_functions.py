@@ -74,3 +74,14 @@ def test_wide_arrays_use_the_same_arithmetic(spark, monkeypatch):
     wide = df.select(S.dot("x", w, 0.5).alias("d"), S.affine_array("x", m, sd).alias("z")).first()
     assert wide.d == narrow.d
     assert wide.z == narrow.z and wide.z[-1] is None
+
+
+def test_oracle_rounds_never_give_negative_zero():
+    import duckdb
+
+    from pulsegrid.plans.catalog import positive_zero_rounds
+
+    sql = positive_zero_rounds("SELECT round(-0.00000001::DOUBLE, 6) AS a, round(round(-1e-9, 3), 6) AS b, "
+                               "round_even(0.4, 0) AS c")
+    a, b, c = duckdb.sql(sql).fetchall()[0]
+    assert str(a) == "0.0" and str(b) == "0.0" and float(c) == 0.0
