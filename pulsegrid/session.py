@@ -45,7 +45,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_CREATED: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the checkpoint folder for written tables."""
+    """A fresh, unique path below the checkpoint folder for written tables.
+
+    Results that read from such a table (positions, CSV copies) read it
+    lazily, so nothing here deletes them; ``scratch_paths`` lists what this
+    process created, for the job to remove once its outputs are written (or
+    leave to a retention rule on the checkpoint folder).
+    """
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _CREATED.append(path)
+    return path
+
+
+def scratch_paths() -> list[str]:
+    """Scratch folders created by this process, oldest first."""
+    return list(_CREATED)

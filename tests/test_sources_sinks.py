@@ -63,3 +63,10 @@ def test_report_write_and_append(spark, tmp_out):
     append_report_csv(spark, rep, res, "run-2")
     got = spark.read.option("header", "true").csv(res)
     assert got.count() == 4 and {r.run_id for r in got.collect()} == {"run-1", "run-2"}
+
+
+def test_scratch_paths_are_recorded(spark):
+    from pulsegrid.session import scratch_path, scratch_paths
+
+    p = scratch_path(spark, "probe")
+    assert p in scratch_paths() and "probe-" in p
