@@ -81,3 +81,13 @@ def test_classify_signal_csv_end_to_end(spark, tmp_out):
     a = {r.row_key for r in keyed.collect()}
     b = {r.row_key for r in content_key(wide.repartition(3)).collect()}
     assert a == b
+
+
+def test_training_flow_fit_on_all_differs(spark, tmp_out):
+    a = training_flow(spark, SF001, os.path.join(tmp_out, "la"), "r", seed=22, hidden=(4,),
+                      chunk_iters=1, chunks=1, every=1)
+    b = training_flow(spark, SF001, os.path.join(tmp_out, "lb"), "r", seed=22, hidden=(4,),
+                      chunk_iters=1, chunks=1, every=1, fit_on="all")
+    la = [r.val_loss for r in a.log.orderBy("step").collect()]
+    lb = [r.val_loss for r in b.log.orderBy("step").collect()]
+    assert len(la) == len(lb) == 2 and la != lb
