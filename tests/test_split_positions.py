@@ -137,3 +137,16 @@ def test_balance_sample_by_keeps_about_the_fraction(spark):
     got = {r.label: r["count"] for r in out.groupBy("label").count().collect()}
     assert got[0.0] == n0
     assert 0.4 * n1 < got[1.0] < 0.6 * n1
+
+
+def test_positions_survive_task_retries():
+    """Every task's first attempt fails upstream of the sort; results must not change."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = os.path.join(root, "tests", "scripts", "retry_positions.py")
+    out = subprocess.run([sys.executable, script, root, SF01], capture_output=True, text=True,
+                         timeout=600)
+    assert "SAME" in out.stdout, out.stdout[-2000:] + out.stderr[-2000:]
