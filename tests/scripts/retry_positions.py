@@ -1,4 +1,4 @@
-"""Exact split with every first task attempt failing upstream of the sort.
+"""Exact split and metric grid with every first task attempt failing upstream.
 
 Run as a subprocess (needs its own SparkContext with task retries):
 prints ``SAME`` if the positions equal a run without failures.
@@ -31,4 +31,18 @@ def fail_first_attempt(v):
 clean = {r.event_id: (r.pos, r.split) for r in exact_split(ev, 0.7, 22, "event_id").collect()}
 flaky_in = ev.withColumn("value", fail_first_attempt("value"))
 flaky = {r.event_id: (r.pos, r.split) for r in exact_split(flaky_in, 0.7, 22, "event_id").collect()}
-print("SAME" if clean == flaky and len(clean) == ev.count() else "DIFFERENT")
+same_positions = clean == flaky and len(clean) == ev.count()
+
+from pulsegrid.operators.evaluate import metric_grid  # noqa: E402
+from pulsegrid.plans.catalog import rule_scored_rows, signal_from_lineitem  # noqa: E402
+
+li = spark.read.parquet(f"{sys.argv[2]}/lineitem.parquet").repartition(4)
+
+
+def grid(df):
+    rows = metric_grid(rule_scored_rows(signal_from_lineitem(df))).collect()
+    return {(r.model, r.split): (r.tp, r.tn, r.fp, r.fn, r.n) for r in rows}
+
+
+same_grid = grid(li) == grid(li.withColumn("l_tax", fail_first_attempt("l_tax")))
+print("SAME" if same_positions and same_grid else f"DIFFERENT {same_positions} {same_grid}")
