@@ -46,6 +46,7 @@ FIRST_N = 50               # rows taken from the validation part
 EVERY_K = 10               # every k-th logged value
 BATCH = 32                 # mini-batch size
 CHECK_N = 64               # rows of the pre-scoring loss check
+REPORT_RUN = "run-0"       # run id of the report round trip
 ROUND = 6
 # A mean of <= 32 two-decimal values has at most 7 decimals: round past them, not onto a tie.
 MEAN_ROUND = 9
@@ -406,6 +407,19 @@ def q_p8_xy_concat(spark, sf_dir):
                       _r(F.aggregate("xy", F.lit(0.0), lambda a, v: a + v), "xy_sum"))
 
 
+def q_s6_s7_report_roundtrip(spark, sf_dir):
+    """S6 + S7: rule-model grid report written as text, appended to a results CSV, read back."""
+    from pulsegrid.plans.report import report_lines
+    from pulsegrid.sources.sinks import append_report_csv, write_report
+
+    grid = E.metric_grid(_rule_scored(spark, sf_dir))
+    lines = report_lines(grid).withColumnRenamed("position", "order")
+    base = scratch_path(spark, "rule-report")
+    write_report(lines, f"{base}/report")
+    append_report_csv(spark, f"{base}/report", f"{base}/results", REPORT_RUN)
+    return spark.read.option("header", "true").csv(f"{base}/results").select("line", "run_id")
+
+
 def q_stream_e8_metric_grid(spark, sf_dir):
     """Streaming E1-E8: lineitem read as a file stream, rule models scored, running counts.
 
@@ -458,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "m8_inference_first_rows_loss": q_m8_inference_first_rows_loss,
     "a5_inference_match": q_a5_inference_match,
     "stream_e8_metric_grid": q_stream_e8_metric_grid,
+    "s6_s7_report_roundtrip": q_s6_s7_report_roundtrip,
 }
 
 
@@ -539,6 +554,23 @@ def _inference_sql() -> str:
         "count(*) OVER () AS n FROM zz)")
 
 
+def _report_sql() -> str:
+    from pulsegrid.plans.report import METRIC_TITLES, MODEL_TITLES, SPLIT_TITLES
+
+    def case(col, titles):
+        arms = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in titles.items())
+        return f"CASE {col} {arms} ELSE {col} END"
+
+    parts = [f"SELECT printf('%s %s Results:', {case('model', MODEL_TITLES)}, "
+             f"{case('split', SPLIT_TITLES)}) AS line FROM grid"]
+    for m in E.METRIC_COLUMNS:
+        t = METRIC_TITLES[m]
+        parts.append(f"SELECT CASE WHEN {m} IS NULL THEN '{t}: undefined (zero denominator)' "
+                     f"ELSE printf('%s: %2.4f%%', '{t}', {m}) END FROM grid")
+    return (_grid_sql() + ", lines AS (" + " UNION ALL ".join(parts) + ") "
+            f"SELECT line, '{REPORT_RUN}' AS run_id FROM lines")
+
+
 _ORACLES: dict[str, str] = {
     "p1_p3_signal_columns":
         f"SELECT l_orderkey, l_linenumber, {_feats_sql()}, {LABEL_R_SQL} AS label FROM lineitem",
@@ -627,6 +659,7 @@ _ORACLES: dict[str, str] = {
         f"count(*) AS n FROM (SELECT l_linestatus, {LABEL_R_SQL} AS label, "
         f"CAST(round_even({_sig(line_logit_sql())}, 0) AS DOUBLE) AS prediction FROM lineitem) "
         "GROUP BY l_linestatus",
+    "s6_s7_report_roundtrip": _report_sql(),
     "stream_e8_metric_grid":
         _grid_sql() + " SELECT model, split, tp, tn, fp, fn, n, "
         + ", ".join(f"round({m}, {ROUND}) AS {m}" for m in E.METRIC_COLUMNS) + " FROM grid",

@@ -38,10 +38,15 @@ def _title(col: str, titles: dict) -> F.Column:
     return F.coalesce(mapping[expr], expr)
 
 
-def report_lines(metrics: DataFrame, timings: DataFrame) -> DataFrame:
-    """``(position, line)``: total time, then per model its fit time and metrics per split."""
+def _orders():
     model_order = F.create_map(*[F.lit(x) for i, m in enumerate(MODEL_TITLES) for x in (m, i)])
     split_order = F.create_map(*[F.lit(x) for i, s in enumerate(SPLIT_TITLES) for x in (s, i)])
+    return model_order, split_order
+
+
+def _timing_lines(timings: DataFrame) -> DataFrame:
+    """Total time first, then one runtime line per fitted model."""
+    model_order, _ = _orders()
     total = timings.filter((F.col("model") == "all") & (F.col("stage") == "total")).select(
         F.lit(0).cast("bigint").alias("position"),
         F.format_string("Total time of training all models: %.4f seconds", "seconds").alias("line"))
@@ -50,6 +55,15 @@ def report_lines(metrics: DataFrame, timings: DataFrame) -> DataFrame:
         .alias("position"),
         F.format_string("%s Runtime: %.4f seconds", _title("model", MODEL_TITLES),
                         "seconds").alias("line"))
+    return total.unionByName(fits)
+
+
+def report_lines(metrics: DataFrame, timings: DataFrame | None = None) -> DataFrame:
+    """``(position, line)``: total time, then per model its fit time and metrics per split.
+
+    Without ``timings`` only the per-split headers and metric lines are made.
+    """
+    model_order, split_order = _orders()
     base = (F.lit(1000) * (F.coalesce(model_order[F.col("model")], F.lit(99)) + 1)
             + F.lit(100) * (F.coalesce(split_order[F.col("split")], F.lit(9)) + 1))
     headers = metrics.select(base.cast("bigint").alias("position"),
@@ -65,7 +79,8 @@ def report_lines(metrics: DataFrame, timings: DataFrame) -> DataFrame:
                F.format_string("%s: undefined (zero denominator)", _title("metric", METRIC_TITLES)))
         .otherwise(F.format_string("%s: %2.4f%%", _title("metric", METRIC_TITLES), F.col("value")))
         .alias("line"))
-    return total.unionByName(fits).unionByName(headers).unionByName(values)
+    lines = headers.unionByName(values)
+    return lines if timings is None else _timing_lines(timings).unionByName(lines)
 
 
 def write_run_report(spark, metrics: DataFrame, timings: DataFrame, report_path: str,
