@@ -407,6 +407,21 @@ def q_p8_xy_concat(spark, sf_dir):
                       _r(F.aggregate("xy", F.lit(0.0), lambda a, v: a + v), "xy_sum"))
 
 
+def q_s4_s3_log_roundtrip(spark, sf_dir):
+    """S4 + S3 + P6 + P7 + X4: a per-batch log appended as CSV, read back, every 10th value."""
+    from pulsegrid.sources.csv import read_log_csv
+    from pulsegrid.sources.sinks import append_log
+
+    ev = read_table(spark, sf_dir, "events", ["event_id", "value"])
+    batched = POS.with_batches(ev, BATCH, POS.shuffle_order(SPLIT_SEED, "event_id"))
+    log = batched.groupBy(F.col("batch").alias("step")).agg(F.avg("value").alias("val_loss"))
+    path = scratch_path(spark, "batch-log")
+    append_log(log, path, run_id=REPORT_RUN, single_file=True)  # one row per batch
+    back = read_log_csv(spark, f"{path}/run_id={REPORT_RUN}")
+    kth = every_kth_logged(back, "step", "val_loss", EVERY_K)
+    return kth.select("step", "pos", fixed_decimals("val_loss", "%.8f").alias("val_loss_text"))
+
+
 def q_s6_s7_report_roundtrip(spark, sf_dir):
     """S6 + S7: rule-model grid report written as text, appended to a results CSV, read back."""
     from pulsegrid.plans.report import report_lines
@@ -473,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "a5_inference_match": q_a5_inference_match,
     "stream_e8_metric_grid": q_stream_e8_metric_grid,
     "s6_s7_report_roundtrip": q_s6_s7_report_roundtrip,
+    "s4_s3_log_roundtrip": q_s4_s3_log_roundtrip,
 }
 
 
@@ -660,6 +676,13 @@ _ORACLES: dict[str, str] = {
         f"CAST(round_even({_sig(line_logit_sql())}, 0) AS DOUBLE) AS prediction FROM lineitem) "
         "GROUP BY l_linestatus",
     "s6_s7_report_roundtrip": _report_sql(),
+    "s4_s3_log_roundtrip":
+        "WITH b AS (SELECT CAST(floor(pos / " + str(BATCH) + ") AS INTEGER) AS step, avg(value) AS m "
+        f"FROM (SELECT value, row_number() OVER (ORDER BY {md5_sql(SPLIT_SEED, ['event_id'])}, "
+        "event_id) - 1 AS pos FROM events) GROUP BY 1), "
+        "n AS (SELECT step, m, row_number() OVER (ORDER BY step) - 1 AS pos FROM b "
+        "WHERE m IS NOT NULL AND NOT isnan(m)) "
+        f"SELECT step, pos, printf('%.8f', m) AS val_loss_text FROM n WHERE pos % {EVERY_K} = 0",
     "stream_e8_metric_grid":
         _grid_sql() + " SELECT model, split, tp, tn, fp, fn, n, "
         + ", ".join(f"round({m}, {ROUND}) AS {m}" for m in E.METRIC_COLUMNS) + " FROM grid",
