@@ -86,3 +86,15 @@ def test_mean_bce(spark):
     assert E.mean_bce(df, "z").first().loss == pytest.approx(np.log(2))
     p = spark.createDataFrame([(0.5, 1.0), (0.5, 0.0)], "p double, label double")
     assert E.mean_log_loss(p, "p").first().loss == pytest.approx(np.log(2))
+
+
+def test_wide_and_unpivoted_stats_agree(spark, monkeypatch):
+    import pulsegrid.operators.stats as S
+
+    df = spark.createDataFrame([(1.0, 2.0, None), (3.0, 5.0, 1.0), (4.0, 5.5, 2.0)],
+                               "a double, b double, c double")
+    wide = {r.feature: (r.mean, r.std_samp, r.std_pop, r.n) for r in S.column_stats(df, ["a", "b", "c"]).collect()}
+    monkeypatch.setattr(S, "WIDE_AGGREGATE_LIMIT", 1)
+    long = {r.feature: (r.mean, r.std_samp, r.std_pop, r.n) for r in S.column_stats(df, ["a", "b", "c"]).collect()}
+    assert wide == long
+    assert wide["c"][0] == 1.5 and wide["c"][3] == 3
