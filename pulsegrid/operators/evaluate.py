@@ -68,6 +68,17 @@ def confusion_cells(counts: DataFrame, by: Sequence[str] = ("model", "split")) -
         "as (actual, predicted, n)")
 
 
+def matrix_rows(counts: DataFrame, by: Sequence[str] = ("model", "split")) -> DataFrame:
+    """E7 in the original layout ``[[tp, fp], [fn, tn]]``: rows ``Positive`` and ``Negative``.
+
+    Columns ``first`` and ``second`` hold the two matrix columns of each row,
+    the data behind the confusion-matrix plot (S10).
+    """
+    keys = [f"`{b}`" for b in by]
+    return counts.selectExpr(
+        *keys, "stack(2, 'Positive', tp, fp, 'Negative', fn, tn) as (row_label, first, second)")
+
+
 def long_metrics(grid: DataFrame, by: Sequence[str] = ("model", "split")) -> DataFrame:
     """Metric record as a long table ``(…, metric, value)``."""
     parts = ", ".join(f"'{m}', {m}" for m in METRIC_COLUMNS)

@@ -340,6 +340,11 @@ def q_e1_e7_confusion_cells(spark, sf_dir):
     return E.confusion_cells(counts, by=())
 
 
+def q_e7_matrix_rows(spark, sf_dir):
+    """``[[tp, fp], [fn, tn]]`` rows for every rule model and split."""
+    return E.matrix_rows(E.confusion_counts(_rule_scored(spark, sf_dir)))
+
+
 def q_e8_metric_grid(spark, sf_dir):
     """E1-E6 + E8: every rule model × split; zero denominators give NULL (Q12)."""
     grid = E.metric_grid(_rule_scored(spark, sf_dir))
@@ -485,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "x4_fixed_decimals": q_x4_fixed_decimals,
     "m7_batch_scorer": q_m7_batch_scorer,
     "e1_e7_confusion_cells": q_e1_e7_confusion_cells,
+    "e7_matrix_rows": q_e7_matrix_rows,
     "e8_metric_grid": q_e8_metric_grid,
     "s8_report_lines": q_s8_report_lines,
     "m8_mean_bce": q_m8_mean_bce,
@@ -665,6 +671,9 @@ _ORACLES: dict[str, str] = {
         "SELECT 0.0::DOUBLE, 1.0::DOUBLE, fp FROM c UNION ALL "
         "SELECT 1.0::DOUBLE, 0.0::DOUBLE, fn FROM c UNION ALL "
         "SELECT 0.0::DOUBLE, 0.0::DOUBLE, tn FROM c",
+    "e7_matrix_rows":
+        _grid_sql() + " SELECT model, split, 'Positive' AS row_label, tp AS first, fp AS second "
+        "FROM counts UNION ALL SELECT model, split, 'Negative', fn, tn FROM counts",
     "e8_metric_grid":
         _grid_sql() + " SELECT model, split, tp, tn, fp, fn, n, "
         + ", ".join(f"round({m}, {ROUND}) AS {m}" for m in E.METRIC_COLUMNS) + " FROM grid",

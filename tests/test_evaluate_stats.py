@@ -98,3 +98,9 @@ def test_wide_and_unpivoted_stats_agree(spark, monkeypatch):
     long = {r.feature: (r.mean, r.std_samp, r.std_pop, r.n) for r in S.column_stats(df, ["a", "b", "c"]).collect()}
     assert wide == long
     assert wide["c"][0] == 1.5 and wide["c"][3] == 3
+
+
+def test_matrix_rows_layout(spark):
+    g = E.confusion_counts(_scored(spark))
+    rows = {r.row_label: (r.first, r.second) for r in E.matrix_rows(g).collect()}
+    assert rows == {"Positive": (2, 1), "Negative": (1, 3)}
