@@ -100,13 +100,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
-def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.concatenate([[False], data != 32, [False]])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     return edge[::2], edge[1::2]
 
 
-def _block_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each word: a polynomial over its bytes, shifted to its own start."""
     if not len(starts):
         return np.zeros(0, np.uint64)
@@ -133,8 +133,8 @@ def hash_words(texts: Sequence[bytes], table: bytes, tails: bool = False) -> tup
                 cut = joined.find(b" ", end)
             end = len(joined) if cut < 0 else cut + 1
         data = np.frombuffer(joined, np.uint8, end - pos, pos)
-        starts, ends = _spans(data)
-        hashes.append(_block_hashes(data, starts, ends))
+        starts, ends = word_spans(data)
+        hashes.append(span_hashes(data, starts, ends))
         at.append(starts + pos)
         if tails:
             last = data[ends - 1].astype(np.uint16)

@@ -29,54 +29,137 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_bytes, slices, written
+from pulsegrid.llm.common import BLOCK_BYTES, SPACE_WORDS, as_bytes, slices, span_hashes, word_spans, written
 
 WINDOW, END = 2048, 1
-#: Words a worker remembers; beyond, it starts anew.
-CACHE_WORDS = 400_000
+#: Words that a worker remembers; beyond, it starts anew.
+CACHE_WORDS = 1_000_000
+
+#: Per byte: 1 for an ASCII letter or digit (lower case), 2 for a mark that may close a word, 3 for a space.
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = 1
+_KIND[list(b".,!?;:*$%&#|()")] = 2
+_KIND[32] = 3
+#: Stands between words that are encoded together: a token of its own, next to no other.
+_BETWEEN = "\x01"
 
 
 class WordCache:
-    """Token ids of a text as little-endian 32-bit bytes, word by word.
+    """Token ids of texts, by their words.
 
-    The tokenizer drops white space and no rule of it reaches across, so a text's
-    ids are its words' ids in order.
+    The tokenizer lower-cases and drops white space, and no rule of it reaches
+    across white space, so a text's ids are its words' ids in order.  Nor does
+    one reach from a letter or digit to the marks that close a word, so those
+    are words of their own.  Words are known by a 64-bit hash; ids lie in one
+    array.  A worker keeps one cache for all its tasks.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(set().union(*split))
-        for i in range(0, len(new), 50_000):
-            part = new[i: i + 50_000]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        self.tokenizer = Tokenizer.from_file(path)
+        (self.between,) = self.encode(_BETWEEN)
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def learn(self, keys: np.ndarray, words: list[bytes]) -> None:
+        """Add words that are not known; ``keys`` ascend."""
+        ids: list[np.ndarray] = []
+        sizes = np.zeros(len(words), np.int64)
+        for i in range(0, len(words), 2000):
+            part = words[i: i + 2000]
+            if any(b"\x01" in w for w in part):
+                own = [self.encode(w.decode()) for w in part]
+                ids += own
+                sizes[i: i + len(part)] = [len(x) for x in own]
+            else:
+                all_ids = self.encode(f" {_BETWEEN} ".join([w.decode() for w in part]))
+                mark = all_ids == self.between
+                ids.append(all_ids[~mark])
+                ends = np.append(np.flatnonzero(mark), len(all_ids))
+                sizes[i: i + len(part)] = np.diff(np.concatenate([[-1], ends])) - 1
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used: self.used + len(flat)] = flat
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used += len(flat)
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.start, self.size = (np.insert(x, at, y) for x, y in ((self.keys, keys), (self.start, starts), (self.size, sizes)))
+
+    def _some(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per text) of texts without a special token's opening."""
+        low = np.frombuffer(b" ".join([*texts, b""]).translate(SPACE_WORDS), np.uint8)
+        kind = _KIND[low]
+        mark = np.concatenate([[False], kind == 2, [False]])
+        edge = np.flatnonzero(mark[1:] != mark[:-1])
+        first, after = edge[::2], edge[1::2]
+        apart = first[(kind[first - 1] == 1) & (kind[after] == 3) & (first > 0)]
+        data = np.insert(low, apart, 32)
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        bounds = bounds + np.searchsorted(apart, bounds)
+        starts, ends = word_spans(data)
+        keys, where, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.keys) > CACHE_WORDS:
+            self.clear()
+        new = ~np.isin(keys, self.keys, assume_unique=True)
+        if new.any():
+            raw = data.tobytes()
+            self.learn(keys[new], [raw[a:b] for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
+        at = np.searchsorted(self.keys, keys)[which]
+        sizes = self.size[at]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.start[at] - upto[:-1], sizes) + np.arange(upto[-1])]
+        return ids, np.diff(upto[np.searchsorted(starts, bounds)])
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        # A special token's text must keep its case and place, and may hold marks.
+        plain = [b"" if b"<|" in t else t for t in texts]
+        ids, counts = self._some(plain)
+        cuts = np.cumsum([0, *counts]).tolist()
+        return [self.encode(t.decode()) if b"<|" in t else ids[a:b] for t, a, b in zip(texts, cuts[:-1], cuts[1:], strict=True)]
+
+    def long(self, text: bytes) -> np.ndarray:
+        """The ids of a text of any length, segment by segment, cut at white space."""
+        if b"<|" in text or len(text) <= 2 * BLOCK_BYTES:
+            return self.ids([text])[0]
+        out, pos = [], 0
+        while pos < len(text):
+            end = text.find(b" ", pos + BLOCK_BYTES)
+            end = len(text) if end < 0 else end
+            out.append(self.ids([text[pos:end]])[0])
+            pos = end
+        return np.concatenate(out)
+
+
+_CACHES: dict[str, WordCache] = {}
 
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
 def _cut(path: str, window: int, end: int, keep_ids: bool):
-    tail = np.array([end], "<u4").tobytes()
+    tail = np.array([end], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(path)
+        if path not in _CACHES:
+            _CACHES[path] = WordCache(path)
+        cache = _CACHES[path]
         for batch in batches:
             docs, texts = batch.column("doc_id").to_pylist(), as_bytes(batch.column("text"))
             for lo, hi in slices(texts):
                 rows = []
-                for doc, raw in zip(docs[lo:hi], cache.ids(texts[lo:hi]), strict=True):
-                    raw += tail
+                made = cache.ids(texts[lo:hi]) if hi - lo > 1 else [cache.long(texts[lo])]
+                for doc, ids in zip(docs[lo:hi], made, strict=True):
+                    raw = np.concatenate([ids, tail]).astype("<u4").tobytes()
                     n = len(raw) // 4
                     for s in range(0, n, window):
                         piece = raw[4 * s: 4 * (s + window)]

@@ -200,6 +200,23 @@ def test_packing_is_exact(which, request):
         assert total / (2048 * len(by)) > 0.97
 
 
+def test_word_cache_equals_the_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    tok, cache = Tokenizer.from_file(tokenizer_path()), packing.WordCache(tokenizer_path())
+    rng = np.random.default_rng(3)
+    alphabet = list("aAzZéÉßİ09'.-!?,*»\u0301\u3000 \t\n\x1c|<>") + ["it's", "<|endoftext|>", "<|ENDOFTEXT|>", "word", "ΑΣ", "\x01", "a\x01b", "don't."]
+    texts = ["".join(rng.choice(alphabet, int(rng.integers(0, 40)))) for _ in range(2000)]
+    for i in range(0, len(texts), 50):
+        part = texts[i: i + 50]
+        assert [x.tolist() for x in cache.ids([t.encode() for t in part])] == [tok.encode(t, add_special_tokens=False).ids for t in part]
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 50)
+    text = " ".join(texts[:200])
+    for t in (text.replace("<|", ""), text):
+        assert cache.long(t.encode()).tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_packing_plan_uses_every_piece_once():
     rng = np.random.default_rng(1)
     for window in (1, 7, 64):
