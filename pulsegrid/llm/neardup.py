@@ -7,7 +7,11 @@
    pairs: each member meets the bucket's most central member (the class with
    the most shared buckets), which joins almost every group; a second round
    takes the pairs of a bucket that are still in different components.
-   Pairs inside a component need no test, as they change nothing.
+   Pairs inside a component need no test, as they change nothing.  The second
+   round meets on the rarest shingles of those open classes: a pair that
+   reaches the threshold shares one of the first few in order of frequency (an
+   exact prefix filter), while a large group's outsiders, whose rarest shingles
+   are their own, meet almost no one.
 4. A candidate's signatures are compared in batches.  After n comparisons with
    m matches the posterior of the similarity (uniform prior) gives the chance
    that it reaches the threshold; a pair is pruned when that falls below the
@@ -34,7 +38,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import SPACE_WORDS, as_bytes, bounded, hash_words, mix64, slices, written
@@ -124,6 +128,20 @@ def _sign(n: int):
     return run
 
 
+def _shingles(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cids = batch.column("cid").to_numpy()
+            texts = as_bytes(batch.column("text"))
+            for lo, hi in slices(texts):
+                words, counts = hash_words(texts[lo:hi], SPACE_WORDS)
+                ends = np.cumsum(counts)
+                sets = [shingle_set(words[e - c: e], n) for c, e in zip(counts, ends, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(cids[lo:hi], [len(x) for x in sets])), pa.array(np.concatenate(sets).view(np.int64))], ["cid", "shingle"])
+    return run
+
+
 def _prune(steps: list[tuple[int, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,16 +201,20 @@ class NearDuplicates:
     def _size_fits(self, a: str, b: str):
         return (F.col(a) * 100 >= F.col(b) * self.percent) & (F.col(b) * 100 >= F.col(a) * self.percent)
 
-    def links(self, pairs: DataFrame) -> DataFrame:
+    def texts(self, cids: DataFrame) -> DataFrame:
+        """(cid, text) of the classes named, from one of their documents, as a written table."""
+        where = written(self.classes.select("cid", "doc_id", "text_hash").join(cids, "cid", "left_semi"), "nd-needed")
+        same = [self.docs[c].eqNullSafe(F.col(f"w_{c}")) for c in ("doc_id", "text_hash")]
+        side = bounded(where.toDF("cid", "w_doc_id", "w_text_hash"), BROADCAST_ROWS)
+        return written(self.docs.join(side, same[0] & same[1]).select("cid", "text").dropDuplicates(["cid"]), "nd-texts")
+
+    def links(self, pairs: DataFrame, texts: DataFrame | None = None) -> DataFrame:
         """The pairs (a, b) of classes that truly reach the threshold, as a written table."""
         signatures = self.classes.select("cid", "signature")
         both = (pairs.join(signatures.toDF("a", "sig_a"), "a").join(signatures.toDF("b", "sig_b"), "b"))
         alive = written(both.mapInArrow(_prune(self.steps), "a bigint, b bigint"), "nd-alive")
-        needed = alive.select(F.col("a").alias("cid")).union(alive.select("b")).distinct()
-        where = written(self.classes.select("cid", "doc_id", "text_hash").join(needed, "cid", "left_semi"), "nd-needed")
-        same = [self.docs[c].eqNullSafe(F.col(f"w_{c}")) for c in ("doc_id", "text_hash")]
-        side = bounded(where.toDF("cid", "w_doc_id", "w_text_hash"), BROADCAST_ROWS)
-        texts = written(self.docs.join(side, same[0] & same[1]).select("cid", "text").dropDuplicates(["cid"]), "nd-texts")
+        if texts is None:
+            texts = self.texts(alive.select(F.col("a").alias("cid")).union(alive.select("b")).distinct())
         full = (alive.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")).sortWithinPartitions("a")
         return written(full.mapInArrow(_verify(self.shingle, self.percent), "a bigint, b bigint"), "nd-links")
 
@@ -205,14 +227,41 @@ class NearDuplicates:
         pairs = entries.join(lead, "band").where((F.col("cid") != F.col("lead")) & self._size_fits("n", "lead_n"))
         return pairs.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct()
 
-    def rest_pairs(self, entries: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-        """Candidates whose classes are still in different components and were not tested."""
-        marked = entries.drop("held").join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    def open_entries(self, entries: DataFrame, labels: DataFrame) -> DataFrame:
+        """(band, cid, n, comp) of the buckets that hold more than one component."""
+        marked = entries.select("band", "cid", "n").join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
         split = marked.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-        marked = written(marked.join(split, "band", "left_semi"), "nd-marked")
-        a, b = (marked.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "comp")]) for s in "ab")
-        pairs = (a.join(b, "band").where((F.col("cid_a") < F.col("cid_b")) & (F.col("comp_a") != F.col("comp_b")) & self._size_fits("n_a", "n_b"))
-                 .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct())
+        return written(marked.join(split, "band", "left_semi"), "nd-open")
+
+    def rest_pairs(self, opened: DataFrame, texts: DataFrame, tested: DataFrame) -> DataFrame:
+        """Candidates among the open classes, in different components and not tested yet.
+
+        At t percent a pair needs (100 + t) * common >= t * (n_a + n_b).  A class
+        of n shingles whose partners have at least ``low`` needs so many in common
+        that one of its first n - common + 1 shingles, rarest first, is shared; and after the
+        first shared one both sides must have enough left.
+        Of the classes that meet at a shingle, only those outside the largest
+        component there look for partners.
+        """
+        t = self.percent
+        shingles = written(texts.mapInArrow(_shingles(self.shingle), "cid bigint, shingle bigint"), "nd-shingles")
+        floor = opened.groupBy("band").agg(F.min("n").alias("low"))
+        info = opened.join(floor, "band").groupBy("cid").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.min("low").alias("low"))
+        low = F.greatest("low", F.ceil(F.col("n") * t / 100))
+        info = info.select("cid", "n", "comp", (F.col("n") - F.ceil((F.col("n") + low) * t / (100 + t)) + 1).alias("prefix"))
+        df = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+        rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "shingle"))
+        rows = shingles.join(df, "shingle").withColumn("rank", rank).join(info, "cid").where("rank <= prefix and df > 1")
+        # What is left from here on, this shingle included: a bound on what is shared if it is the first in common.
+        rows = written(rows.select("shingle", "cid", "n", "comp", (F.col("n") - F.col("rank") + 1).alias("rest")), "nd-prefixes")
+        sizes = rows.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("held"))
+        main = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("held", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        rows = rows.join(main.select("shingle", "main"), "shingle")
+        a, b = (rows.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "comp", "rest", "main")]) for s in "ab")
+        pairs = a.where("comp_a != main_a").join(b, "shingle").where(
+            (F.least("rest_a", "rest_b") * (100 + t) >= (F.col("n_a") + F.col("n_b")) * t) &
+            (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main_b")) | (F.col("cid_a") < F.col("cid_b"))) & self._size_fits("n_a", "n_b"))
+        pairs = pairs.select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()
         return pairs.join(tested, ["a", "b"], "left_anti")
 
     def components(self) -> DataFrame:
@@ -221,7 +270,9 @@ class NearDuplicates:
             entries = written(self.entries(), "nd-entries")
             star = written(self.star_pairs(entries), "nd-star")
             first = self.links(star)
-            second = self.links(written(self.rest_pairs(entries, connected(first), star), "nd-rest"))
+            opened = self.open_entries(entries, connected(first))
+            texts = self.texts(opened.select("cid").distinct())
+            second = self.links(written(self.rest_pairs(opened, texts, star), "nd-rest"), texts)
             self._components = connected(first.union(second))
         return self._components
 
