@@ -13,7 +13,9 @@ Past ``ALONE`` customers of a dish, customers are seated ``1 / ALONE`` of the
 count at a time.  Every pass draws from a generator seeded by sweep and batch,
 so a repeated task seats alike.
 
-The kept sweeps' predictive probabilities are averaged.  Scoring never loads
+The kept sweeps' predictive probabilities are averaged (for a type that a
+context has never had, the share that the context gives to the parent and the
+parent's probability each are).  Scoring never loads
 the vocabulary: texts are dealt into blocks of about ``BLOCK`` bytes, each block
 is joined to the types it holds, and a block is scored with its own dictionary.
 
@@ -34,12 +36,12 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import SPACE_WORDS, as_bytes, crc32_text, hash_words, mix64, slices, written
 
-CONTEXTS = 32
+CONTEXTS = 8
 BURN_IN, KEPT = 2, 3
 #: Customers of one dish that are seated one by one.
 ALONE = 20
 #: Text bytes of one scoring block.
-BLOCK = 32 << 20
+BLOCK = 24 << 20
 #: Tokens counted together before they are sent on, and types sampled together.
 COUNT_TOKENS, SAMPLE_TYPES = 4_000_000, 200_000
 
@@ -187,34 +189,59 @@ def _sweep(sweep: int, totals: Totals):
 
 
 def _records(history: list[tuple[int, Totals, Totals]]):
-    """One row per type: its count, the parent's probability in each kept sweep, and its own share by context."""
+    """One row per type: its count, and as 32-bit floats the parent's probability and the type's in each context that has it, averaged over the kept sweeps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             who, context, counts = _flat(batch)
-            parents, own = [], np.zeros(len(counts))
+            parent, known = np.zeros(batch.num_rows), np.zeros(len(counts))
             for sweep, before, after in history:
                 s = seat(who, context, counts, batch.num_rows, before, _rng(sweep, batch))
-                parents.append(after.parent(s.parent_customers, s.parent_tables).astype("<f4"))
-                own += np.maximum(counts - after.discount * s.tables, 0) / (after.strength + after.customers[context])
-            head = np.stack(parents, axis=1)
-            own = (own / len(history)).astype("<f4")
-            cuts = np.searchsorted(who, np.arange(batch.num_rows + 1))
-            rows = [head[i].tobytes() + context[a:b].astype(np.uint8).tobytes() + own[a:b].tobytes() for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(rows, pa.binary())], ["word", "c", "record"])
+                base = after.parent(s.parent_customers, s.parent_tables)
+                parent += base / len(history)
+                own = np.maximum(counts - after.discount * s.tables, 0) / (after.strength + after.customers[context])
+                known += (own + after.share()[context] * base[who]) / len(history)
+            k = np.bincount(who, minlength=batch.num_rows)
+            ends = np.cumsum(4 + 5 * k)
+            starts = ends - (4 + 5 * k)
+            out = np.zeros(ends[-1], np.uint8)
+            out[starts[:, None] + np.arange(4)] = parent.astype("<f4").view(np.uint8).reshape(-1, 4)
+            nth = np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k)
+            out[starts[who] + 4 + nth] = context
+            out[(starts[who] + 4 + k[who] + 4 * nth)[:, None] + np.arange(4)] = known.astype("<f4").view(np.uint8).reshape(-1, 4)
+            cuts = np.concatenate([[0], ends]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(cuts), pa.py_buffer(out)])], ["word", "c", "record"])
 
     return run
 
 
+def decode(records: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts of each type, context, probability there, parent's probability of each type) of the types' records."""
+    cuts = np.frombuffer(records.buffers()[1], np.int32)[records.offset: records.offset + len(records) + 1].astype(np.int64)
+    data = np.frombuffer(records.buffers()[2], np.uint8)
+    starts, k = cuts[:-1], (np.diff(cuts) - 4) // 5
+    nth = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+    first = np.repeat(starts + 4, k)
+    floats = lambda at: data[at[:, None] + np.arange(4)].copy().view("<f4").ravel().astype(float)
+    return k, data[first + nth], floats(first + np.repeat(k, k) + 4 * nth), floats(starts)
+
+
 @dataclass
 class Model:
-    """``records``: the written type table; the rest is a few numbers per restaurant."""
+    """``records``: the written type table; ``totals``: the restaurants after each kept sweep."""
 
     records: DataFrame
     n_tokens: int
     n_types: int
-    share: np.ndarray  # kept sweeps x contexts
-    unknown: np.ndarray  # the parent's probability of the unknown token, by kept sweep
+    totals: list[Totals]
+
+    def share(self) -> np.ndarray:
+        """What each context gives to the parent's distribution, averaged over the kept sweeps."""
+        return np.mean([t.share() for t in self.totals], axis=0)
+
+    def unknown(self) -> float:
+        """The parent's probability of the unknown token, averaged likewise."""
+        return float(np.mean([t.parent(np.zeros(1), np.zeros(1))[0] for t in self.totals]))
 
 
 def fit(train: DataFrame) -> Model:
@@ -248,8 +275,7 @@ def fit(train: DataFrame) -> Model:
             history.append((sweep, totals, after))
         totals = after
     records = written(types.mapInArrow(_records(history), "word bigint, c bigint, record binary"), "lm-records")
-    none = np.zeros(1)
-    return Model(records, n_tokens, int(n_types), np.stack([t.share() for _, _, t in history]), np.array([t.parent(none, none)[0] for _, _, t in history]))
+    return Model(records, n_tokens, int(n_types), [after for _, _, after in history])
 
 
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,20 +290,14 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def _score(share: np.ndarray, unknown: np.ndarray, n_tokens: int, n_types: int):
-    kept = len(unknown)
-
+def _score(share: np.ndarray, unknown: float, n_tokens: int, n_types: int):
     def run(texts: pa.Table, records: pa.Table) -> pa.Table:
         words, first = np.unique(records.column("word").to_numpy().view(np.uint64), return_index=True)
-        raw = records.column("record").to_pylist()
-        raw = [raw[i] for i in first]
-        sizes = np.array([(len(r) - 4 * kept) // 5 for r in raw], np.int64)
-        parents = np.frombuffer(b"".join(r[: 4 * kept] for r in raw), "<f4").reshape(-1, kept).astype(float)
-        contexts = np.frombuffer(b"".join(r[4 * kept: 4 * kept + n] for r, n in zip(raw, sizes, strict=True)), np.uint8)
-        own = np.append(np.frombuffer(b"".join(r[4 * kept + n:] for r, n in zip(raw, sizes, strict=True)), "<f4").astype(float), 0.0)
-        pairs = np.repeat(words, sizes) | contexts.astype(np.uint64)
-        counts = np.append(records.column("c").to_numpy()[first], 0).astype(float)
-        parents = np.concatenate([parents, unknown[None, :]])
+        counts, known, pairs, parents = records.column("c").to_numpy()[first].astype(float), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0)
+        if len(words):
+            k, context, known, parents = decode(records.column("record").combine_chunks().take(pa.array(first)))
+            pairs = np.repeat(words, k) | context.astype(np.uint64)
+        known, counts, parents = np.append(known, 0.0), np.append(counts, 0.0), np.append(parents, unknown)
         known_words, known_pairs = np.append(words, np.uint64(2**64 - 1)), np.append(pairs, np.uint64(2**64 - 1))
         docs, held = texts.column("doc_id"), texts.column("held_out")
         bodies = as_bytes(texts.column("text"))
@@ -287,9 +307,8 @@ def _score(share: np.ndarray, unknown: np.ndarray, n_tokens: int, n_types: int):
             at = np.searchsorted(known_words, keys & ~_LOW)
             at = np.where(known_words[at] == keys & ~_LOW, at, len(words))
             pair = np.searchsorted(known_pairs, keys)
-            pair = np.where(known_pairs[pair] == keys, pair, len(pairs))
             c = counts[at]
-            p = own[pair] + (share[:, (keys & _LOW).astype(int)].T * parents[at]).mean(axis=1)
+            p = np.where(known_pairs[pair] == keys, known[pair], share[(keys & _LOW).astype(int)] * parents[at])
             starts = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
             out.append((per_doc, *(np.add.reduceat(x, starts) for x in ((c > 0).astype(np.int64), np.log10((c + 1) / (n_tokens + n_types + 1)), np.log10(p)))))
         cols = [np.concatenate(x) for x in zip(*out, strict=True)]
@@ -303,9 +322,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(total) // BLOCK))
     dealt = docs.select("doc_id", "held_out", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")).repartition("block")
-    wanted = dealt.select("block", "text").mapInArrow(_block_words, "block bigint, word bigint")
+    # All columns go in, so that both uses of the dealt texts share one exchange.
+    wanted = dealt.mapInArrow(_block_words, "block bigint, word bigint")
     found = wanted.join(model.records, "word").select("block", "word", "c", "record")
-    run = _score(model.share, model.unknown, model.n_tokens, model.n_types)
+    run = _score(model.share(), model.unknown(), model.n_tokens, model.n_types)
     return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, SCORED)
 
 
