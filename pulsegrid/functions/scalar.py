@@ -61,34 +61,46 @@ def _const_array(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
+def _of_width(arr: Column, width: int, value: Column) -> Column:
+    """``value`` for arrays of exactly ``width`` elements; NULL arrays give NULL, others raise."""
+    return (F.when(arr.isNull(), F.lit(None)).when(F.size(arr) == width, value)
+            .otherwise(F.raise_error(F.lit(f"an array of {width} elements is expected"))))
+
+
 def dot(x: str | Column, weights: Sequence[float], bias: float = 0.0) -> Column:
     """Linear score ``x · w + b`` for an array column ``x`` and fixed weights.
 
     Up to ``UNROLL_LIMIT`` elements it is written out as
     ``((0 + x[0]*w0) + x[1]*w1) + ...``; wider, it is one
-    ``aggregate(zip_with(...))`` (the same left-to-right sum).
+    ``aggregate(zip_with(...))`` (the same left-to-right sum).  At every width
+    a NULL array gives NULL and an array of another length raises.
     """
     arr = _c(x)
     if len(weights) > UNROLL_LIMIT:
         prods = F.zip_with(arr.cast("array<double>"), _const_array(weights), lambda a, b: a * b)
-        return F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(bias))
+        total = F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v) + F.lit(float(bias))
+        return _of_width(arr, len(weights), total)
     acc = F.lit(0.0)
     for i, w in enumerate(weights):
         acc = acc + arr[i].cast("double") * F.lit(float(w))
-    return acc + F.lit(float(bias))
+    return _of_width(arr, len(weights), acc + F.lit(float(bias)))
 
 
 def affine_array(x: str | Column, shift: Sequence[float], scale: Sequence[float]) -> Column:
-    """``[(x[i] - shift[i]) / scale[i]]`` element-wise; NULL where ``scale[i]`` is 0."""
+    """``[(x[i] - shift[i]) / scale[i]]`` element-wise; NULL where ``scale[i]`` is 0.
+
+    At every width a NULL array gives NULL and an array of another length raises.
+    """
     arr = _c(x)
     if len(shift) > UNROLL_LIMIT:
         pairs = F.arrays_zip(_const_array(shift).alias("m"),
                              F.array(*[F.lit(None if v is None else float(v)).cast("double")
                                        for v in scale]).alias("s"))
-        return F.zip_with(arr.cast("array<double>"), pairs,
-                          lambda v, p: F.try_divide(v - p["m"], p["s"]))
-    return F.array(*[F.try_divide(arr[i].cast("double") - F.lit(float(m)), F.lit(s).cast("double"))
-                     for i, (m, s) in enumerate(zip(shift, scale))])
+        return _of_width(arr, len(shift), F.zip_with(
+            arr.cast("array<double>"), pairs, lambda v, p: F.try_divide(v - p["m"], p["s"])))
+    return _of_width(arr, len(shift), F.array(
+        *[F.try_divide(arr[i].cast("double") - F.lit(float(m)), F.lit(s).cast("double"))
+          for i, (m, s) in enumerate(zip(shift, scale))]))
 
 
 def elapsed_seconds(begin: float, end: float) -> float:

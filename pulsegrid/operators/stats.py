@@ -34,9 +34,12 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     if len(cols) > WIDE_AGGREGATE_LIMIT:
         parts = ", ".join(f"'{c}', cast(`{c}` as double)" for c in cols)
         long = df.selectExpr(f"stack({len(cols)}, {parts}) as (feature, v)")
-        return long.groupBy("feature").agg(
+        found = long.groupBy("feature").agg(
             F.avg("v").alias("mean"), F.stddev_samp("v").alias("std_samp"),
             F.stddev_pop("v").alias("std_pop"), F.count(F.lit(1)).alias("n"))
+        # Every feature has its row on an empty table too, as on the narrow path.
+        names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+        return names.join(found, "feature", "left").fillna(0, ["n"])
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
