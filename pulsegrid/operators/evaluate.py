@@ -99,7 +99,8 @@ def mean_bce(df: DataFrame, logit: str | Column, label: str = "label",
     """M8: mean binary cross-entropy on logits, optionally per group."""
     z = F.col(logit) if isinstance(logit, str) else logit
     loss = F.avg(bce_with_logits(z, F.col(label).cast("double"))).alias("loss")
-    return df.groupBy(*by).agg(loss, F.count(F.lit(1)).alias("n")) if by else df.agg(loss)
+    n = F.count(F.lit(1)).alias("n")
+    return df.groupBy(*by).agg(loss, n) if by else df.agg(loss, n)
 
 
 def mean_log_loss(df: DataFrame, p_one: str | Column, label: str = "label",

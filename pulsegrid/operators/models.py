@@ -151,31 +151,16 @@ def probability_of_one(col: str) -> Column:
     return vector_to_array(F.col(col))[1]
 
 
-def persist_for_iterations(df: DataFrame, min_rows_per_partition: int = 300_000) -> DataFrame:
-    """Persist a training set for iterative fitters, spread over enough partitions.
+def persist_for_iterations(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Persist a training set for iterative fitters.
 
     Each optimizer iteration is one job over the partitions of the training
-    set.  When the rows sit in fewer partitions than their count warrants (a
-    file with a single row group is read by one task, even if Spark plans
-    several byte-range splits for it), they are spread to
-    ``min(defaultParallelism, rows / min_rows_per_partition)`` partitions so
-    that the iterations use more cores.  Every optimizer evaluation is one
-    job and pays a per-task cost, so a partition should hold enough rows to
-    outweigh it (measured on 600k × 1 rows: 2 partitions beat both 1 and 6).
-    The decision uses the actual rows per partition (one small aggregate over
-    the cached rows); inputs that are already spread are kept as they are.
+    set.  ``partitions`` spreads rows that sit in too few of them, by content;
+    it is the caller's choice and never follows the row count, so the same
+    call fits the same rows in the same layout on any cluster.
     """
     from pyspark import StorageLevel
 
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = (cached.groupBy(F.spark_partition_id().alias("p")).count()
-             .agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("filled")).first())
-    n, filled = int(sizes["n"] or 0), int(sizes["filled"] or 0)
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    target = max(1, min(parallelism, n // max(1, min_rows_per_partition)))
-    if filled >= target:
-        return cached
-    spread = cached.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
-    spread.count()
-    cached.unpersist()
-    return spread
+    if partitions:
+        df = df.repartition(partitions, *df.columns)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

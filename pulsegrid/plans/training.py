@@ -45,9 +45,11 @@ def training_flow(spark: SparkSession, sf_dir: str, log_dir: str, run_id: str, s
     split = exact_split(signal, fraction, seed, "vec_id")
     stats_rows = split if fit_on == "all" else split.filter(F.col("split") == "train")
     means, _, stds = element_stats(stats_rows, "x")
-    # NULL elements (constant columns) become 0 for the network input.
-    z = split.select("vec_id", "label", "split", F.transform(
-        affine_array("x", means, stds), lambda v: F.coalesce(v, F.lit(0.0))).alias("zx"))
+    # Constant columns become 0 for the network input; a NULL feature stays NULL.
+    constant = F.array(*[F.lit(not s) for s in stds])
+    z = split.select("vec_id", "label", "split", F.zip_with(
+        affine_array("x", means, stds), constant,
+        lambda v, c: F.when(c, F.lit(0.0)).otherwise(v)).alias("zx"))
     tagged = array_to_features(z, "zx", SCALED).select("vec_id", "label", "split", SCALED)
     tagged = persist_for_iterations(tagged)
     try:
