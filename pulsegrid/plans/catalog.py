@@ -355,9 +355,10 @@ def q_e8_metric_grid(spark, sf_dir):
 def q_s8_report_lines(spark, sf_dir):
     """S8 + X4: one console line per model, split and metric."""
     grid = E.metric_grid(_rule_scored(spark, sf_dir))
-    long = E.long_metrics(grid).filter(F.col("value").isNotNull())
-    return long.select("model", "split", "metric",
-                       F.format_string("%s: %2.4f%%", F.col("metric"), F.col("value")).alias("line"))
+    long = E.long_metrics(grid)
+    line = (F.when(F.col("value").isNull(), F.concat("metric", F.lit(": undefined (zero denominator)")))
+            .otherwise(F.format_string("%s: %2.4f%%", F.col("metric"), F.col("value"))))
+    return long.select("model", "split", "metric", line.alias("line"))
 
 
 def q_m8_mean_bce(spark, sf_dir):
@@ -428,7 +429,7 @@ def q_s4_s3_log_roundtrip(spark, sf_dir):
     batched = POS.with_batches(ev, BATCH, POS.shuffle_order(SPLIT_SEED, "event_id"))
     log = batched.groupBy(F.col("batch").alias("step")).agg(F.avg("value").alias("val_loss"))
     path = scratch_path(spark, "batch-log")
-    append_log(log, path, run_id=REPORT_RUN, single_file=True)  # one row per batch
+    append_log(log, path, run_id=REPORT_RUN)  # as many part files as partitions
     back = read_log_csv(spark, f"{path}/run_id={REPORT_RUN}")
     kth = every_kth_logged(back, "step", "val_loss", EVERY_K)
     return kth.select("step", "pos", fixed_decimals("val_loss", "%.8f").alias("val_loss_text"))
@@ -458,7 +459,7 @@ def q_stream_e8_metric_grid(spark, sf_dir):
     from pulsegrid.streaming import run_to_table, running_confusion_scored, stream_table
 
     schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
-    stream = stream_table(spark, sf_dir, schema, glob="lineitem.parquet")
+    stream = stream_table(spark, sf_dir, schema, table="lineitem")
     li = stream.select(*LINE_KEY, *FEATS, "l_returnflag")
     metrics = running_confusion_scored(rule_scored_rows(signal_from_lineitem(li)))
     name = f"pg_stream_grid_{uuid.uuid4().hex[:8]}"
@@ -680,8 +681,8 @@ _ORACLES: dict[str, str] = {
     "s8_report_lines":
         _grid_sql() + ", long AS (" + " UNION ALL ".join(
             f"SELECT model, split, '{m}' AS metric, {m} AS value FROM grid" for m in E.METRIC_COLUMNS)
-        + ") SELECT model, split, metric, printf('%s: %2.4f%%', metric, value) AS line "
-        "FROM long WHERE value IS NOT NULL",
+        + ") SELECT model, split, metric, CASE WHEN value IS NULL THEN metric || ': undefined (zero denominator)' "
+        "ELSE printf('%s: %2.4f%%', metric, value) END AS line FROM long",
     "m8_mean_bce":
         f"SELECT split, round(avg({bce_sql('z', 'label')}), {ROUND}) AS loss, count(*) AS n FROM "
         f"(SELECT {line_logit_sql()} AS z, {LABEL_R_SQL} AS label, "
@@ -713,7 +714,7 @@ _ORACLES: dict[str, str] = {
         f"WHERE pos >= floor(CAST(n AS DOUBLE) * {_dbl(EXACT_FRACTION)}) ORDER BY pos LIMIT {FIRST_N}",
     "m8_inference_first_rows_loss":
         _inference_sql() + f" SELECT round(avg({bce_sql('logit', 'y')}), {ROUND}) AS loss, "
-        f"CAST({CHECK_N} AS BIGINT) AS n FROM (SELECT * FROM zz ORDER BY vec_id LIMIT {CHECK_N})",
+        f"count(*) AS n FROM (SELECT * FROM zz ORDER BY vec_id LIMIT {CHECK_N})",
     "a5_inference_match":
         _inference_sql() + ", v AS (SELECT y, "
         f"CAST(round_even({_sig('logit')}, 0) AS DOUBLE) AS p FROM num "

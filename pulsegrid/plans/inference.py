@@ -52,7 +52,7 @@ def inference_flow(spark: SparkSession, sf_dir: str, make_predict_fn: Callable,
 
     head = score_batches(first_rows(z, check_n, [F.col("vec_id")]), "z", make_predict_fn,
                          width, batch_size, "logit")
-    loss = E.mean_bce(head, "logit", "label").withColumn("n", F.lit(check_n).cast("bigint"))
+    loss = E.mean_bce(head, "logit", "label")
 
     split = exact_split(z, fraction, seed, "vec_id")
     val = first_rows(split.filter(F.col("split") == "validation"), first_n, [F.col("pos")])

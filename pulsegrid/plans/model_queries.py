@@ -260,7 +260,7 @@ def q_stream_flagship_confusion(spark, sf_dir):
 
     res = _flagship_result(spark, sf_dir)
     schema = spark.read.parquet(table_path(sf_dir, "embeddings")).schema
-    raw = stream_table(spark, sf_dir, schema, glob="embeddings.parquet")
+    raw = stream_table(spark, sf_dir, schema, table="embeddings")
     signal = raw.select("vec_id", F.col("embedding").cast("array<double>").alias("x"),
                         (F.col("label") < 5).cast("double").alias("label"))
     tagged = with_split(signal, (0.7, 0.2, 0.1), SPLIT_NAMES, SPLIT_SEED, "vec_id")

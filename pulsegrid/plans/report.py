@@ -47,7 +47,7 @@ def _orders():
 def _timing_lines(timings: DataFrame) -> DataFrame:
     """Total time first, then one runtime line per fitted model."""
     model_order, _ = _orders()
-    total = timings.filter((F.col("model") == "all") & (F.col("stage") == "total")).select(
+    total = timings.filter((F.col("model") == "all") & (F.col("stage") == "fit_all")).select(
         F.lit(0).cast("bigint").alias("position"),
         F.format_string("Total time of training all models: %.4f seconds", "seconds").alias("line"))
     fits = timings.filter(F.col("stage") == "fit").select(
@@ -88,7 +88,7 @@ def write_run_report(spark, metrics: DataFrame, timings: DataFrame, report_path:
     """S5 + S6 + S7: write the report, append the total time, append the report to results."""
     lines = report_lines(metrics, timings).withColumnRenamed("position", "order")
     write_report(lines, report_path)
-    total = timings.filter((F.col("model") == "all") & (F.col("stage") == "total")).select("seconds")
+    total = timings.filter((F.col("model") == "all") & (F.col("stage") == "fit_all")).select("seconds")
     append_log(total, times_path, run_id=run_id, single_file=True)  # one row
     append_report_csv(spark, report_path, results_path, run_id)
     return lines

@@ -21,8 +21,10 @@ from pulsegrid.session import scratch_path
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
-                 max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
-    """Parquet files arriving in the folder ``path`` (optionally matching ``glob``).
+                 max_files_per_trigger: int | None = None, table: str | None = None) -> DataFrame:
+    """Parquet files arriving in the folder ``path``, or in its table ``table``.
+
+    A table is a file ``<table>.parquet`` or a folder of that name with part files.
 
     By default each micro-batch takes every new file; ``max_files_per_trigger``
     caps a batch (for rate limiting a backfill).
@@ -30,8 +32,12 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType,
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    if table:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{table}.parquet")
+        files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.getFileStatus(at).isDirectory():
+            return reader.parquet(at.toString())
+        reader = reader.option("pathGlobFilter", f"{table}.parquet")
     return reader.parquet(path)
 
 

@@ -45,7 +45,7 @@ def test_stream_to_parquet_table(spark, tmp_out):
     from pulsegrid.streaming import running_confusion_scored
 
     schema = spark.read.parquet(f"{SF001}/lineitem.parquet").schema
-    stream = stream_table(spark, SF001, schema, glob="lineitem.parquet")
+    stream = stream_table(spark, SF001, schema, table="lineitem")
     li = stream.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                        "l_discount", "l_tax", "l_returnflag")
     metrics = running_confusion_scored(rule_scored_rows(signal_from_lineitem(li)))
