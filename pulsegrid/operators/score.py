@@ -68,7 +68,7 @@ def npz_predict_fn(path: str) -> Callable[[], Callable]:
 
 
 def score_batches(df: DataFrame, input_col: str, make_predict_fn: Callable[[], Callable],
-                  width: int, batch_size: int = 32, output: str = "logit") -> DataFrame:
+                  width: int, batch_size: int = 4096, output: str = "logit") -> DataFrame:
     """M7 + D7: apply a batch predict function to an ``array<double>`` column."""
     udf = predict_batch_udf(make_predict_fn, return_type=T.DoubleType(),
                             batch_size=batch_size, input_tensor_shapes=[[width]])

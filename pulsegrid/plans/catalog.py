@@ -323,11 +323,11 @@ def q_x4_fixed_decimals(spark, sf_dir):
 
 
 def q_m7_batch_scorer(spark, sf_dir):
-    """M7: NumPy linear model applied in Arrow batches of 32, then sigmoid + rint."""
+    """M7: NumPy linear model applied in Arrow batches, then sigmoid + rint."""
     emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
     w = embedding_weights(64)
     scored = score_batches(emb, "embedding", linear_predict_fn(w, 0.0), width=64,
-                           batch_size=BATCH, output="logit")
+                           output="logit")
     return scored.select("vec_id", _r(F.col("logit"), "logit"),
                          _r(sigmoid("logit"), "probability"),
                          rint(sigmoid("logit")).alias("predicted"))

@@ -44,7 +44,7 @@ def standardise_all_rows(signal: DataFrame, col: str = "x", out: str = "z") -> D
 
 def inference_flow(spark: SparkSession, sf_dir: str, make_predict_fn: Callable, seed: int,
                    fraction: float = 0.7, first_n: int = 50, check_n: int = 64,
-                   batch_size: int = 32) -> InferenceResult:
+                   batch_size: int = 4096) -> InferenceResult:
     signal = embeddings_signal(spark, sf_dir)
     means, _, stds = element_stats(signal, "x")
     width = len(means)
