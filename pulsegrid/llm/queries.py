@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and their DuckDB SQL, where SQL can express one."""
+"""The registered queries of this subpackage; ``ORACLES`` has their DuckDB SQL, where SQL can express one."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.llm import archive, decontaminate, hpylm, neardup, packing, pii, quality, secrets, sharding, topk
 from pulsegrid.llm.common import read_table
+from pulsegrid.llm.oracles import ORACLES
 
 SHARDS = 24
 
@@ -60,4 +61,4 @@ QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_decontamination, op3_warc_round_trip, op4_near_duplicates, op5_jump_shards,
     op6_personal_data, op7_quality, op8_language_model, op9_max_score, op10_packing)}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
