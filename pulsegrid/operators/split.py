@@ -5,11 +5,14 @@ filter, so it needs no shuffle and no sort (``randomSplit`` sorts every
 partition on all columns first), and a row lands on the same side whatever the
 partitioning.
 
-Rows with equal keys land on the same side (a group split: duplicates never
-straddle train and test).  A key that holds a large share of the rows moves
-that share as one block; to spread such a key, pass more columns in ``key``
-(e.g. ``[id, content_hash]``) so its rows hash apart.  NULL key parts are
-skipped by ``concat_ws``, so NULL-keyed rows share one deterministic side.
+``rows`` says what tells the rows of one key apart.  ``ROWS`` (the default)
+hashes all other columns along with the key, so every row is dealt on its own
+and a key that holds a large share of the rows spreads like any other.  A list
+of columns does the same from those alone (integers and strings hash alike in
+other engines).  ``GROUP`` hashes the key only: for keys that name one row, or
+to keep a key's rows on one side.  Identical rows hash alike; ``numbered_copies``
+tells them apart first.  NULL key parts are skipped by ``concat_ws``, so
+NULL-keyed rows of a group split share one deterministic side.
 """
 
 from __future__ import annotations
@@ -23,6 +26,32 @@ from pulsegrid.functions.hashing import hash_unit
 
 KeySpec = str | Column | Sequence[str | Column]
 
+ROWS = None
+GROUP: tuple[str, ...] = ()
+_UNIT = "_pg_unit"
+
+
+def row_unit(df: DataFrame, seed: int, key: KeySpec, rows: Sequence[str] | None = ROWS) -> Column:
+    """``hash_unit`` of the key and of what tells its rows apart."""
+    keys = [key] if isinstance(key, (str, Column)) else list(key)
+    if rows is None:
+        others = sorted(c for c in df.columns if c not in keys)
+        rows = [F.xxhash64(*[F.col(f"`{c}`") for c in others])] if others else []
+    return hash_unit(seed, [*keys, *rows])
+
+
+def numbered_copies(df: DataFrame, column: str = "copy", block: int = 100_000) -> DataFrame:
+    """``df`` with an occurrence number (from 0) on identical rows.
+
+    Copies are counted before the shuffle and written out again in blocks that
+    are dealt out anew, so a row with very many copies is no single task's work.
+    """
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_pg_n"))
+    blocks = counted.withColumn("_pg_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pg_n") - 1, F.lit(block).cast("long"))))
+    spread = blocks.repartition(*[F.col(f"`{c}`") for c in df.columns], F.col("_pg_from"))
+    last = F.least(F.col("_pg_from") + block, F.col("_pg_n")) - 1
+    return spread.withColumn(column, F.explode(F.sequence("_pg_from", last))).drop("_pg_n", "_pg_from")
+
 
 def label_filter(df: DataFrame, value: float, label: str = "label") -> DataFrame:
     """Rows of one class (numeric comparison, no string literal)."""
@@ -42,23 +71,21 @@ def split_bounds(weights: Sequence[float]) -> list[tuple[float, float]]:
     return bounds
 
 
-def split_label(weights: Sequence[float], names: Sequence[str], seed: int,
-                key: KeySpec) -> Column:
-    """Name of the split a row falls into (CASE over the hash unit)."""
+def split_label(weights: Sequence[float], names: Sequence[str], unit: Column) -> Column:
+    """Name of the split a row falls into (CASE over upper bounds of ``unit``)."""
     if len(weights) != len(names):
         raise ValueError("one name per weight")
-    u = hash_unit(seed, key)
-    expr = None
+    expr = F
     for (lo, hi), name in zip(split_bounds(weights), names):
-        cond = (u >= F.lit(lo)) & (u < F.lit(hi))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+        if hi > lo:
+            expr = expr.when(unit < F.lit(hi), F.lit(name))
     return expr
 
 
 def hash_split(df: DataFrame, weights: Sequence[float], seed: int,
-               key: KeySpec) -> list[DataFrame]:
+               key: KeySpec, rows: Sequence[str] | None = ROWS) -> list[DataFrame]:
     """``randomSplit``-like list of DataFrames, one filter each."""
-    u = hash_unit(seed, key)
+    u = row_unit(df, seed, key, rows)
     return [df.filter((u >= F.lit(lo)) & (u < F.lit(hi))) for lo, hi in split_bounds(weights)]
 
 
@@ -72,29 +99,27 @@ def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[Dat
 
 
 def with_split(df: DataFrame, weights: Sequence[float], names: Sequence[str],
-               seed: int, key: KeySpec, column: str = "split") -> DataFrame:
-    """Tag every row with its split name in one pass (no separate scans)."""
-    return df.withColumn(column, split_label(weights, names, seed, key))
+               seed: int, key: KeySpec, column: str = "split",
+               rows: Sequence[str] | None = ROWS) -> DataFrame:
+    """Tag every row with its split name in one pass (no separate scans, one hash a row)."""
+    united = df.withColumn(_UNIT, row_unit(df, seed, key, rows))
+    return united.withColumn(column, split_label(weights, names, F.col(_UNIT))).drop(_UNIT)
 
 
 def balance(df: DataFrame, fractions: Mapping[float, float], seed: int, key: KeySpec,
-            label: str = "label") -> DataFrame:
+            label: str = "label", rows: Sequence[str] | None = ROWS) -> DataFrame:
     """Keep a hashed fraction of each class in one pass over the data.
 
     ``fractions`` maps class value → kept fraction (1.0 keeps the class whole;
     classes not named, and rows with a NULL label, are kept whole).  This is P4 + D1 + U1 of the original
     flow fused into one filter, so the input is scanned once.
     """
-    u = hash_unit(seed, key)
-    keep = None
-    named = []
+    if not fractions:
+        return df
+    kept = F
     for value, frac in fractions.items():
-        named.append(float(value))
-        cond = (F.col(label) == F.lit(float(value))) & (u < F.lit(float(frac)))
-        keep = cond if keep is None else keep | cond
-    others = ~F.col(label).isin(named) | F.col(label).isNull()
-    keep = others if keep is None else keep | others
-    return df.filter(keep)
+        kept = kept.when(F.col(label) == F.lit(float(value)), F.lit(float(frac)))
+    return df.filter(row_unit(df, seed, key, rows) < kept.otherwise(F.lit(1.0)))
 
 
 def balance_sample_by(df: DataFrame, fractions: Mapping[float, float], seed: int,

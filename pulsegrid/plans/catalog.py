@@ -162,7 +162,7 @@ def signal_from_lineitem(li: DataFrame) -> DataFrame:
 
 def rule_scored_rows(sig: DataFrame) -> DataFrame:
     """Split tag + one ``(model, prediction)`` row per rule model (batch or stream)."""
-    tagged = SP.with_split(sig, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, LINE_KEY)
+    tagged = SP.with_split(sig, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, LINE_KEY, rows=SP.GROUP)
     preds = {name: F.expr(pred).cast("double") for name, pred in RULES.items()}
     stacked = ", ".join(f"'{n}', pred_{n}" for n in preds)
     with_preds = tagged.select("label", "split", *[p.alias(f"pred_{n}") for n, p in preds.items()])
@@ -205,21 +205,27 @@ def q_p4_label_filter(spark, sf_dir):
 def q_d1_hash_split_keep(spark, sf_dir):
     """Seeded 30/70 split of events, keeping the 70 % part."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "value"])
-    _, kept = SP.hash_split(ev, [0.30, 0.70], BALANCE_SEED, "event_id")
+    _, kept = SP.hash_split(ev, [0.30, 0.70], BALANCE_SEED, "event_id", rows=SP.GROUP)
     return kept
 
 
 def q_d2_hash_split_three_way(spark, sf_dir):
     """Every event tagged train / test / validation (0.7 / 0.2 / 0.1)."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type"])
-    return SP.with_split(ev, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, "event_id")
+    return SP.with_split(ev, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, "event_id", rows=SP.GROUP)
+
+
+def q_d2_row_split(spark, sf_dir):
+    """D2 by a key of many rows (the user): each of its rows is dealt on its own."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type"])
+    return SP.with_split(ev, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, "user_id", rows=["event_id", "event_type"])
 
 
 def q_d5_balance(spark, sf_dir):
     """One-pass balance: class 1 kept, class 0 hashed down to the class-1 count."""
     sig = lineitem_signal(spark, sf_dir)
     frac = SP.balancing_fractions(sig)
-    return SP.balance(sig, frac, BALANCE_SEED, LINE_KEY).select(*LINE_KEY, "l_quantity", "label")
+    return SP.balance(sig, frac, BALANCE_SEED, LINE_KEY, rows=SP.GROUP).select(*LINE_KEY, "l_quantity", "label")
 
 
 def q_u1_balance_by_union(spark, sf_dir):
@@ -228,7 +234,7 @@ def q_u1_balance_by_union(spark, sf_dir):
     frac = SP.balancing_fractions(sig)[0.0]
     ones = SP.label_filter(sig, 1.0)
     zeros = SP.label_filter(sig, 0.0)
-    zeros_kept, _ = SP.hash_split(zeros, [frac, 1.0 - frac], BALANCE_SEED, LINE_KEY)
+    zeros_kept, _ = SP.hash_split(zeros, [frac, 1.0 - frac], BALANCE_SEED, LINE_KEY, rows=SP.GROUP)
     return SP.union_all(ones, zeros_kept).select(*LINE_KEY, "l_quantity", "label")
 
 
@@ -364,7 +370,7 @@ def q_s8_report_lines(spark, sf_dir):
 def q_m8_mean_bce(spark, sf_dir):
     """M8 + A4: mean log loss of the fixed linear scorer per split."""
     sig = lineitem_signal(spark, sf_dir)
-    tagged = SP.with_split(sig, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, LINE_KEY)
+    tagged = SP.with_split(sig, SPLIT_WEIGHTS, SPLIT_NAMES, SPLIT_SEED, LINE_KEY, rows=SP.GROUP)
     out = E.mean_bce(tagged.withColumn("logit", _line_logit()), "logit", by=["split"])
     return out.select("split", _r(F.col("loss"), "loss"), "n")
 
@@ -475,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "p4_label_filter": q_p4_label_filter,
     "d1_hash_split_keep": q_d1_hash_split_keep,
     "d2_hash_split_three_way": q_d2_hash_split_three_way,
+    "d2_row_split": q_d2_row_split,
     "d5_balance": q_d5_balance,
     "u1_balance_by_union": q_u1_balance_by_union,
     "d3_d4_exact_split": q_d3_d4_exact_split,
@@ -618,6 +625,9 @@ _ORACLES: dict[str, str] = {
         f">= {_dbl(0.30)}",
     "d2_hash_split_three_way":
         f"SELECT event_id, event_type, {split_case_sql(SPLIT_SEED, ['event_id'])} AS split FROM events",
+    "d2_row_split":
+        "SELECT event_id, user_id, event_type, "
+        f"{split_case_sql(SPLIT_SEED, ['user_id', 'event_id', 'event_type'])} AS split FROM events",
     "d5_balance": _balance_sql(),
     "u1_balance_by_union": _balance_sql(),
     "d3_d4_exact_split": _exact_sql(),

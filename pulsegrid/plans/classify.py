@@ -33,7 +33,7 @@ from pulsegrid.operators.models import (
     persist_for_iterations,
     score_all,
 )
-from pulsegrid.operators.split import balance, balancing_fractions, with_split
+from pulsegrid.operators.split import GROUP, balance, balancing_fractions, with_split
 from pulsegrid.sources.tables import read_table
 
 SPLITS = ("train", "test", "validation")
@@ -62,16 +62,17 @@ def prepare(df: DataFrame, key: str | Sequence[str], features: str | Sequence[st
             label: str = "label", seed: int = 22,
             weights: Sequence[float] = (0.7, 0.2, 0.1), split_names: Sequence[str] = SPLITS,
             balance_fractions: Mapping[float, float] | None = None, balance_seed: int = 1000,
-            fit_on: str = "train") -> tuple[DataFrame, PipelineModel]:
+            fit_on: str = "train", split_rows: Sequence[str] | None = GROUP) -> tuple[DataFrame, PipelineModel]:
     """Balance (D5), tag splits (D2), assemble (F1) and standardise (F2).
 
     Returns ``(scaled, preprocessing)``; ``scaled`` has key, label, split and
-    the scaled feature vector.
+    the scaled feature vector.  ``key`` names a row; for a key of several rows
+    pass ``split_rows`` (see ``operators.split``).
     """
     keys = [key] if isinstance(key, str) else list(key)
     if balance_fractions:
-        df = balance(df, balance_fractions, balance_seed, keys, label)
-    tagged = with_split(df, weights, split_names, seed, keys)
+        df = balance(df, balance_fractions, balance_seed, keys, label, split_rows)
+    tagged = with_split(df, weights, split_names, seed, keys, rows=split_rows)
     if isinstance(features, str):
         tagged = array_to_features(tagged, features, FEATURES)
         cols = None
@@ -93,7 +94,8 @@ def classification_grid(df: DataFrame, key: str | Sequence[str], features: str |
                         balance_seed: int = 1000, fit_on: str = "train",
                         eval_splits: Sequence[str] = ("test", "validation"),
                         materialize_metrics: bool = True,
-                        fit_parallelism: int = 1) -> GridResult:
+                        fit_parallelism: int = 1,
+                        split_rows: Sequence[str] | None = GROUP) -> GridResult:
     """Fit ``models`` on the train split and evaluate them on ``eval_splits``.
 
     The fits are independent: with ``fit_parallelism > 1`` up to that many run
@@ -106,8 +108,8 @@ def classification_grid(df: DataFrame, key: str | Sequence[str], features: str |
     t_all = time.perf_counter()
     keys = [key] if isinstance(key, str) else list(key)
     if balance_fractions:
-        df = balance(df, balance_fractions, balance_seed, keys, label)
-    tagged = with_split(df, weights, SPLITS, seed, keys)
+        df = balance(df, balance_fractions, balance_seed, keys, label, split_rows)
+    tagged = with_split(df, weights, SPLITS, seed, keys, rows=split_rows)
     if isinstance(features, str):
         tagged = array_to_features(tagged, features, FEATURES)
         cols, raw = None, [FEATURES]
@@ -163,7 +165,7 @@ def flagship_result(spark: SparkSession, sf_dir: str,
     """The full flow on the embeddings (label ``label < 5``).
 
     The classes are balanced first (D5, fractions from one count aggregate),
-    then LR + RF + SVC are fitted concurrently and evaluated on test and
+    then LR, RF and SVC are fitted one after another and evaluated on test and
     validation.
     """
     signal = embeddings_signal(spark, sf_dir)

@@ -146,9 +146,9 @@ def q_s9_model_roundtrip(spark, sf_dir):
     save_model(fitted, path)
     loaded = load_model(path)
     from pulsegrid.operators.features import array_to_features
-    from pulsegrid.operators.split import with_split
+    from pulsegrid.operators.split import GROUP, with_split
 
-    held = with_split(signal, (0.7, 0.2, 0.1), SPLIT_NAMES, SPLIT_SEED, "vec_id").filter(
+    held = with_split(signal, (0.7, 0.2, 0.1), SPLIT_NAMES, SPLIT_SEED, "vec_id", rows=GROUP).filter(
         F.col("split") != "train")
     held = array_to_features(held, "x")
     # Both models score the same rows in one pass (no join on the key): the
@@ -254,7 +254,7 @@ def q_stream_flagship_confusion(spark, sf_dir):
     import uuid
 
     from pulsegrid.operators.features import array_to_features
-    from pulsegrid.operators.split import with_split
+    from pulsegrid.operators.split import GROUP, with_split
     from pulsegrid.sources.tables import table_path
     from pulsegrid.streaming import run_to_table, running_confusion, stream_table
 
@@ -263,7 +263,7 @@ def q_stream_flagship_confusion(spark, sf_dir):
     raw = stream_table(spark, sf_dir, schema, table="embeddings")
     signal = raw.select("vec_id", F.col("embedding").cast("array<double>").alias("x"),
                         (F.col("label") < 5).cast("double").alias("label"))
-    tagged = with_split(signal, (0.7, 0.2, 0.1), SPLIT_NAMES, SPLIT_SEED, "vec_id")
+    tagged = with_split(signal, (0.7, 0.2, 0.1), SPLIT_NAMES, SPLIT_SEED, "vec_id", rows=GROUP)
 
     def prepare_rows(df):
         return res.preprocessing.transform(array_to_features(df, "x")).select(

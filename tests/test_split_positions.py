@@ -150,3 +150,27 @@ def test_positions_survive_task_retries():
     out = subprocess.run([sys.executable, script, root, SF01], capture_output=True, text=True,
                          timeout=600)
     assert "SAME" in out.stdout, out.stdout[-2000:] + out.stderr[-2000:]
+
+
+def hot_rows(spark, copies=False):
+    """30,000 rows, a third of them on one key (one row repeated, if ``copies``)."""
+    key = F.when(F.col("id") < 10_000, F.lit(-1)).otherwise(F.col("id"))
+    value = F.when(F.col("id") < 10_000, F.lit(0)).otherwise(F.col("id")) if copies else F.col("id")
+    return spark.range(30_000).select(key.alias("k"), value.alias("v"), (F.col("id") % 2).cast("double").alias("label"))
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_rows_of_a_hot_key_are_dealt_one_by_one(spark, copies):
+    df = hot_rows(spark, copies)
+    if copies:
+        df = SP.numbered_copies(df, "copy", block=700)
+        assert df.count() == 30_000 and df.distinct().count() == 30_000
+    share = {r["split"]: r["count"] / 30_000 for r in SP.with_split(df, [0.7, 0.2, 0.1], ["a", "b", "c"], 22, "k").groupBy("split").count().collect()}
+    assert all(abs(share[n] - w) < 0.01 for n, w in (("a", 0.7), ("b", 0.2), ("c", 0.1)))
+    parts = SP.hash_split(df.repartition(7), [0.7, 0.2, 0.1], 22, "k")
+    assert [p.count() / 30_000 for p in parts] == [share[n] for n in "abc"]
+    kept = SP.balance(df, {0.0: 0.5, 1.0: 1.0}, 1000, "k").groupBy("label").count()
+    n = {r["label"]: r["count"] for r in kept.collect()}
+    assert n[1.0] == 15_000 and abs(n[0.0] - 7_500) < 300
+    group = SP.with_split(df, [0.7, 0.2, 0.1], ["a", "b", "c"], 22, "k", rows=SP.GROUP)
+    assert group.where("k = -1").select("split").distinct().count() == 1

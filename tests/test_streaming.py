@@ -9,7 +9,7 @@ from pulsegrid.operators.evaluate import metric_grid
 from pulsegrid.operators.features import SCALED, array_to_features
 from pulsegrid.operators.models import LOGISTIC, SVC, fit_model, score_all
 from pulsegrid.plans.classify import embeddings_signal, prepare
-from pulsegrid.operators.split import with_split
+from pulsegrid.operators.split import GROUP, with_split
 from pulsegrid.streaming import running_confusion, start_running_confusion, stream_table
 from tests.conftest import SF001
 
@@ -21,7 +21,7 @@ def test_stream_matches_batch(spark, tmp_out):
     models = {n: fit_model(n, train) for n in (LOGISTIC, SVC)}
     train.unpersist()
 
-    raw = with_split(signal, (0.7, 0.2, 0.1), ("train", "test", "validation"), 22, "vec_id")
+    raw = with_split(signal, (0.7, 0.2, 0.1), ("train", "test", "validation"), 22, "vec_id", rows=GROUP)
     src = os.path.join(tmp_out, "incoming")
     raw.repartition(4).write.parquet(src)
 
