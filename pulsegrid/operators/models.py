@@ -16,6 +16,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,9 +100,12 @@ def fit_model(name: str, train: DataFrame, features: str = SCALED, label: str =
     return _BUILDERS[name](features, label, settings, name).fit(train)
 
 
-def score_all(df: DataFrame, models: dict, label: str = "label") -> DataFrame:
+def score_all(df: DataFrame, models: dict, label: str = "label", details: bool = False) -> DataFrame:
     """M4 for several models in one pass: ``(…, model, prediction)`` per model.
 
+    ``details`` adds ``raw_prediction`` and ``probability`` as arrays (a model
+    without probabilities, like the SVC, has NULL there).
+
     Each model appends its own columns; ``stack`` then turns the per-model
     prediction columns into rows.  The scored table is scanned once, not once
     per model and split.
@@ -111,9 +115,16 @@ def score_all(df: DataFrame, models: dict, label: str = "label") -> DataFrame:
         scored = model.transform(scored)
     names = list(models)
     parts = ", ".join(f"'{n}', cast({prediction_column(n)} as double)" for n in names)
-    keep = [c for c in df.columns]
-    return scored.selectExpr(*[f"`{c}`" for c in keep],
-                             f"stack({len(names)}, {parts}) as (model, prediction)")
+    keep = [f"`{c}`" for c in df.columns]
+    if not details:
+        return scored.selectExpr(*keep, f"stack({len(names)}, {parts}) as (model, prediction)")
+    arrays = {}
+    for n in names:
+        for c in (raw_column(n), probability_column(n)):
+            arrays[c] = vector_to_array(c).cast("array<double>") if c in scored.columns else F.lit(None).cast("array<double>")
+    parts = ", ".join(f"'{n}', cast({prediction_column(n)} as double), {raw_column(n)}, {probability_column(n)}" for n in names)
+    return scored.withColumns(arrays).selectExpr(
+        *keep, f"stack({len(names)}, {parts}) as (model, prediction, raw_prediction, probability)")
 
 
 def objective_history(spark: SparkSession, models: dict) -> DataFrame:

@@ -11,8 +11,11 @@ Fits whose results have a closed-form check get an oracle:
 * M3: on a separable label a linear SVC classifies every training row right.
 * S9: a saved and re-loaded model predicts exactly as the fitted one.
 
-Fits of the full three-model flow, loss curves and timings have no closed
-form and are checked rows-only.
+* The three-model flow: the held-out rows, the class counts of every model and
+  split, and the curves' first values follow from the tables alone.
+
+The fitted metrics, loss curves and seconds have no closed form and are checked
+rows-only.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pulsegrid.operators import evaluate as E
 from pulsegrid.operators.features import FEATURES, SCALED, assembler
 from pulsegrid.operators.models import (
     LOGISTIC,
+    MODEL_NAMES,
     SVC,
     fit_model,
     objective_history,
@@ -38,12 +42,14 @@ from pulsegrid.operators.models import (
 )
 from pulsegrid.operators.neural import fit_with_curve
 from pulsegrid.plans.catalog import (
+    BALANCE_SEED,
     FEATS,
     LABEL_R_SQL,
     SPLIT_NAMES,
     SPLIT_SEED,
     positive_zero_rounds,
     split_case_sql,
+    u_sql,
 )
 from pulsegrid.plans.classify import embeddings_signal, flagship_result, prepare
 from pulsegrid.session import scratch_path
@@ -118,14 +124,14 @@ def q_m2_rf_stump_threshold(spark, sf_dir):
 
 
 def q_m3_svc_separable_counts(spark, sf_dir):
-    """M3: linear SVC on a separable label; predicted class counts."""
+    """M3: linear SVC on a separable label; counts per true and predicted class."""
     li = read_table(spark, sf_dir, "lineitem", ["l_quantity"])
     data = assembler(["l_quantity"]).transform(
         li.withColumn("label", (F.col("l_quantity") > SVC_THRESHOLD_QTY).cast("double")))
     data = persist_for_iterations(data)
     try:
         svc = LinearSVC(featuresCol=FEATURES, labelCol="label").fit(data)
-        out = svc.transform(data).groupBy("prediction").agg(F.count(F.lit(1)).alias("n")).persist()
+        out = svc.transform(data).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).persist()
         out.count()
         return out
     finally:
@@ -182,10 +188,40 @@ def q_e9_x8_timings(spark, sf_dir):
 
 
 def q_m4_scored_rows(spark, sf_dir):
-    """M4: every held-out row scored by every flagship model (key, split, model, prediction)."""
+    """M4: every held-out row scored by every flagship model, with raw scores and probabilities."""
     res = _flagship_result(spark, sf_dir)
-    return score_all(res.held_out, res.models).select("vec_id", "split", "label", "model",
-                                                      "prediction")
+    return score_all(res.held_out, res.models, details=True).select(
+        "vec_id", "split", "label", "model", "prediction", "raw_prediction", "probability")
+
+
+def q_m4_predictions_agree(spark, sf_dir):
+    """M4: per held-out row and model, whether the prediction follows from the raw scores and probabilities."""
+    scored = q_m4_scored_rows(spark, sf_dir)
+    raw, prob = F.col("raw_prediction"), F.col("probability")
+    agrees = ((raw[1] > raw[0]) == (F.col("prediction") == 1.0)) & F.coalesce(
+        (F.abs(prob[0] + prob[1] - 1) < 1e-9) & ((prob[1] > prob[0]) == (raw[1] > raw[0])), F.col("model") == SVC)
+    return scored.select("vec_id", "split", "label", "model", agrees.alias("agrees"))
+
+
+def q_e8_flagship_support(spark, sf_dir):
+    """E1 on the flagship grid: rows, positives and negatives of every model and split."""
+    grid = q_e8_flagship_grid(spark, sf_dir)
+    return grid.select("model", "split", "n", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("tn") + F.col("fp")).alias("negatives"))
+
+
+def q_m5_objective_bounds(spark, sf_dir):
+    """M5: each curve's first value (zero weights: label entropy, unit hinge loss), and whether the last is lower."""
+    at = F.struct("iteration", "objective")
+    ends = q_m5_objective_history(spark, sf_dir).groupBy("model").agg(F.min(at).alias("a"), F.max(at).alias("b"))
+    return ends.select("model", F.round("a.objective", 6).alias("first"), (F.col("b.objective") < F.col("a.objective")).alias("improved"))
+
+
+def q_e9_stages(spark, sf_dir):
+    """E9 + X8: the timed stages; no time is negative, and the fits' total covers its parts."""
+    t = q_e9_x8_timings(spark, sf_dir)
+    part = t.where("stage = 'fit'").agg(F.sum("seconds").alias("parts"))
+    good = (F.col("seconds") >= 0) & ((F.col("stage") != "fit_all") | (F.col("seconds") >= F.col("parts")))
+    return t.join(F.broadcast(part)).select("model", "stage", good.alias("plausible"))
 
 
 def q_m5_objective_history(spark, sf_dir):
@@ -282,7 +318,11 @@ QUERIES = {
     "e8_flagship_grid": q_e8_flagship_grid,
     "e9_x8_timings": q_e9_x8_timings,
     "m4_scored_rows": q_m4_scored_rows,
+    "m4_predictions_agree": q_m4_predictions_agree,
+    "e8_flagship_support": q_e8_flagship_support,
     "m5_objective_history": q_m5_objective_history,
+    "m5_objective_bounds": q_m5_objective_bounds,
+    "e9_stages": q_e9_stages,
     "m6_perceptron_curve": q_m6_perceptron_curve,
     "m6_training_log_every_kth": q_m6_training_log_every_kth,
     "s6_flagship_report": q_s6_flagship_report,
@@ -326,11 +366,34 @@ def _roundtrip_sql() -> str:
     return (f"SELECT true AS all_equal, count(*) AS n FROM embeddings WHERE {split} <> 'train'")
 
 
+def _flagship_rows_sql() -> str:
+    """The flagship's balanced rows with their split."""
+    larger = "CASE WHEN p = 0 OR n = 0 OR {0} <= {1} THEN 1.0 ELSE {1} / {0} END"
+    return (
+        "WITH s AS (SELECT vec_id, CAST(label < 5 AS DOUBLE) AS label FROM embeddings), "
+        "c AS (SELECT CAST(count(*) FILTER (label = 1) AS DOUBLE) AS p, CAST(count(*) FILTER (label = 0) AS DOUBLE) AS n FROM s), "
+        f"b AS (SELECT vec_id, label, {split_case_sql(SPLIT_SEED, ['vec_id'])} AS split FROM s, c "
+        f"WHERE label IS NULL OR {u_sql(BALANCE_SEED, ['vec_id'])} < CASE WHEN label = 1 THEN {larger.format('p', 'n')} ELSE {larger.format('n', 'p')} END), "
+        f"m AS (SELECT unnest({list(MODEL_NAMES)}) AS model) ")
+
+
 ORACLES = {
+    "m4_predictions_agree":
+        _flagship_rows_sql() + "SELECT vec_id, split, label, model, true AS agrees FROM b, m WHERE split <> 'train'",
+    "e8_flagship_support":
+        _flagship_rows_sql() + "SELECT model, split, count(*) AS n, count(*) FILTER (label = 1) AS positives, "
+        "count(*) FILTER (label = 0) AS negatives FROM b, m WHERE split <> 'train' GROUP BY model, split",
+    "m5_objective_bounds":
+        _flagship_rows_sql() + ", q AS (SELECT avg(label) AS q FROM b WHERE split = 'train') "
+        f"SELECT '{LOGISTIC}' AS model, round(-q * ln(q) - (1 - q) * ln(1 - q), 6) AS first, true AS improved FROM q "
+        f"UNION ALL SELECT '{SVC}', 1.0, true",
+    "e9_stages":
+        "SELECT * FROM (VALUES ('all', 'preprocess_fit'), ('all', 'fit_all'), ('all', 'score_evaluate'), ('all', 'total'), "
+        + ", ".join(f"('{n}', 'fit')" for n in MODEL_NAMES) + ") t(model, stage), (SELECT true AS plausible)",
     "m1_lr_score_equations": positive_zero_rounds(_score_eq_sql()),
     "m2_rf_stump_threshold": _stump_sql(),
     "m3_svc_separable_counts":
-        f"SELECT CAST(l_quantity > {SVC_THRESHOLD_QTY} AS DOUBLE) AS prediction, count(*) AS n "
+        f"SELECT CAST(l_quantity > {SVC_THRESHOLD_QTY} AS DOUBLE) AS label, label AS prediction, count(*) AS n "
         "FROM lineitem GROUP BY 1",
     "s9_model_roundtrip": _roundtrip_sql(),
 }
