@@ -28,14 +28,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id.
+    """One row of each group of near duplicates: the one with the smallest doc_id (NULL last).
 
-    Rows that repeat a kept doc_id are reduced to one. A document without words is its own group.
+    Rows of one doc_id, or of none, are as apart as their texts are.  A row without words is its own group.
     """
-    rows = neardup.NearDuplicates(docs).members().where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = rows.groupBy("doc_id").agg(F.min(F.struct(F.coalesce("text_hash", F.lit(0)).alias("h"))).alias("k")).select(F.col("doc_id").alias("_id"), F.col("k.h").alias("_hash"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.coalesce(F.xxhash64(docs["text"]), F.lit(0)) == F.col("_hash"))
-    return docs.join(kept, same).select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
+    row = next(name for name in (f"_row{i}" for i in range(len(docs.columns) + 1)) if name.lower() not in map(str.lower, docs.columns))
+    # The numbers are written, so that both readings of the documents see the same ones.
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    kept = neardup.NearDuplicates(rows, row=row).kept_rows()
+    return rows.join(kept.withColumnRenamed("row", row), row, "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

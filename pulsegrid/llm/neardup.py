@@ -121,10 +121,11 @@ def _sign(n: int):
                     else:
                         ids.append(None), bands.append(None), signatures.append(None)
                 part = batch.slice(lo, hi - lo)
+                given = [c for c in ("row",) if c in batch.schema.names]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                     pa.array(bands, pa.list_(pa.int64())), pa.array(signatures, pa.binary())],
-                    ["doc_id", "text_hash", "n_shingles", "set_id", "bands", "signature"])
+                     pa.array(bands, pa.list_(pa.int64())), pa.array(signatures, pa.binary()), *(part.column(c) for c in given)],
+                    ["doc_id", "text_hash", "n_shingles", "set_id", "bands", "signature", *given])
     return run
 
 
@@ -179,14 +180,18 @@ class NearDuplicates:
     """The stages of one run, over written tables; ``members()`` is the result.
 
     ``docs`` needs an integer ``doc_id`` and a ``text`` column; rename others first.
+    ``row`` names a column of unique numbers, if the caller has one; ``kept_rows()`` are in its terms.
     """
 
-    def __init__(self, docs: DataFrame, shingle: int = 4, percent: int = 80, miss: float = 1e-6):
+    def __init__(self, docs: DataFrame, shingle: int = 4, percent: int = 80, miss: float = 1e-6, row: str | None = None):
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("text_hash", F.xxhash64("text"))
         self.shingle, self.percent = shingle, percent
         self.steps = fewest_matches(percent / 100, miss)
-        signed = self.docs.mapInArrow(_sign(shingle), SIGNED)
-        self.signed = written(signed.withColumn("row", F.monotonically_increasing_id()), "nd-signed")
+        if row is None:
+            signed = self.docs.mapInArrow(_sign(shingle), SIGNED).withColumn("row", F.monotonically_increasing_id())
+        else:
+            signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"), F.col(row).cast("long").alias("row")).mapInArrow(_sign(shingle), f"{SIGNED}, row bigint")
+        self.signed = written(signed, "nd-signed")
         first = F.min_by(F.struct(F.col("row").alias("cid"), "doc_id", "text_hash", "n_shingles", "bands", "signature"), F.struct("doc_id", "row"))
         grouped = self.signed.where("set_id is not null").groupBy("set_id").agg(first.alias("r")).select("set_id", "r.*")
         self.classes = written(grouped, "nd-classes")
@@ -286,6 +291,13 @@ class NearDuplicates:
         cols = ["doc_id", "text_hash", "n_shingles", "component_id"]
         return full.select(*cols).union(empty.select(*cols))
 
+    def kept_rows(self) -> DataFrame:
+        """(row) of one row of each group: the smallest doc_id (NULL last), then the smallest row; every row without words."""
+        comp = self.classes.join(self.components(), "cid", "left").select("set_id", F.coalesce("comp", "cid").alias("comp"))
+        rows = self.signed.where("set_id is not null").select("set_id", "doc_id", "row").join(comp, "set_id")
+        first = rows.groupBy("comp").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row"))
+        return first.select("row").union(self.signed.where("set_id is null").select("row"))
+
 
 def connected(links: DataFrame) -> DataFrame:
     """(cid, comp): the smallest id reachable over the undirected links (a, b).
