@@ -19,6 +19,8 @@ from pulsegrid.llm.common import read_table, written
 from pulsegrid.llm.queries import tokenizer_path
 
 ORACLE_SQL = None
+#: Words of a shingle of the near-duplicate stage (op4's own contract says 4).
+NEAR_WORDS = 5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     row = next(name for name in (f"_row{i}" for i in range(len(docs.columns) + 1)) if name.lower() not in map(str.lower, docs.columns))
     # The numbers are written, so that both readings of the documents see the same ones.
     rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
-    kept = neardup.NearDuplicates(rows, row=row).kept_rows()
+    kept = neardup.NearDuplicates(rows, shingle=NEAR_WORDS, row=row).kept_rows()
     return rows.join(kept.withColumnRenamed("row", row), row, "left_semi").select(*docs.columns)
 
 

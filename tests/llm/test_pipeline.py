@@ -29,7 +29,7 @@ def brute_kept(rows, n=None):
     return kept
 
 
-NEAR_WORDS = 4
+NEAR_WORDS = 5
 
 
 def plain(i, n=40):
@@ -50,7 +50,7 @@ def test_rows_of_one_id_or_none_are_not_one_document(spark):
     rows += [(None, None), (None, None), (7, " "), (7, " ")]
     got = pairs(near(spark, spark.createDataFrame(rows, "doc_id long, text string")))
     assert len(got) == 14
-    assert ids_and_sets(got, 4) == ids_and_sets(brute_kept(rows), 4)
+    assert ids_and_sets(got, NEAR_WORDS) == ids_and_sets(brute_kept(rows), NEAR_WORDS)
 
 
 @pytest.mark.parametrize("which", ["documents", "edge"])
@@ -58,4 +58,13 @@ def test_near_duplicate_stage_equals_brute_force(spark, which, request):
     docs = request.getfixturevalue(which)
     got = near(spark, docs)
     assert got.columns == docs.columns
-    assert ids_and_sets(pairs(got), 4) == ids_and_sets(brute_kept(pairs(docs)), 4)
+    assert ids_and_sets(pairs(got), NEAR_WORDS) == ids_and_sets(brute_kept(pairs(docs)), NEAR_WORDS)
+
+
+def test_five_isolated_edits_in_200_words_are_no_near_duplicate(spark):
+    words = plain(0, 200).split()
+    edited = [f"x{j}" if j % 40 == 20 else w for j, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(edited))]
+    a, b = shingle_sets(rows, 4)
+    assert 100 * len(a & b) >= 80 * len(a | b)
+    assert near(spark, spark.createDataFrame(rows, "doc_id long, text string")).count() == 2
