@@ -1,8 +1,14 @@
 """A hierarchical Pitman-Yor language model over whole texts, with Gibbs-sampled seatings.
 
-Restaurants: one per context class of the previous token (its last two bytes;
-class 0 starts a text), all sharing one unigram parent, whose own parent is the
-uniform distribution over the known tokens and one unknown.
+Restaurants: one per previous token (the end token's starts a text), all sharing
+one unigram parent, whose own parent is the uniform distribution over the known
+tokens and one unknown.  ``fit_words`` and ``score_words`` do this; ``fit`` and
+``score`` are the small model, whose ``CONTEXTS`` restaurants are classes of the
+previous token's last two bytes.
+
+Counts of (previous, word) pairs lie by word.  The restaurants' totals are a
+table; up to ``BROADCAST_ROWS`` of them go to every task, more are joined to the
+pairs in each sweep.
 
 Each Gibbs sweep seats the customers of every token type anew, given the other
 types (through the restaurants' total customers and tables of the sweep
@@ -31,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +51,8 @@ ALONE = 20
 BLOCK = 24 << 20
 #: Tokens counted together before they are sent on, and types sampled together.
 COUNT_TOKENS, SAMPLE_TYPES = 4_000_000, 200_000
+#: Pairs sampled together (a type's pairs stay together), and restaurants that are sent to every task.
+SAMPLE_PAIRS, BROADCAST_ROWS = 1_000_000, 1_000_000
 
 _LOW = np.uint64(CONTEXTS - 1)
 _END = np.uint64(0x5851F42D4C957F00)  # no word: words' keys come from a hash
@@ -329,8 +338,290 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, SCORED)
 
 
+def pair_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of all texts, the token before each (the end token before a text's first), and tokens per text."""
+    words, counts = hash_words(texts, SPACE_WORDS)
+    place = np.arange(len(words)) + np.repeat(np.arange(len(counts)), counts)
+    keys = np.full(len(words) + len(counts), _END, np.uint64)
+    keys[place] = words
+    return keys, np.append(_END, keys)[:-1], counts + 1
+
+
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.Table] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        table = pa.concat_tables(held).group_by(["word", "previous"], use_threads=False).aggregate([([], "count_all")])
+        held.clear()
+        yield from table.select(["word", "previous", "count_all"]).rename_columns(["word", "previous", "n"]).to_batches()
+
+    for batch in batches:
+        texts = as_bytes(batch.column("text"))
+        for lo, hi in slices(texts):
+            keys, previous, _ = pair_tokens(texts[lo:hi])
+            held.append(pa.Table.from_arrays([_long(keys), _long(previous)], ["word", "previous"]))
+            if sum(t.num_rows for t in held) > COUNT_TOKENS:
+                yield from flush()
+    if held:
+        yield from flush()
+
+
+WORD_TYPES = "part bigint, word bigint, c bigint, previous array<bigint>, n array<bigint>"
+
+
+def _word_types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (word, previous, n, task), sorted, to one row per word; about ``SAMPLE_PAIRS`` pairs share a part number."""
+    word, previous, n = (np.zeros(0, np.int64) for _ in range(3))
+    held: list[tuple[np.ndarray, ...]] = []
+    task = done = 0
+
+    def rows(end: int) -> pa.RecordBatch:
+        first = np.flatnonzero(np.concatenate([[True], word[1:end] != word[: end - 1]]))
+        cuts = np.append(first, end).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x[:end])) for x in (previous, n)]
+        part = np.full(len(first), (task << 32) + done)
+        return pa.RecordBatch.from_arrays([pa.array(part), pa.array(word[first]), pa.array(np.add.reduceat(n[:end], first)), *lists], ["part", "word", "c", "previous", "n"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        task = batch.column("task")[0].as_py()
+        held.append(tuple(batch.column(i).to_numpy() for i in range(3)))
+        if sum(len(h[0]) for h in held) < SAMPLE_PAIRS:
+            continue
+        word, previous, n = (np.concatenate(x) for x in zip((word, previous, n), *held, strict=True))
+        held = []
+        end = int(np.searchsorted(word, word[-1]))
+        if end:
+            yield rows(end)
+            word, previous, n, done = word[end:], previous[end:], n[end:], done + 1
+    word, previous, n = (np.concatenate(x) for x in zip((word, previous, n), *held, strict=True))
+    if len(word):
+        yield rows(len(word))
+
+
+@dataclass
+class Part:
+    """The pairs of some types, and their restaurants' customers and tables after each sweep so far."""
+
+    seed: int
+    words: np.ndarray
+    who: np.ndarray
+    previous: np.ndarray
+    counts: np.ndarray
+    context: np.ndarray
+    names: np.ndarray
+    customers: np.ndarray
+    tables: np.ndarray
+
+    def totals(self, sweep: int, parent: list[tuple[float, float]], d: float, parent_d: float, base: float) -> Totals:
+        c, t = parent[sweep]
+        return Totals(np.append(self.customers, c), np.append(self.tables[sweep], t), d, parent_d, base)
+
+    def rng(self, sweep: int) -> np.random.Generator:
+        return np.random.default_rng([sweep, self.seed, len(self.words)])
+
+
+def _pair_parts(batches: Iterator[pa.RecordBatch], restaurants) -> Iterator[Part]:
+    """Parts of a written type table, read in its order."""
+    names, customers, tables = restaurants.value
+    held: list[pa.RecordBatch] = []
+
+    def part() -> Part:
+        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        held.clear()
+        sizes = np.diff(batch.column("previous").offsets.to_numpy())
+        previous, counts = (batch.column(c).flatten().to_numpy() for c in ("previous", "n"))
+        own, context = np.unique(previous, return_inverse=True)
+        at = np.searchsorted(names, own)
+        words = batch.column("word").to_numpy()
+        return Part(abs(int(words[0])), words, np.repeat(np.arange(len(words)), sizes), previous, counts, context, own, customers[at], tables[:, at])
+
+    for batch in batches:
+        # A batch of many common types is cut, so that a part stays about SAMPLE_PAIRS.
+        ends = np.cumsum(np.diff(batch.column("previous").offsets.to_numpy()))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SAMPLE_PAIRS, side="right")))
+            held.append(batch.slice(lo, hi - lo))
+            lo = hi
+            if sum(len(b.column("previous").flatten()) for b in held) >= SAMPLE_PAIRS:
+                yield part()
+    if held:
+        yield part()
+
+
+def _joined_part(table: pa.Table) -> Part:
+    """The part that a group of joined rows (part, word, previous, n, customers, tables) makes."""
+    table = table.sort_by([("word", "ascending"), ("previous", "ascending")]).combine_chunks()
+    word, previous, n, customers = (table.column(c).to_numpy() for c in ("word", "previous", "n", "customers"))
+    tables = table.column("tables").combine_chunks().flatten().to_numpy().reshape(len(word), -1)
+    words, who = np.unique(word, return_inverse=True)
+    own, first, context = np.unique(previous, return_index=True, return_inverse=True)
+    return Part(table.column("part")[0].as_py(), words, who, previous, n, context, own, customers[first], tables[first].T)
+
+
+def _seat_pairs(part: Part, sweep: int, args: tuple) -> pa.Table:
+    """(previous, tables) of a part's new seating; the row without ``previous`` counts the parent's tables."""
+    s = seat(part.who, part.context, part.counts, len(part.words), part.totals(sweep, *args), part.rng(sweep))
+    sums = np.bincount(part.context, s.tables, len(part.names)).astype(np.int64)
+    return pa.Table.from_arrays([pa.array([*part.names.tolist(), None], pa.int64()), pa.array(np.append(sums, s.parent_tables.sum()))], ["previous", "tables"])
+
+
+PROBABILITIES = "word bigint, previous bigint, c bigint, p float"
+
+
+def _pair_probabilities(part: Part, args: tuple) -> pa.Table:
+    """One row per pair with its probability, and one per type (no ``previous``) with its count and the parent's, averaged over the kept sweeps."""
+    parent, known = np.zeros(len(part.words)), np.zeros(len(part.counts))
+    for sweep in range(BURN_IN, BURN_IN + KEPT):
+        after = part.totals(sweep + 1, *args)
+        s = seat(part.who, part.context, part.counts, len(part.words), part.totals(sweep, *args), part.rng(sweep))
+        base = after.parent(s.parent_customers, s.parent_tables)
+        parent += base / KEPT
+        own = np.maximum(part.counts - after.discount * s.tables, 0) / (after.strength + after.customers[part.context])
+        known += (own + after.share()[part.context] * base[part.who]) / KEPT
+    c = np.bincount(part.who, part.counts, len(part.words)).astype(np.int64)
+    pairs = pa.Table.from_arrays([pa.array(part.words[part.who]), pa.array(part.previous), pa.nulls(len(known), pa.int64()), pa.array(known.astype(np.float32))], ["word", "previous", "c", "p"])
+    types = pa.Table.from_arrays([pa.array(part.words), pa.nulls(len(c), pa.int64()), pa.array(c), pa.array(parent.astype(np.float32))], ["word", "previous", "c", "p"])
+    return pa.concat_tables([pairs, types])
+
+
+@dataclass
+class WordModel:
+    """``rows``: (word, previous, c, p, share) of all pairs and, with no ``previous``, of all types."""
+
+    rows: DataFrame
+    n_tokens: int
+    n_types: int
+    unknown: float
+
+
+def fit_words(train: DataFrame) -> WordModel:
+    """Count all pairs of ``train`` (column ``text``), then sample ``BURN_IN + KEPT`` sweeps."""
+    spark = train.sparkSession
+    counts = train.select("text").mapInArrow(_count_pairs, "word bigint, previous bigint, n bigint")
+    pairs = counts.repartition("word").groupBy("word", "previous").agg(F.sum("n").alias("n")).select("word", "previous", "n", F.spark_partition_id().alias("task"))
+    types = written(pairs.sortWithinPartitions("word", "previous").mapInArrow(_word_types, WORD_TYPES), "lm-word-types")
+    flat = types.select("part", "word", F.explode(F.arrays_zip("previous", "n")).alias("p")).select("part", "word", "p.previous", "p.n")
+    seen = written(flat.groupBy("previous").agg(F.sum("n").alias("customers"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")), "lm-restaurants")
+    n_tokens, ones, twos, n_restaurants = (x or 0 for x in seen.agg(F.sum("customers"), F.sum("ones"), F.sum("twos"), F.count(F.lit(1))).first())
+    one, two, n_types = types.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.count(F.lit(1))).first()
+
+    def discount(a: int, b: int) -> float:
+        return min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5
+
+    # Before the first sweep: about a table for each customer to the power of the discount.
+    d, base = discount(ones, twos), 1 / (n_types + 1)
+    start = F.ceil(F.pow(F.col("customers").cast("double"), F.lit(d)))
+    rest = written(seen.select("previous", "customers", F.array(start).alias("tables")), "lm-restaurants")
+    parent = [(float(rest.agg(F.sum(F.col("tables")[0])).first()[0] or 0), float(n_types))]
+
+    def mapped(make, schema: str) -> DataFrame:
+        """``make(part)`` of all parts of the type table."""
+        if n_restaurants > BROADCAST_ROWS:
+            return flat.join(rest, "previous").groupBy("part").applyInArrow(lambda t: make(_joined_part(t)), schema)
+        held = rest.orderBy("previous").toArrow().combine_chunks()
+        tables = held.column("tables").combine_chunks().flatten().to_numpy().reshape(held.num_rows, -1).T if held.num_rows else np.zeros((BURN_IN + KEPT + 1, 0), np.int64)
+        sent = spark.sparkContext.broadcast((held.column("previous").to_numpy(), held.column("customers").to_numpy(), np.ascontiguousarray(tables)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in _pair_parts(batches, sent):
+                yield from make(part).to_batches()
+
+        return types.mapInArrow(run, schema)
+
+    for sweep in range(BURN_IN + KEPT):
+        args = (list(parent), d, discount(one, two), base)
+        sums = mapped(lambda part, sweep=sweep, args=args: _seat_pairs(part, sweep, args), "previous bigint, tables bigint")
+        sums = written(sums.groupBy("previous").agg(F.sum("tables").alias("now")), "lm-sums")
+        new = rest.join(sums.where("previous is not null"), "previous").select("previous", "customers", F.concat("tables", F.array("now")).alias("tables"))
+        rest = written(new, "lm-restaurants")
+        below, above = sums.agg(F.sum(F.when(F.col("previous").isNotNull(), F.col("now"))), F.sum(F.when(F.col("previous").isNull(), F.col("now")))).first()
+        parent.append((float(below or 0), float(above or 0)))
+    args = (parent, d, discount(one, two), base)
+    rows = written(mapped(lambda part: _pair_probabilities(part, args), PROBABILITIES), "lm-probabilities")
+    kept = F.slice("tables", BURN_IN + 2, KEPT)
+    mean = F.aggregate(kept, F.lit(0.0), lambda a, t: a + t / KEPT)
+    shares = rest.select(F.col("previous").alias("word"), ((Totals.strength + d * mean) / (Totals.strength + F.col("customers"))).alias("share"))
+    rows = rows.where("previous is not null").withColumn("share", F.lit(None).cast("double")).unionByName(rows.where("previous is null").join(shares, "word"))
+    totals = [Totals(np.array([c]), np.array([t]), d, discount(one, two), base) for c, t in parent[BURN_IN + 1:]]
+    unknown = float(np.mean([t.parent(np.zeros(1), np.zeros(1))[0] for t in totals]))
+    return WordModel(rows, int(n_tokens), int(n_types), unknown)
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, word, previous) of the distinct pairs of a block, and its distinct tokens without ``previous``."""
+    for batch in batches:
+        blocks, texts = batch.column("block").to_numpy(), as_bytes(batch.column("text"))
+        for block in np.unique(blocks):
+            mine = [texts[i] for i in np.flatnonzero(blocks == block)]
+            tables = []
+            for lo, hi in slices(mine):
+                keys, previous, _ = pair_tokens(mine[lo:hi])
+                tables.append(pa.Table.from_arrays([_long(keys), _long(previous)], ["word", "previous"]).group_by(["word", "previous"], use_threads=False).aggregate([]))
+            pairs = pa.concat_tables(tables).group_by(["word", "previous"], use_threads=False).aggregate([]).combine_chunks()
+            words = np.unique(np.append(pairs.column("word").to_numpy(), np.int64(_END)))
+            for word, previous in ((pairs.column("word").combine_chunks(), pairs.column("previous").combine_chunks()), (pa.array(words), pa.nulls(len(words), pa.int64()))):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), block)), word, previous], ["block", "word", "previous"])
+
+
+def _pair_keys(words: np.ndarray, previous: np.ndarray) -> np.ndarray:
+    return mix64(words + mix64(previous ^ np.uint64(0x9FB21C651E98DF25)))
+
+
+def _score_pairs(unknown: float, n_tokens: int, n_types: int):
+    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+        is_type = pc.is_null(rows.column("previous"))
+        types, pairs = rows.filter(is_type), rows.filter(pc.invert(is_type))
+        words, first = np.unique(types.column("word").to_numpy().view(np.uint64), return_index=True)
+        counts, parents, shares = (types.column(c).to_numpy()[first].astype(float) for c in ("c", "p", "share"))
+        keys_of, first = np.unique(_pair_keys(*(pairs.column(c).to_numpy().view(np.uint64) for c in ("word", "previous"))), return_index=True)
+        known = np.append(pairs.column("p").to_numpy()[first].astype(float), 0.0)
+        # An unknown token has the unknown's probability; after one, all is left to the parent.
+        counts, parents, shares = np.append(counts, 0.0), np.append(parents, unknown), np.append(shares, 1.0)
+        ends = np.uint64(2**64 - 1)
+        known_words, known_pairs = np.append(words, ends), np.append(keys_of, ends)
+
+        def place(tokens: np.ndarray) -> np.ndarray:
+            at = np.searchsorted(known_words, tokens)
+            return np.where(known_words[at] == tokens, at, len(words))
+
+        bodies, out = as_bytes(texts.column("text")), []
+        for lo, hi in slices(bodies):
+            keys, previous, per_doc = pair_tokens(bodies[lo:hi])
+            at = place(keys)
+            both = _pair_keys(keys, previous)
+            pair = np.searchsorted(known_pairs, both)
+            c = counts[at]
+            p = np.where((known_pairs[pair] == both) & (pair < len(keys_of)), known[pair], shares[place(previous)] * parents[at])
+            starts = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
+            out.append((per_doc, *(np.add.reduceat(x, starts) for x in ((c > 0).astype(np.int64), np.log10((c + 1) / (n_tokens + n_types + 1)), np.log10(p)))))
+        cols = [np.concatenate(x) for x in zip(*out, strict=True)]
+        return pa.Table.from_arrays([texts.column("doc_id"), texts.column("held_out"), *(pa.array(c) for c in cols)], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return run
+
+
+def score_words(docs: DataFrame, model: WordModel) -> DataFrame:
+    """Scores of all rows of ``docs`` (doc_id, held_out, text); a block is joined to its own pairs."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-int(total) // BLOCK))
+    dealt = docs.select("doc_id", "held_out", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")).repartition("block")
+    # All columns go in, so that both uses of the dealt texts share one exchange.
+    wanted = dealt.mapInArrow(_block_pairs, "block bigint, word bigint, previous bigint")
+    rows = model.rows.withColumnsRenamed({"word": "m_word", "previous": "m_previous"})
+    found = wanted.join(rows, (F.col("word") == F.col("m_word")) & F.col("previous").eqNullSafe(F.col("m_previous"))).select("block", "word", "previous", "c", "p", "share")
+    run = _score_pairs(model.unknown, model.n_tokens, model.n_types)
+    return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, SCORED)
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """All documents scored by a model of those whose CRC-32 remainder (mod 7) is not 2."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc32_text(F.col("doc_id")) % 7 == 2).alias("held_out"), "text")
-    model = fit(rows.where(~F.col("held_out")))
-    return score(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    model = fit_words(rows.where(~F.col("held_out")))
+    return score_words(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
