@@ -23,10 +23,21 @@ ORACLE_SQL = None
 NEAR_WORDS = 5
 
 
+def shielded(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no stage's results use, and the new name of each column."""
+    names = {c: f"_in{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def restored(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (score of at least its threshold)."""
     weights = quality.fit(docs, read_table(spark, sf_dir, "labels"), lambda c: ~quality.is_held_out(c))
-    return quality.score(docs, weights).where("predicted = 1").select(*docs.columns)
+    rows, names = shielded(docs)
+    return restored(quality.score(rows, weights, names["text"]).where("predicted = 1"), names)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,20 +54,23 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
-    hits = decontaminate.scan(docs, read_table(spark, sf_dir, "benchmark"))
-    return hits.where(F.size("hit_ranges") == 0).select(*docs.columns)
+    rows, names = shielded(docs)
+    hits = decontaminate.scan(rows, read_table(spark, sf_dir, "benchmark"), names["text"])
+    return restored(hits.where(F.size("hit_ranges") == 0), names)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret in a text replaced by a mark; n_chars follows the new text."""
     _, findings = secrets.scan_step(docs.select("text"), *secrets.empty_ledger(docs))
-    rows = secrets.at_paths(docs, findings)
-    clean = secrets.redacted(F.col("text"), F.col("found"))
+    rows, names = shielded(docs)
+    rows = secrets.at_paths(rows, findings, text=names["text"])
+    clean = secrets.redacted(F.col(names["text"]), F.col("found"))
     changed = F.coalesce(F.size("found"), F.lit(0)) > 0
-    out = {"text": clean}
-    if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(changed, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rows.withColumns(out).select(*docs.columns)
+    out = {names["text"]: clean}
+    if "n_chars" in names:
+        size = F.length(clean).cast(docs.schema["n_chars"].dataType)
+        out[names["n_chars"]] = F.when(changed, size).otherwise(F.col(names["n_chars"]))
+    return restored(rows.withColumns(out), names)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

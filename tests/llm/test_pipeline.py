@@ -68,3 +68,25 @@ def test_five_isolated_edits_in_200_words_are_no_near_duplicate(spark):
     a, b = shingle_sets(rows, 4)
     assert 100 * len(a & b) >= 80 * len(a | b)
     assert near(spark, spark.createDataFrame(rows, "doc_id long, text string")).count() == 2
+
+
+CLASHING = ["score", "predicted", "n_words", "hit_ranges", "hit_items", "blob", "found", "_text", "_row", "_row0"]
+
+
+@pytest.mark.parametrize("stage", [s for s in corpus_pipeline.STAGES if s[0] != "packing"], ids=lambda s: s[0])
+def test_columns_named_like_results_come_through(spark, stage, monkeypatch):
+    # Every text passes the classifier, so that a stage's rows depend on nothing else here.
+    monkeypatch.setattr(corpus_pipeline.quality, "fit", lambda *a, **k: corpus_pipeline.quality.constant(0.9))
+    rows = [(i, plain(i), *(f"{c} of {i}" for c in CLASHING)) for i in range(4)] + [(None, None, *(f"{c} of none" for c in CLASHING))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in CLASHING))
+    got = stage[1](spark, docs, SF001)
+    assert got.columns == docs.columns
+    assert sort_rows(map(tuple, got.collect())) == sort_rows(rows)
+    assert stage[1](spark, docs.where("false"), SF001).count() == 0
+
+
+def test_pipeline_runs_its_stages(spark):
+    documents = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id").distinct()
+    packed = corpus_pipeline.run(spark, SF001)
+    assert 0 < packed.count()
+    assert packed.select("doc_id").distinct().join(documents, "doc_id", "left_anti").count() == 0
