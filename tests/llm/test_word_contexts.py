@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 
 from pulsegrid.llm import hpylm
