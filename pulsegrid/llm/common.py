@@ -60,6 +60,19 @@ def slices(texts: Sequence[bytes], most: int = BLOCK_BYTES) -> Iterator[tuple[in
         yield start, len(texts)
 
 
+def word_blocks(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text whose separators are spaces, in blocks of about ``BLOCK_BYTES``."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + BLOCK_BYTES)
+        if end < len(text):
+            cut = text.rfind(b" ", at, end)
+            cut = text.find(b" ", end) if cut < 0 else cut
+            end = len(text) if cut < 0 else cut + 1
+        yield text[at:end].split()
+        at = end
+
+
 def lower_table(separators: bytes) -> bytes:
     """Byte map: A-Z to a-z, each separator to a space, all else unchanged."""
     table = bytearray(range(256))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import archive, decontaminate, hpylm, neardup, packing, pii, quality, secrets, sharding, topk
+from pulsegrid.llm import archive, audit, codes, decontaminate, hpylm, neardup, packing, pii, quality, secrets, sharding, simhash, topk
 from pulsegrid.llm.common import read_table
 from pulsegrid.llm.oracles import ORACLES
 
@@ -57,8 +57,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_decontamination, op3_warc_round_trip, op4_near_duplicates, op5_jump_shards,
-    op6_personal_data, op7_quality, op8_language_model, op9_max_score, op10_packing)}
+    op6_personal_data, op7_quality, op8_language_model, op9_max_score, op10_packing,
+    op11_filter_audit, op12_vector_codes, op13_simhash)}
 
 __all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
