@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pulsegrid.functions.scalar import bce_with_logits, dot, fixed_decimals, rint, sigmoid
 from pulsegrid.operators import columns as C
 from pulsegrid.operators import evaluate as E
+from pulsegrid.operators import permute as PM
 from pulsegrid.operators import positions as POS
+from pulsegrid.operators import ranks as RK
 from pulsegrid.operators import split as SP
 from pulsegrid.operators import stats as ST
 from pulsegrid.operators.features import FEATURES, SCALED, array_to_features, assembler
@@ -36,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---------------------------------------------------------------------------
 FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINE_KEY = ["l_orderkey", "l_linenumber"]
+ROW_KEY = [*LINE_KEY, "l_partkey", "l_suppkey", "cents"]  # names one row
 LABEL_R_SQL = "CAST(l_returnflag = 'R' AS DOUBLE)"
 SPLIT_SEED = 22            # seed of the 0.7/0.2/0.1 split (the original flow's)
 BALANCE_SEED = 1000        # seed of the class-balancing split (the original flow's)
@@ -43,6 +46,8 @@ SPLIT_WEIGHTS = (0.7, 0.2, 0.1)
 SPLIT_NAMES = ("train", "test", "validation")
 EXACT_FRACTION = 0.7       # exact positional train share
 FIRST_N = 50               # rows taken from the validation part
+RANGE = (1234, 1334)       # positions of a middle range of the seeded order
+EPOCHS = 3                 # epochs that are dealt into batches
 EVERY_K = 10               # every k-th logged value
 BATCH = 32                 # mini-batch size
 CHECK_N = 64               # rows of the pre-scoring loss check
@@ -246,10 +251,43 @@ def q_d3_d4_exact_split(spark, sf_dir):
 
 def q_d6_first_validation_rows(spark, sf_dir):
     """The first 50 validation rows of the exact split."""
+    order = RK.SeededOrder(read_table(spark, sf_dir, "events", ["event_id", "value"]), SPLIT_SEED, "event_id")
+    start = RK.split_rank(order.total(), EXACT_FRACTION)
+    return RK.range_of(order, start, start + FIRST_N).select("event_id", "pos", "value")
+
+
+def q_d4_rank_split(spark, sf_dir):
+    """D4 by rank selection: the exact split as a filter, without sorting or writing the rows."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "value"])
+    return RK.rank_split(ev, EXACT_FRACTION, SPLIT_SEED, "event_id")
+
+
+def q_d6_row_range(spark, sf_dir):
+    """The rows ``[start, stop)`` in the middle of the seeded order."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "value"])
-    val = POS.exact_split(ev, EXACT_FRACTION, SPLIT_SEED, "event_id").filter(
-        F.col("split") == "validation")
-    return POS.first_rows(val, FIRST_N, [F.col("pos")]).select("event_id", "pos", "value")
+    return RK.row_range(ev, *RANGE, SPLIT_SEED, "event_id").select("event_id", "pos", "value")
+
+
+def q_d5_exact_balance(spark, sf_dir):
+    """D5 with exact counts: the larger class cut to the smaller one's rows by rank."""
+    li = read_table(spark, sf_dir, "lineitem", [*ROW_KEY[:4], "l_extendedprice", "l_quantity", "l_returnflag"])
+    sig = li.select(*ROW_KEY[:4], F.round(F.col("l_extendedprice") * 100).cast("bigint").alias(ROW_KEY[4]), "l_quantity",
+                    (F.col("l_returnflag") == "R").cast("double").alias("label"))
+    return RK.balance_exact(sig, BALANCE_SEED, ROW_KEY).select(*LINE_KEY, "l_quantity", "label")
+
+
+def q_d3_permutation(spark, sf_dir):
+    """D3 as a keyed permutation of row numbers: the seeded shuffle without a sort of its own."""
+    rows, n = PM.numbered_rows(read_table(spark, sf_dir, "events", ["event_id"]), "event_id")
+    return PM.permuted(rows, n, SPLIT_SEED).select("event_id", "pos")
+
+
+def q_d7_epoch_batches(spark, sf_dir):
+    """Three epochs, each in an order of its own, dealt into batches of 32; mean value per batch."""
+    rows, n = PM.numbered_rows(read_table(spark, sf_dir, "events", ["event_id", "value"]), "event_id")
+    dealt = PM.epoch_batches(rows, n, BATCH, range(EPOCHS), SPLIT_SEED)
+    return dealt.groupBy("epoch", "batch").agg(F.count(F.lit(1)).alias("n"), F.max("slot").cast("bigint").alias("last_slot"),
+                                               _r(F.avg("value"), "mean_value", MEAN_ROUND))
 
 
 def q_d7_batch_means(spark, sf_dir):
@@ -486,6 +524,11 @@ QUERIES: dict[str, Query] = {
     "u1_balance_by_union": q_u1_balance_by_union,
     "d3_d4_exact_split": q_d3_d4_exact_split,
     "d6_first_validation_rows": q_d6_first_validation_rows,
+    "d4_rank_split": q_d4_rank_split,
+    "d6_row_range": q_d6_row_range,
+    "d5_exact_balance": q_d5_exact_balance,
+    "d3_permutation": q_d3_permutation,
+    "d7_epoch_batches": q_d7_epoch_batches,
     "d7_batch_means": q_d7_batch_means,
     "p6_finite_values": q_p6_finite_values,
     "p7_every_kth_logged": q_p7_every_kth_logged,
@@ -536,6 +579,39 @@ def _exact_sql() -> str:
             f"count(*) OVER () AS n FROM events)")
 
 
+def _exact_balance_sql() -> str:
+    md5 = md5_sql(BALANCE_SEED, ROW_KEY)
+    return (f"SELECT l_orderkey, l_linenumber, l_quantity, label FROM (SELECT *, "
+            f"row_number() OVER (PARTITION BY label ORDER BY {md5}) AS r, "
+            "count(*) FILTER (label = 1) OVER () AS p, count(*) FILTER (label = 0) OVER () AS q FROM "
+            f"(SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, {LABEL_R_SQL} AS label FROM lineitem)) "
+            "WHERE r <= least(p, q)")
+
+
+def _permuted_sql(seed: str, table: str = "events", key: str = "event_id", extra: str = "") -> str:
+    """(key, pos) of the keyed permutation: rounds of hashes over the grid, repeated while a number is n or more."""
+    def rounds(source: str) -> str:
+        sql = f"SELECT {key}, x // b AS l, x % b AS r, a, b, n FROM ({source})"
+        for i in range(PM.ROUNDS):
+            own, other, side = ("r", "l", "b") if i % 2 else ("l", "r", "a")
+            h = f"CAST('0x' || substr(md5('{seed}:{i}:' || {other}), 1, {PM._DIGITS}) AS BIGINT)"
+            sql = f"SELECT {key}, ({own} + {h}) % {side} AS {own}, {other}, a, b, n FROM ({sql})"
+        return f"SELECT {key}, l * b + r AS x, a, b, n FROM ({sql})"
+
+    start = f"SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS x, a, b, n FROM {table}, sides"
+    return ("WITH RECURSIVE sides AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, unnest(range(root, root + "
+            f"{PM.SIDES})) AS a FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS root FROM {table})) "
+            "ORDER BY a * ((n + a - 1) // a) - n, a LIMIT 1), "
+            f"walk AS ({rounds(start)} UNION ALL {rounds('SELECT * FROM walk WHERE x >= n')}) "
+            f"SELECT {key}, x AS pos{extra} FROM walk WHERE x < n")
+
+
+def _epochs_sql() -> str:
+    arms = " UNION ALL ".join(f"SELECT {e} AS epoch, * FROM ({_permuted_sql(f'{SPLIT_SEED}:{e}')})" for e in range(EPOCHS))
+    return (f"SELECT epoch, pos // {BATCH} AS batch, count(*) AS n, max(pos % {BATCH}) AS last_slot, "
+            f"round(avg(value), {MEAN_ROUND}) AS mean_value FROM ({arms}) JOIN events USING (event_id) GROUP BY 1, 2")
+
+
 def _rules_sql() -> str:
     split = split_case_sql(SPLIT_SEED, LINE_KEY)
     arms = " UNION ALL ".join(
@@ -634,6 +710,11 @@ _ORACLES: dict[str, str] = {
     "d6_first_validation_rows":
         f"SELECT event_id, pos, value FROM ({_exact_sql()}) WHERE split = 'validation' "
         f"ORDER BY pos LIMIT {FIRST_N}",
+    "d4_rank_split": f"SELECT event_id, value, split FROM ({_exact_sql()})",
+    "d6_row_range": f"SELECT event_id, pos, value FROM ({_exact_sql()}) WHERE pos >= {RANGE[0]} AND pos < {RANGE[1]}",
+    "d5_exact_balance": _exact_balance_sql(),
+    "d3_permutation": _permuted_sql(str(SPLIT_SEED)),
+    "d7_epoch_batches": _epochs_sql(),
     "d7_batch_means":
         f"SELECT CAST(floor(pos / {BATCH}) AS BIGINT) AS batch, count(*) AS n, "
         f"round(avg(value), {MEAN_ROUND}) AS mean_value FROM (SELECT value, row_number() OVER "

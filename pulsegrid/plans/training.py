@@ -21,7 +21,7 @@ from pulsegrid.operators.features import SCALED, array_to_features
 from pulsegrid.operators.logs import every_kth_logged, logged_points
 from pulsegrid.operators.models import persist_for_iterations
 from pulsegrid.operators.neural import fit_with_curve, wide_log
-from pulsegrid.operators.positions import exact_split
+from pulsegrid.operators.ranks import rank_split
 from pulsegrid.plans.classify import embeddings_signal
 from pulsegrid.operators.stats import element_stats
 from pulsegrid.sources.csv import read_log_csv
@@ -42,7 +42,7 @@ def training_flow(spark: SparkSession, sf_dir: str, log_dir: str, run_id: str, s
                   fraction: float = 0.7, every: int = 10, mlp_seed: int = 7,
                   fit_on: str = "train") -> TrainingResult:
     signal = embeddings_signal(spark, sf_dir)
-    split = exact_split(signal, fraction, seed, "vec_id")
+    split = rank_split(signal, fraction, seed, "vec_id")
     stats_rows = split if fit_on == "all" else split.filter(F.col("split") == "train")
     means, _, stds = element_stats(stats_rows, "x")
     # Constant columns become 0 for the network input; a NULL feature stays NULL.
