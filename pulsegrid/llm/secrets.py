@@ -11,6 +11,9 @@ the same order, so running sums of their lengths give each match's start and
 end in code points, end exclusive.  A match that its rule's check refuses is
 dropped without a retry.
 
+A very long text is matched whole: no rule repeats a group without bound, so no text
+overflows the stack, and the spans of one text are gathered in time near their number.
+
 Edge cases: a NULL text is the empty blob; repeated rows and copies share a
 blob and all get its findings; an empty table gives no rows; further columns
 of the input, whatever their names, are not touched.
@@ -46,9 +49,12 @@ BASE_RULES = (
 RULES = (
     *BASE_RULES,
     Rule("forge", "gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("pem", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    # Few words before the key: a group repeated without bound recurses once a repeat in Java's engine.
+    Rule("pem", "-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----", version=2),
 )
 SPANS = "array<struct<start:int,end:int>>"
+#: Spans of one short list; a list of n of them costs n / 512 copies of a span.
+GATHERED = 256
 
 
 def blob_id(text: Column) -> Column:
@@ -63,12 +69,19 @@ def rule_spans(text: Column, rule: Rule) -> Column:
                      (F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else hits).alias("part"),
                      F.slice(F.split(text, rule.pattern, -1), 1, F.size(hits)).alias("gap")),
         lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), (F.length(x["part"]) >= rule.least).alias("good")))
-    at = F.aggregate(
-        marks, F.struct(F.lit(0).alias("pos"), F.array().cast(SPANS).alias("out")),
-        lambda a, x: F.struct(
-            (a.pos + x.gap + x.hit).alias("pos"),
-            F.when(x.good, F.concat(a.out, F.array(F.struct((a.pos + x.gap).alias("start"), (a.pos + x.gap + x.hit).alias("end"))))).otherwise(a.out).alias("out")),
-        lambda a: a.out)
+    none = F.array().cast(SPANS)
+
+    def step(a: Column, x: Column) -> Column:
+        # Spans are gathered in short lists, so that a text with very many matches copies none of them often.
+        full = F.size(a.held) >= GATHERED
+        span = F.struct((a.pos + x.gap).alias("start"), (a.pos + x.gap + x.hit).alias("end"))
+        held = F.when(full, none).otherwise(a.held)
+        return F.struct((a.pos + x.gap + x.hit).alias("pos"),
+                        F.when(x.good, F.concat(held, F.array(span))).otherwise(held).alias("held"),
+                        F.when(full, F.concat(a.done, F.array(a.held))).otherwise(a.done).alias("done"))
+
+    start = F.struct(F.lit(0).alias("pos"), none.alias("held"), F.array().cast(f"array<{SPANS}>").alias("done"))
+    at = F.aggregate(marks, start, step, lambda a: F.flatten(F.concat(a.done, F.array(a.held))))
     return F.when(text.rlike(rule.pattern), at).otherwise(F.array().cast(SPANS))
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import pytest
@@ -44,6 +45,19 @@ def test_secrets_equal_brute_force(which, request):
     assert rows_of(got) == sorted(want, key=lambda r: tuple((x is not None, x) for x in r))
 
 
+def test_texts_that_repeat_a_rule_very_often(spark):
+    """60 KB of words after a PEM header, and 50,000 matches in one text."""
+    pem = "-----BEGIN " + "A " * 30_000
+    many = "secret=abcdefgh " * 50_000
+    df = spark.createDataFrame([(1, pem), (2, many), (3, "x -----BEGIN RSA PRIVATE KEY----- y")], "doc_id long, text string")
+    began = time.time()
+    got = {r["doc_id"]: r for r in secrets.scan_documents(df).collect()}
+    assert time.time() - began < 30
+    assert got[1]["spans"] == "" and got[3]["spans"] == "pem:2:33"
+    want = [(16 * i, 0, 16 * i + 15, "assign") for i in range(50_000)]
+    assert got[2]["n_assign"] == 50_000 and got[2]["base_sha256"] == digest(want)
+
+
 def test_ledger_scans_only_unseen_pairs(spark, edge):
     ledger, findings = secrets.scan_step(edge, *secrets.empty_ledger(edge))
     blobs = edge.select(secrets.blob_id(F.col("text"))).distinct().count()
