@@ -21,6 +21,7 @@ of the input, whatever their names, are not touched.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,7 +54,7 @@ RULES = (
     Rule("pem", "-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----", version=2),
 )
 SPANS = "array<struct<start:int,end:int>>"
-#: Spans of one short list; a list of n of them costs n / 512 copies of a span.
+#: Matches of one text that are gathered by one fold.
 GATHERED = 256
 
 
@@ -61,6 +62,11 @@ def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), lambda v: body(v))[0]
+
+
 def rule_spans(text: Column, rule: Rule) -> Column:
     """Accepted matches of one rule, in order, as (start, end)."""
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
@@ -69,19 +75,27 @@ def rule_spans(text: Column, rule: Rule) -> Column:
                      (F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else hits).alias("part"),
                      F.slice(F.split(text, rule.pattern, -1), 1, F.size(hits)).alias("gap")),
         lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), (F.length(x["part"]) >= rule.least).alias("good")))
-    none = F.array().cast(SPANS)
+    # A fold copies its state at every step, so the spans of a text with many matches are gathered block by block.
+    def cut(all_marks: Column) -> Column:
+        last = F.ceil(F.size(all_marks) / GATHERED).cast("int") - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(all_marks, b * GATHERED + 1, GATHERED))
+
+    def widths(blocks: Column) -> Column:
+        return F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x.gap + x.hit))
 
     def step(a: Column, x: Column) -> Column:
-        # Spans are gathered in short lists, so that a text with very many matches copies none of them often.
-        full = F.size(a.held) >= GATHERED
-        span = F.struct((a.pos + x.gap).alias("start"), (a.pos + x.gap + x.hit).alias("end"))
-        held = F.when(full, none).otherwise(a.held)
-        return F.struct((a.pos + x.gap + x.hit).alias("pos"),
-                        F.when(x.good, F.concat(held, F.array(span))).otherwise(held).alias("held"),
-                        F.when(full, F.concat(a.done, F.array(a.held))).otherwise(a.done).alias("done"))
-
-    start = F.struct(F.lit(0).alias("pos"), none.alias("held"), F.array().cast(f"array<{SPANS}>").alias("done"))
-    at = F.aggregate(marks, start, step, lambda a: F.flatten(F.concat(a.done, F.array(a.held))))
+        start, end = a.pos + x.gap, a.pos + x.gap + x.hit
+        span = F.array(F.struct(start.alias("start"), end.alias("end")))
+        return F.struct(end.alias("pos"), F.when(x.good, F.concat(a.out, span)).otherwise(a.out).alias("out"))
+
+    def spans(block: Column, before: Column) -> Column:
+        return F.aggregate(block, F.struct(before.alias("pos"), F.array().cast(SPANS).alias("out")), step, lambda a: a.out)
+
+    def gathered(blocks: Column) -> Column:
+        return once(widths(blocks), lambda sizes: F.flatten(F.transform(blocks, lambda block, b: spans(
+            block, F.aggregate(F.slice(sizes, F.lit(1), b), F.lit(0), lambda a, x: a + x)))))
+
+    at = once(marks, lambda all_marks: once(cut(all_marks), gathered))
     return F.when(text.rlike(rule.pattern), at).otherwise(F.array().cast(SPANS))
 
 
