@@ -37,10 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import bounded, written
+from pulsegrid.llm.common import bounded, finite_on_grid, grid_integers, largest, written
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
 #: Leaves whose nodes are held at once.
@@ -48,22 +48,13 @@ RUN = 8192
 #: Labels with their sums that a broadcast may have; beyond, a shuffle join.
 BROADCAST_ROWS = 1_000_000
 _LONG = 1 << 62
-#: From here on a double's spacing is no less than 1/SCALE, so it is on the grid itself.
-_COARSE = 2.0**41
 
 Books = list[list[list[int]]]
 
 
-def on_grid(x: Column) -> Column:
-    """floor(SCALE * x) / SCALE of a finite double, exactly."""
-    return F.when(F.abs(x) >= _COARSE, x).otherwise(F.floor(x * SCALE) / SCALE)
-
-
 def kept_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> tuple[DataFrame, int]:
     """(vec_id, label, v) of the rows that stay, as a written table, and the width of a part."""
-    x = F.transform(F.col(vector), lambda c: c.cast("double"))
-    clean = F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) != float("inf")), F.lit(False)))
-    kept = rows.select(F.col(key).cast("long").alias("vec_id"), F.col(label).alias("label"), F.when(clean, F.transform(x, on_grid)).alias("v")).where("v is not null")
+    kept = rows.select(F.col(key).cast("long").alias("vec_id"), F.col(label).alias("label"), finite_on_grid(vector, SCALE).alias("v")).where("v is not null")
     kept = written(kept, "codes-vectors")
     widest = kept.agg(F.max(F.size("v"))).first()[0] or 0
     width = -(-widest // PARTS)
@@ -78,24 +69,12 @@ def distinct_parts(kept: DataFrame, width: int) -> DataFrame:
     return written(parts.orderBy("position", "part"), "codes-parts")
 
 
-def integers(x: np.ndarray) -> np.ndarray:
-    """Grid values as integers: int64 if they fit easily, else Python's."""
-    if not x.size or np.abs(x).max() < 2.0**49:
-        return (x * SCALE).astype(np.int64)
-    # From 2^41 on a double is an integer or a whole number of grid steps.
-    return np.array([int(v * SCALE) if abs(v) < _COARSE else int(v) * SCALE for v in x.ravel().tolist()], object).reshape(x.shape)
-
-
-def _largest(x: np.ndarray) -> int:
-    return int(max(x.max(initial=0), -x.min(initial=0))) if x.size else 0
-
-
 class Traversal:
     """Depth-first over the parts of one position, in runs of sorted leaves."""
 
     def __init__(self, book: list[list[int]]):
         self.book = np.array(book, object).reshape(len(book), len(book[0]) if book else 0)
-        self.reach = _largest(self.book)
+        self.reach = largest(self.book)
         self.last: np.ndarray | None = None
         self.stack: list[np.ndarray] = []
 
@@ -105,7 +84,7 @@ class Traversal:
         if not width:
             return np.zeros((n, len(self.book)), np.int64)
         # A long holds the sums of all parts of a vector.
-        small = x.dtype != object and PARTS * width * (_largest(x) + self.reach) ** 2 < _LONG
+        small = x.dtype != object and PARTS * width * (largest(x) + self.reach) ** 2 < _LONG
         kind = np.int64 if small else object
         x, book = x.astype(kind), self.book.astype(kind)
         if self.last is None or self.last.dtype != x.dtype:
@@ -137,7 +116,7 @@ def _runs(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray,
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         for at in range(lo, hi, RUN):
             to = min(hi, at + RUN)
-            yield int(positions[lo]), integers(values[at:to]), counts[at:to]
+            yield int(positions[lo]), grid_integers(values[at:to], SCALE), counts[at:to]
 
 
 def _limbs(x: int) -> Iterator[tuple[int, int]]:
@@ -160,7 +139,7 @@ def _summed(books: Books, width: int):
         for batch in batches:
             for position, x, n in _runs(batch, width) if batch.num_rows else ():
                 entry = walks[position].distances(x).argmin(axis=1)
-                kind = np.int64 if x.dtype != object and _largest(x) * int(n.sum()) < _LONG else object
+                kind = np.int64 if x.dtype != object and largest(x) * int(n.sum()) < _LONG else object
                 chosen = (entry == np.arange(len(books[position]))[:, None]).astype(kind)
                 weighted = chosen @ (x.astype(kind) * n.astype(kind)[:, None])
                 for e, (count, row) in enumerate(zip((chosen @ n.astype(kind)).tolist(), weighted.tolist(), strict=True)):
@@ -178,7 +157,7 @@ def first_books(kept: DataFrame, width: int) -> Books:
     ids = kept.select("vec_id").distinct().orderBy(F.col("vec_id").asc_nulls_last()).limit(ENTRIES)
     first = kept.join(F.broadcast(ids.withColumnRenamed("vec_id", "first_id")), F.col("vec_id").eqNullSafe(F.col("first_id")))
     rows = first.groupBy("vec_id").agg(F.min("v").alias("v")).orderBy(F.col("vec_id").asc_nulls_last()).collect()
-    vectors = [integers(np.array(r["v"], float)).tolist() for r in rows]
+    vectors = [grid_integers(np.array(r["v"], float), SCALE).tolist() for r in rows]
     return [[v[p * width: (p + 1) * width] for v in vectors] for p in range(PARTS)]
 
 
@@ -204,7 +183,7 @@ def _coded(books: Books, width: int):
                 for p, book in enumerate(books):
                     x = values[:, p]
                     order = np.lexsort(x.T[::-1]) if width else np.arange(n)
-                    far = Traversal(book).distances(integers(x[order]))
+                    far = Traversal(book).distances(grid_integers(x[order], SCALE))
                     entry = far.argmin(axis=1)
                     codes[order, p] = entry
                     for i, d in zip(order.tolist(), far[np.arange(n), entry].tolist(), strict=True):

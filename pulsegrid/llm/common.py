@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.session import scratch_path
@@ -37,6 +37,32 @@ def crc32_text(col) -> object:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
 
 
+def on_grid(x: Column, scale: int) -> Column:
+    """floor(scale * x) / scale of a finite double, exactly, for a power of two as scale."""
+    # From 2^53 / scale on a double's spacing is 1/scale or more, so it is on the grid itself.
+    return F.when(F.abs(x) >= float(2**53 // scale), x).otherwise(F.floor(x * scale) / scale)
+
+
+def finite_on_grid(vector: str | Column, scale: int) -> Column:
+    """The vector's components on the grid as doubles; NULL if it is NULL or holds a NULL or non-finite one."""
+    x = F.transform(F.col(vector) if isinstance(vector, str) else vector, lambda c: c.cast("double"))
+    clean = F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) != float("inf")), F.lit(False)))
+    return F.when(clean, F.transform(x, lambda c: on_grid(c, scale)))
+
+
+def grid_integers(x: np.ndarray, scale: int) -> np.ndarray:
+    """Grid values times ``scale``: int64 if all fit, else Python's integers."""
+    if not x.size or np.abs(x).max() < 2.0**61 / scale:
+        return (x * scale).astype(np.int64)
+    whole = float(2**53 // scale)
+    return np.array([int(v * scale) if abs(v) < whole else int(v) * scale for v in x.ravel().tolist()], object).reshape(x.shape)
+
+
+def largest(x: np.ndarray) -> int:
+    """The largest magnitude in an array of integers; 0 of none."""
+    return int(max(x.max(initial=0), -x.min(initial=0))) if x.size else 0
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """A string or binary Arrow column as bytes; NULL is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -129,31 +130,57 @@ def test_warc_files_hold_standard_records(spark, tmp_path):
     assert {"warcinfo", "response", "revisit"} == set(seen)
 
 
-def brute_top(rows, queries, k):
-    out = []
-    for q, v in queries:
-        best = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q))[:k]  # noqa: B905
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
-    return sorted(out)
-
-
-def integers(v):
-    return None if v is None or any(x is None or not math.isfinite(x) for x in v) else [math.floor(1024 * x) for x in v]
+def whole_vectors(rows):
+    """(row number, id, exact integers) of the rows that take part."""
+    return [(n, i, [math.floor(Fraction(x) * 1024) for x in v]) for n, (i, v) in enumerate(rows)
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
 
 
-@pytest.mark.parametrize("block", [4096, 2])
-def test_top_k_equals_brute_force(spark, block, monkeypatch):
-    monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+def brute_hits(rows, k=10):
+    out = []
+    kept = whole_vectors(rows)
+    for n, i, q in kept:
+        if i % 100 == 0:
+            hits = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, j, v in kept if m != n)[:k]
+            out += [(i, r, j, -s if -(2**63) <= -s < 2**63 else None) for r, (s, j) in enumerate(hits, 1)]
+    return sort_rows(out)
+
+
+@pytest.mark.parametrize("values", [1 << 19, 3000])
+def test_top_k_equals_brute_force(spark, values, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_VALUES", values)
+    monkeypatch.setattr(topk, "GROUP_VALUES", values)
     monkeypatch.setattr(topk, "SHARD", 64)
     extra = spark.createDataFrame([(10_000, None, 1), (10_100, [1.0, None], 1), (10_200, [float("nan")], 1), (10_300, [0.25, -0.5], 1), (10_400, [], 1), (None, [0.5], 1),
-                                   (10_301, [0.25, -0.5], 1), (10_302, [0.25, -0.5], 1)], "vec_id long, embedding array<float>, label int")
+                                   (10_301, [0.25, -0.5], 1), (10_302, [0.25, -0.5], 1), (10_300, [0.25, -0.5], 1), (10_300, [0.75], 1)], "vec_id long, embedding array<float>, label int")
     df = spark.read.parquet(f"{SF001}/embeddings.parquet").unionByName(extra)
-    rows = [(r[0], w) for r in df.select("vec_id", "embedding").collect() if r[0] is not None and (w := integers(r[1])) is not None]
-    want = brute_top(rows, [r for r in rows if r[0] % 100 == 0], 10)
-    assert rows_of(topk.top_k(df, lambda c: c % 100 == 0)) == want
+    want = brute_hits([(r[0], r[1]) for r in df.select("vec_id", "embedding").collect()])
+    assert sort_rows(rows_of(topk.top_k(df, lambda c: c % 100 == 0))) == want
     few = df.where("vec_id < 5")
     assert topk.top_k(few, lambda c: c % 100 == 0).count() == 4
     assert topk.top_k(df.where("false"), lambda c: c % 100 == 0).count() == 0
+    assert topk.top_k(df.where("vec_id = 7"), lambda c: c % 100 == 0).count() == 0
+
+
+def check_hits(spark, rows):
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<double>, score string, rank int")
+    assert sort_rows(rows_of(topk.top_k(df, lambda c: c % 100 == 0))) == brute_hits(rows)
+
+
+def test_large_components_and_wide_vectors_are_exact(spark):
+    rng = np.random.default_rng(5)
+    check_hits(spark, [(0, [1.0]), (1, [400_000.0]), (2, [300_000.0])])
+    wide = [(i, rng.choice([-1.0, 1.0], 200) * 262_144) for i in range(40)]
+    check_hits(spark, [(i, v.tolist()) for i, v in wide] + [(100, [262_144.0] * 200), (101, [262_144.0] * 200)])
+    for scale in (1e9, 1e30, 1e300):
+        check_hits(spark, [(i, (rng.normal(size=6) * scale).tolist()) for i in range(30)] + [(200, [0.5, -0.25]), (300, [-0.0] * 6)])
+    check_hits(spark, [(i, rng.normal(size=30_000).tolist()) for i in range(8)])
+
+
+def test_digits_are_ordered_like_scores():
+    scores = sorted({0, 1, -1, 255, 256, -255, -256, -257, 2**63, -(2**63), 10**40, -(10**40), 65535, 65536, -65536})
+    keys = [topk.digits(s) for s in scores]
+    assert keys == sorted(keys)
 
 
 def test_max_score_prunes_without_loss():
@@ -162,7 +189,7 @@ def test_max_score_prunes_without_loss():
     for q in v[:20]:
         best = topk.Best(7)
         for lo in range(0, 500, 50):
-            topk.Shard(np.arange(lo, lo + 50), v[lo: lo + 50]).search(-1, q, best)
+            topk.Shard(np.arange(lo, lo + 50), np.arange(lo, lo + 50), v[lo: lo + 50]).search(-1, q, best)
         want = sorted(((-int(q @ w), i) for i, w in enumerate(v)))[:7]
         assert list(zip((-best.scores).tolist(), best.ids.tolist(), strict=True)) == want
 
@@ -333,8 +360,15 @@ def test_language_model_edges(spark, no_rows):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_runs_whole(spark, name):
-    table = {"op3": "pages", "op9": "embeddings"}.get(name.split("_")[0], "documents")
+    table = {"op3": "pages", "op9": "embeddings", "op12": "embeddings"}.get(name.split("_")[0], "documents")
     df = QUERIES[name](spark, SF001)
-    n = spark.read.parquet(f"{SF001}/{table}.parquet").count()
+    given = spark.read.parquet(f"{SF001}/{table}.parquet")
+    n = given.count()
     rows = df.count()
+    if name.startswith("op11"):
+        assert rows == 600 * given.select("source").distinct().count()
+        return
+    if name.startswith("op12"):
+        assert rows == n
+        return
     assert rows == n if table != "embeddings" and not name.startswith("op10") else rows >= 1
