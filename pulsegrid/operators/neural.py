@@ -69,6 +69,51 @@ def fit_with_curve(spark: SparkSession, tagged: DataFrame, layers: Sequence[int]
     return model, spark.createDataFrame(rows, CURVE_SCHEMA)
 
 
+MANIFEST_SCHEMA = T.StructType([T.StructField("chunk", T.IntegerType()), T.StructField("step", T.IntegerType()),
+                                T.StructField("losses", T.MapType(T.StringType(), T.DoubleType())),
+                                T.StructField("weights", T.ArrayType(T.DoubleType()))])
+
+
+def saved_chunks(spark: SparkSession, folder: str) -> dict[int, tuple]:
+    """chunk -> (step, losses, weights) of the chunks that a fit has saved so far (as many as were asked for)."""
+    from pulsegrid.sources.runs import read_runs, write_run
+
+    write_run(spark.createDataFrame([], MANIFEST_SCHEMA), folder, "start", "parquet")  # so that there is a folder to read
+    rows = read_runs(spark, folder, MANIFEST_SCHEMA, "parquet").collect()
+    return {r["chunk"]: (r["step"], r["losses"], r["weights"]) for r in rows}
+
+
+def fit_resumable(spark: SparkSession, tagged: DataFrame, layers: Sequence[int], folder: str,
+                  chunk_iters: int = 10, chunks: int = 5, seed: int = 1, features: str = SCALED,
+                  label: str = "label", split: str = "split", train_name: str = "train",
+                  validation_name: str = "validation"):
+    """S9 + M6: ``fit_with_curve`` that saves every chunk and goes on from the last one saved.
+
+    After each chunk its step, losses and weights are written to ``folder`` as a run
+    of their own (see ``sources.runs``): a fit that lost its driver, called again with the
+    same folder, reads them and starts at the next chunk, so the curve is the one an unbroken
+    fit gives.  Returns (model of the step with the least validation loss, its step, curve).
+    """
+    from pyspark.ml.linalg import Vectors
+
+    from pulsegrid.sources.runs import write_run
+
+    train = tagged.filter(F.col(split) == F.lit(train_name))
+    done = saved_chunks(spark, folder)
+    for c in range(chunks + 1):
+        if c in done:
+            continue
+        before = Vectors.dense(done[c - 1][2]) if c else None
+        model = perceptron(layers, chunk_iters if c else 0, seed, features, label, before).fit(train)
+        done[c] = (c * chunk_iters, split_losses(model, tagged, label, split), model.weights.toArray().tolist())
+        row = spark.createDataFrame([(c, *done[c])], MANIFEST_SCHEMA)
+        write_run(row, folder, f"chunk-{c:06d}", "parquet", single_file=True)
+    rows = [(step, s, v) for c in range(chunks + 1) for step, losses in [done[c][:2]] for s, v in sorted(losses.items())]
+    best = min(range(chunks + 1), key=lambda c: (done[c][1].get(validation_name, float("inf")), c))
+    model = perceptron(layers, 0, seed, features, label, Vectors.dense(done[best][2])).fit(train)
+    return model, done[best][0], spark.createDataFrame(rows, CURVE_SCHEMA)
+
+
 def epoch_mean_loss(per_row: DataFrame, loss: str = "loss",
                     by: Sequence[str] = ("step", "split")) -> DataFrame:
     """A4: mean loss per (step, split); batch means weighted by batch size = row mean."""

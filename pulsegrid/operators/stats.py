@@ -7,7 +7,9 @@ driver, so the size is bounded by the width, never by the row count.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,8 +104,6 @@ def element_stats(df: DataFrame, col: str, width: int | None = None) -> tuple[li
     ``3 × width`` numbers reach the driver.  The population std is derived
     from the sample variance: ``var_pop = var_samp · (n - 1) / n``.
     """
-    import math
-
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
@@ -118,3 +118,58 @@ def element_stats(df: DataFrame, col: str, width: int | None = None) -> tuple[li
     samp = [math.sqrt(v) if n > 1 else None for v in var]
     pop = [math.sqrt(v * (n - 1) / n) if n > 0 else None for v in var]
     return means, samp, pop
+
+
+#: Bits of one part of a number in the exact sums, and parts per number.
+PART_BITS, PARTS = 22, 6
+
+
+def _exact_sums(df: DataFrame, cols: Sequence[str], values: Mapping[str, Column], tops: Mapping[str, float]) -> dict[str, Fraction]:
+    """Sums of columns of doubles, the same in any order and layout.
+
+    Each value is cut into ``PARTS`` whole numbers of ``PART_BITS`` bits below the
+    column's largest magnitude (rows whose bits reach below the last part are
+    rounded there, each on its own).  Whole numbers of 22 bits add up exactly in a long for
+    2^41 rows, so the order of the sums does not matter.
+    """
+    aggs, units = [], {}
+    for i, c in enumerate(cols):
+        unit = 2.0 ** (math.frexp(tops[c] or 1.0)[1])
+        rest = values[c]
+        for k in range(PARTS):
+            unit /= 2.0**PART_BITS
+            if unit < 2.0**-1000:
+                break
+            part = F.floor(rest / F.lit(unit))
+            rest = rest - part.cast("double") * F.lit(unit)
+            aggs.append(F.sum(part).alias(f"s{i}_{k}"))
+            units[i, k] = unit
+    row = df.agg(*aggs).first()
+    return {c: sum((Fraction(units[i, k]) * (row[f"s{i}_{k}"] or 0) for k in range(PARTS) if (i, k) in units), Fraction(0)) for i, c in enumerate(cols)}
+
+
+def exact_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None, float | None, float | None]]:
+    """A2 + A3: ``{column: (mean, std_samp, std_pop)}``, bit for bit the same under any layout.
+
+    Three aggregates of one row: counts and largest magnitudes, sums, and sums of squared
+    deviations from the (rounded) mean.  NULLs are skipped; a column with a non-finite
+    value has no finite moments and gives NaN, an empty one NULL.
+    """
+    x = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    sizes = df.agg(*[F.count(v).alias(f"n{i}") for i, v in enumerate(x.values())], *[F.max(F.abs(v)).alias(f"m{i}") for i, v in enumerate(x.values())]).first()
+    n = {c: sizes[f"n{i}"] for i, c in enumerate(cols)}
+    top = {c: sizes[f"m{i}"] for i, c in enumerate(cols)}
+    good = [c for c in cols if n[c] and math.isfinite(top[c])]
+    out: dict = {c: (None, None, None) if not n[c] else (math.nan,) * 3 for c in cols}
+    if not good:
+        return out
+    sums = _exact_sums(df, good, x, top)
+    mean = {c: float(sums[c] / n[c]) for c in good}
+    off = {c: x[c] - F.lit(mean[c]) for c in good}
+    squares = _exact_sums(df, good, {c: off[c] * off[c] for c in good}, {c: (2 * top[c]) ** 2 for c in good})
+    for c in good:
+        # Exact: the squares are taken from the rounded mean, which is off by a known amount.
+        spread = squares[c] - n[c] * (Fraction(mean[c]) - sums[c] / n[c]) ** 2
+        spread = max(spread, Fraction(0))
+        out[c] = (mean[c], math.sqrt(spread / (n[c] - 1)) if n[c] > 1 else None, math.sqrt(spread / n[c]))
+    return out

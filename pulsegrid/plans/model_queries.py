@@ -21,30 +21,35 @@ rows-only.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.operators import evaluate as E
-from pulsegrid.operators.features import FEATURES, SCALED, assembler
+from pulsegrid.operators.features import FEATURES, SCALED, array_to_features, assembler
 from pulsegrid.operators.models import (
     LOGISTIC,
     MODEL_NAMES,
     SVC,
+    ModelSettings,
     fit_model,
+    fit_svc_weighted,
     objective_history,
     persist_for_iterations,
     probability_of_one,
     root_split,
     score_all,
 )
-from pulsegrid.operators.neural import fit_with_curve
+from pulsegrid.operators.forest import fit_row_forest
+from pulsegrid.operators.neural import fit_resumable, fit_with_curve
 from pulsegrid.plans.catalog import (
     BALANCE_SEED,
     FEATS,
     LABEL_R_SQL,
+    MEAN_ROUND,
     SPLIT_NAMES,
     SPLIT_SEED,
     positive_zero_rounds,
@@ -128,14 +133,94 @@ def q_m3_svc_separable_counts(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_quantity"])
     data = assembler(["l_quantity"]).transform(
         li.withColumn("label", (F.col("l_quantity") > SVC_THRESHOLD_QTY).cast("double")))
-    data = persist_for_iterations(data)
+    svc = fit_svc_weighted(data, FEATURES, partitions=1)  # as many rows as quantities
+    return svc.transform(data).groupBy("label", F.col(svc.getPredictionCol()).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
+LAYOUTS = (1, 4, 13)       # partitions under which the forest must be the same
+ROW_TREES = 4
+
+
+def q_m2_layout_free_forest(spark, sf_dir):
+    """M2: a forest fitted under three layouts; per row whether all three agree to the last bit."""
+    signal = array_to_features(embeddings_signal(spark, sf_dir), "x")
+    settings = ModelSettings(rf_num_trees=ROW_TREES)
+    forests = [fit_row_forest(signal.repartition(n), "vec_id", FEATURES, settings=settings) for n in LAYOUTS]
+    same = all(f.rules() == forests[0].rules() for f in forests)
+    out = signal.select("vec_id", FEATURES)
+    for i, f in enumerate(forests):
+        out = f.transform(out).withColumnsRenamed({"probability_rf": f"p{i}", "prediction_rf": f"c{i}"})
+    first, *others = [vector_to_array(f"p{i}")[1] for i in range(len(forests))]
+    agree = F.lit(same)
+    for p in others:
+        agree = agree & (first == p)
+    return out.select("vec_id", agree.alias("agrees"))
+
+
+def q_m6_resumed_curve(spark, sf_dir):
+    """S9 + M6: a fit that stops after two chunks and is called again, against one in a single call; the training loss falls, and the model kept is that of the least validation loss."""
+    tagged, width = _perceptron_rows(spark, sf_dir)
     try:
-        svc = LinearSVC(featuresCol=FEATURES, labelCol="label").fit(data)
-        out = svc.transform(data).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")).persist()
-        out.count()
-        return out
+        layers = [width, MLP_HIDDEN, 2]
+        broken = scratch_path(spark, "resume")
+        fit_resumable(spark, tagged, layers, broken, MLP_CHUNK, 2, MLP_SEED)
+        _, best, resumed = fit_resumable(spark, tagged, layers, broken, MLP_CHUNK, MLP_CHUNKS, MLP_SEED)
+        _, curve = fit_with_curve(spark, tagged, layers, MLP_CHUNK, MLP_CHUNKS, MLP_SEED)
     finally:
-        data.unpersist()
+        tagged.unpersist()
+    ends = curve.groupBy("split").agg(F.min_by("loss", "step").alias("first"), F.max_by("loss", "step").alias("last"))
+    least = resumed.where("split = 'validation'").agg(F.min_by("step", F.struct("loss", "step")).alias("least"))
+    both = curve.join(resumed.withColumnRenamed("loss", "again"), ["step", "split"], "full").join(ends, "split").join(F.broadcast(least))
+    return both.select("step", "split", (F.abs(F.col("loss") - F.col("again")) < 1e-6).alias("same"),
+                       ((F.col("last") < F.col("first")) | (F.col("split") != "train")).alias("fell"), (F.col("least") == best).alias("best_kept"))
+
+
+def q_s5_run_time_once(spark, sf_dir):
+    """S5 + S7 + S8 + X8: the flagship's run time and report kept under its run, written twice; what they must hold."""
+    from pulsegrid.plans.report import report_lines
+    from pulsegrid.sources.runs import read_runs, report_to_results, write_run
+    from pulsegrid.sources.sinks import write_report
+
+    res = _flagship_result(spark, sf_dir)
+    base = scratch_path(spark, "runs")
+    lines = report_lines(res.metrics, res.timings).withColumnRenamed("position", "order")
+    write_report(lines, f"{base}/report")
+    total = res.timings.where("stage = 'fit_all'").select("seconds")
+    for _ in range(2):
+        write_run(total, f"{base}/times", "run-0", single_file=True)
+        report_to_results(spark, f"{base}/report", f"{base}/results", "run-0")
+    times = read_runs(spark, f"{base}/times", total.schema)
+    results = read_runs(spark, f"{base}/results", lines.select("line").schema)
+    reported = F.format_string("Total time of training all models: %.4f seconds", "seconds")
+    said = times.select(reported.alias("line")).join(results, "line", "left_semi").agg(F.count(F.lit(1)).alias("said"))
+    return (times.agg(F.count(F.lit(1)).alias("time_rows"), F.count_if(F.col("seconds") > 0).alias("positive"))
+            .join(F.broadcast(results.agg(F.count(F.lit(1)).alias("report_rows")))).join(F.broadcast(said)))
+
+
+def q_a2_exact_moments(spark, sf_dir):
+    """A2 + A3 + X1: moments by exact sums under two layouts; whether they and all z-scores are bit-equal, and their values."""
+    from pulsegrid.operators.stats import exact_moments
+
+    li = read_table(spark, sf_dir, "lineitem", FEATS)
+    first, second = (exact_moments(li.repartition(n), FEATS) for n in (3, 8))
+    rows = [(c, *first[c], first[c] == second[c]) for c in FEATS]
+    df = spark.createDataFrame(rows, "feature string, mean double, std_samp double, std_pop double, same boolean")
+    return df.select("feature", *[F.round(c, MEAN_ROUND).alias(c) for c in ("mean", "std_samp", "std_pop")], "same")
+
+
+def q_s2_located_errors(spark, sf_dir):
+    """Lineitem keys as a signal CSV with a bad token in some lines: each is found, and stands where it is said to."""
+    from pulsegrid.sources.csv import bad_lines
+
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_linenumber"])
+    token = F.when(F.col("l_orderkey") % 997 == 0, F.concat(F.lit("bad"), "l_partkey")).otherwise(F.col("l_partkey").cast("string"))
+    path = scratch_path(spark, "bad-csv")
+    li.select(F.col("l_orderkey").cast("string"), token, F.col("l_linenumber").cast("string")).repartition(3).write.csv(path)
+    found = bad_lines(spark, path, 2)
+    # The same lines by their place in whole files: (file, line) pairs must be the same.
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "text"))
+    there = whole.select("file", (F.col("at") + 1).cast("long").alias("line"), F.col("text").alias("seen"))
+    return found.join(there, ["file", "line"], "left").select("text", (F.col("text") == F.col("seen")).alias("located"))
 
 
 def q_s9_model_roundtrip(spark, sf_dir):
@@ -230,16 +315,18 @@ def q_m5_objective_history(spark, sf_dir):
     return objective_history(spark, res.models)
 
 
-def q_m6_perceptron_curve(spark, sf_dir):
-    """M6 + A4: perceptron fitted in chunks; train/validation loss after each chunk."""
+def _perceptron_rows(spark, sf_dir):
+    """The embeddings' scaled rows with their split, persisted, and the vectors' width."""
     signal = embeddings_signal(spark, sf_dir)
     scaled, _ = prepare(signal, "vec_id", "x", weights=(0.7, 0.3), split_names=("train", "validation"))
-    tagged = scaled.withColumn(
-        "split", F.when(F.col("split") == "train", "train").otherwise("validation")
-    )
-    tagged = persist_for_iterations(tagged)
+    tagged = persist_for_iterations(scaled.withColumn("split", F.when(F.col("split") == "train", "train").otherwise("validation")))
+    return tagged, len(tagged.select(SCALED).first()[0])
+
+
+def q_m6_perceptron_curve(spark, sf_dir):
+    """M6 + A4: perceptron fitted in chunks; train/validation loss after each chunk."""
+    tagged, width = _perceptron_rows(spark, sf_dir)
     try:
-        width = len(tagged.select(SCALED).first()[0])
         _, curve = fit_with_curve(spark, tagged, [width, MLP_HIDDEN, 2], MLP_CHUNK, MLP_CHUNKS,
                                   MLP_SEED)
         curve = curve.persist()
@@ -314,6 +401,11 @@ QUERIES = {
     "m1_lr_score_equations": q_m1_lr_score_equations,
     "m2_rf_stump_threshold": q_m2_rf_stump_threshold,
     "m3_svc_separable_counts": q_m3_svc_separable_counts,
+    "m2_layout_free_forest": q_m2_layout_free_forest,
+    "m6_resumed_curve": q_m6_resumed_curve,
+    "s5_run_time_once": q_s5_run_time_once,
+    "a2_exact_moments": q_a2_exact_moments,
+    "s2_located_errors": q_s2_located_errors,
     "s9_model_roundtrip": q_s9_model_roundtrip,
     "e8_flagship_grid": q_e8_flagship_grid,
     "e9_x8_timings": q_e9_x8_timings,
@@ -377,7 +469,22 @@ def _flagship_rows_sql() -> str:
         f"m AS (SELECT unnest({list(MODEL_NAMES)}) AS model) ")
 
 
+def _curve_sql() -> str:
+    split = split_case_sql(SPLIT_SEED, ["vec_id"], (0.7, 0.3), ("train", "validation"))
+    return (f"SELECT CAST(s AS INTEGER) AS step, split, true AS same, true AS fell, true AS best_kept FROM (SELECT DISTINCT {split} AS split FROM embeddings), "
+            f"(SELECT unnest(range(0, {MLP_CHUNK * MLP_CHUNKS + 1}, {MLP_CHUNK})) AS s)")
+
+
 ORACLES = {
+    "m2_layout_free_forest": "SELECT vec_id, true AS agrees FROM embeddings",
+    "m6_resumed_curve": _curve_sql(),
+    # A header and the metric lines of every model and split, a line per model's time, and the total.
+    "s5_run_time_once": f"SELECT 1::BIGINT AS time_rows, 1::BIGINT AS positive, {len(MODEL_NAMES) * (2 * (1 + len(E.METRIC_COLUMNS)) + 1) + 1}::BIGINT AS report_rows, 1::BIGINT AS said",
+    "a2_exact_moments":
+        " UNION ALL ".join(f"SELECT '{c}' AS feature, round(avg({c}), {MEAN_ROUND}) AS mean, round(stddev_samp({c}), {MEAN_ROUND}) AS std_samp, "
+                           f"round(stddev_pop({c}), {MEAN_ROUND}) AS std_pop, true AS same FROM lineitem" for c in FEATS),
+    "s2_located_errors":
+        "SELECT l_orderkey || ',bad' || l_partkey || ',' || l_linenumber AS text, true AS located FROM lineitem WHERE l_orderkey % 997 = 0",
     "m4_predictions_agree":
         _flagship_rows_sql() + "SELECT vec_id, split, label, model, true AS agrees FROM b, m WHERE split <> 'train'",
     "e8_flagship_support":
