@@ -154,16 +154,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64(sums + (ends - starts).astype(np.uint64))
 
 
-def hash_words(texts: Sequence[bytes], table: bytes, tails: bool = False) -> tuple[np.ndarray, ...]:
+def hash_words(texts: Sequence[bytes], table: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of ``texts``, in order, and the number of words of each text.
 
-    ``tails`` adds each word's last two bytes (one, if it has no more) as a number.
-
     Works in blocks cut at separators, so a very long text needs 8 bytes a word
     besides one block's arrays.
     """
     joined = b" ".join(texts).translate(table)
-    hashes, at, ended, pos = [], [], [], 0
+    hashes, at, pos = [], [], 0
     while pos < len(joined):
         end = min(len(joined), pos + BLOCK_BYTES)
         if end < len(joined):
@@ -175,14 +173,8 @@ def hash_words(texts: Sequence[bytes], table: bytes, tails: bool = False) -> tup
         starts, ends = word_spans(data)
         hashes.append(span_hashes(data, starts, ends))
         at.append(starts + pos)
-        if tails:
-            last = data[ends - 1].astype(np.uint16)
-            ended.append(np.where(ends - starts > 1, data[np.maximum(ends - 2, 0)].astype(np.uint16) << 8 | last, last))
         pos = end
     first = np.cumsum([0, *(len(t) + 1 for t in texts)])
     starts = np.concatenate(at) if at else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(starts, first))
-    all_hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    if tails:
-        return all_hashes, counts, np.concatenate(ended) if ended else np.zeros(0, np.uint16)
-    return all_hashes, counts
+    return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), counts

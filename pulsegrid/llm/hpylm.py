@@ -1,33 +1,40 @@
 """A hierarchical Pitman-Yor language model over whole texts, with Gibbs-sampled seatings.
 
-Restaurants: one per previous token (the end token's starts a text), all sharing
-one unigram parent, whose own parent is the uniform distribution over the known
-tokens and one unknown.  ``fit_words`` and ``score_words`` do this; ``fit`` and
-``score`` are the small model, whose ``CONTEXTS`` restaurants are classes of the
-previous token's last two bytes.
-
-Counts of (previous, word) pairs lie by word.  The restaurants' totals are a
-table; up to ``BROADCAST_ROWS`` of them go to every task, more are joined to the
-pairs in each sweep.
-
-Each Gibbs sweep seats the customers of every token type anew, given the other
-types (through the restaurants' total customers and tables of the sweep
-before): a customer joins a table of its dish or opens one, and an opened table
-sends a customer to the parent restaurant.  Given those totals the types are
-independent, so a sweep is a map over the type table and sums of a few totals.
-Past ``ALONE`` customers of a dish, customers are seated ``1 / ALONE`` of the
-count at a time.  Every pass draws from a generator seeded by sweep and batch,
-so a repeated task seats alike.
-
-The kept sweeps' predictive probabilities are averaged (for a type that a
-context has never had, the share that the context gives to the parent and the
-parent's probability each are).  Scoring never loads
-the vocabulary: texts are dealt into blocks of about ``BLOCK`` bytes, each block
-is joined to the types it holds, and a block is scored with its own dictionary.
+Restaurants: a token's context is the token before it (the end token's starts a
+text); ``RESTAURANTS`` context restaurants, found by a hash of that token, share one
+unigram parent, whose own parent is the uniform distribution over the known tokens
+and one unknown.  Their number is a constant, so what all tasks need (customers and
+tables of each restaurant) has a fixed size; rare previous words may share one.
+
+1. Tokens are counted as (word, restaurant) pairs, merged before and after a shuffle
+   by ranges of the word's hash.  A word with very many restaurants is merged by
+   ranges of restaurants first.  A type has at most ``RESTAURANTS`` pairs.
+2. A pair seen once sits at one table for certain.  For the others each Gibbs sweep
+   draws the number of tables from its conditional given all other tables: with n
+   customers of one dish, t tables have the weight of S(n, t) (generalised Stirling
+   numbers: the seatings of n customers at t tables) times the probabilities of t
+   new tables, one after the other, in the restaurant and at the parent, without
+   the pair's own tables.  This takes all customers of the pair out and seats them
+   again at once.  A type's pairs are drawn in turn (past ``TURNS`` in as many groups);
+   the other types are taken as the sweep before left them.  The parent's tables of a
+   dish are drawn alike.  S is a table up to ``EXACT`` customers; past it the
+   coefficients of its generating function, by a series for few tables and the saddle
+   point for many, which are right to 4 % at worst (1 % for discounts of 0.3 and more).
+   Every draw is a hash of word, restaurant and sweep, so neither the layout nor a
+   repeated task changes it.
+3. After ``BURN_IN`` sweeps ``KEPT`` sweeps are averaged: p(w | u) is the mean of their
+   predictive probabilities, a distribution over the known tokens and the unknown.
+4. Texts do not move: their tokens do, packed, to the range that has their word;
+   there they get their probabilities, summed per text, and the sums go back to the
+   texts' ids.  Tokens of a word with more than ``HOT_TOKENS`` go to several copies of its pairs.
+
+Rows between tasks are packed arrays of many tokens or pairs (``pack``); Spark
+shuffles, groups and writes them.
 
 Edge cases: a NULL or blank text is the end token alone; an empty training set
-leaves the uniform distribution over one unknown token; repeated rows count
-each; an empty table gives no rows; other columns are ignored.
+leaves the uniform distribution over one unknown token; repeated rows count and are
+scored each; a text is never cut, and a very long one needs about 40 bytes a token
+in one task; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,591 +44,656 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import SPACE_WORDS, as_bytes, crc32_text, hash_words, mix64, slices, written
+from pulsegrid.session import scratch_path
 
-CONTEXTS = 8
+CONTEXT_BITS = 22
+RESTAURANTS = 1 << CONTEXT_BITS
 BURN_IN, KEPT = 2, 3
-#: Customers of one dish that are seated one by one.
-ALONE = 20
-#: Text bytes of one scoring block.
-BLOCK = 24 << 20
-#: Tokens counted together before they are sent on, and types sampled together.
-COUNT_TOKENS, SAMPLE_TYPES = 4_000_000, 200_000
-#: Pairs sampled together (a type's pairs stay together), and restaurants that are sent to every task.
-SAMPLE_PAIRS, BROADCAST_ROWS = 1_000_000, 1_000_000
-
-_LOW = np.uint64(CONTEXTS - 1)
+STRENGTH = 1.0
+#: Customers of a dish up to which Stirling numbers are tabulated.
+EXACT = 1024
+#: Groups of a type's pairs that are drawn in turn.
+TURNS = 16
+#: Tokens packed together, and text bytes behind one range of words.
+FLUSH_TOKENS, RANGE_BYTES = 4_000_000, 16 << 20
+#: Pairs of one word that may meet in one merge before they are merged by restaurants.
+MERGED = 1 << 24
+#: Tokens of one word that are scored together.
+HOT_TOKENS = 1 << 23
+#: Ranges of restaurants whose sums are added up together.
+SUM_RANGES = 64
+
 _END = np.uint64(0x5851F42D4C957F00)  # no word: words' keys come from a hash
+_MIX = np.uint64(0x9FB21C651E98DF25)
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (token hash, context class in the low bits) of all tokens of all texts, and tokens per text."""
-    words, counts, tails = hash_words(texts, SPACE_WORDS, tails=True)
-    n = len(words)
-    place = np.arange(n) + np.repeat(np.arange(len(counts)), counts)
-    keys = np.full(n + len(counts), _END, np.uint64)
-    keys[place] = words & ~_LOW
-    context = np.zeros(len(keys) + 1, np.uint64)
-    context[place + 1] = mix64(tails.astype(np.uint64)) % np.uint64(CONTEXTS - 1) + np.uint64(1)
-    # The token after an end token starts the next text.
-    return keys | context[:-1], counts + 1
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value; bytes of one place stand together, as the high ones are mostly alike."""
+    head = np.array([len(a) for a in arrays], "<i8").tobytes()
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[np.ndarray] = []
+def unpack(value: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    sizes, at, out = np.frombuffer(raw, "<i8", len(kinds)), 8 * len(kinds), []
+    for n, kind in zip(sizes.tolist(), kinds, strict=True):
+        width = np.dtype(kind).itemsize
+        out.append(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T.copy().view(kind).reshape(n))
+        at += n * width
+    return out
 
-    def flush() -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array((keys & ~_LOW).view(np.int64)), pa.array((keys & _LOW).astype(np.int32)), pa.array(n)], ["word", "context", "n"])
 
-    for batch in batches:
-        texts = as_bytes(batch.column("text"))
-        for lo, hi in slices(texts):
-            held.append(tokens(texts[lo:hi])[0])
-            if sum(map(len, held)) > COUNT_TOKENS:
-                yield flush()
-    if held:
-        yield flush()
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of all texts, the restaurant of each, and tokens per text."""
+    words, counts = hash_words(texts, SPACE_WORDS)
+    place = np.arange(len(words)) + np.repeat(np.arange(len(counts)), counts)
+    keys = np.full(len(words) + len(counts), _END, np.uint64)
+    keys[place] = words
+    # The token before a text's first is the end token of the text before.
+    return keys, restaurants(np.append(_END, keys)[:-1]), counts + 1
 
 
-def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (word, context, n), sorted, to one row per word."""
-    word, context, n = (np.zeros(0, t) for t in (np.int64, np.int32, np.int64))
+def restaurants(previous: np.ndarray) -> np.ndarray:
+    return (mix64(previous ^ _MIX) >> np.uint64(64 - CONTEXT_BITS)).astype(np.uint32)
 
-    def rows(end: int) -> pa.RecordBatch:
-        first = np.flatnonzero(np.concatenate([[True], word[1:end] != word[: end - 1]]))
-        cuts = np.append(first, end).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x[:end])) for x in (context, n)]
-        return pa.RecordBatch.from_arrays([pa.array(word[first]), pa.array(np.add.reduceat(n[:end], first)), *lists], ["word", "c", "contexts", "counts"])
 
-    for batch in batches:
-        word, context, n = (np.concatenate([old, batch.column(i).to_numpy()]) for i, old in enumerate((word, context, n)))
-        end = int(np.searchsorted(word, word[-1])) if len(word) else 0
-        if end > SAMPLE_TYPES:
-            yield rows(end)
-            word, context, n = word[end:], context[end:], n[end:]
-    if len(word):
-        yield rows(len(word))
+def range_of(words: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each word's hash; it grows with the hash."""
+    return ((words >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
-@dataclass
-class Totals:
-    """Customers and tables of all restaurants after a sweep (parent last), and the model's parameters."""
+def _runs(sorted_values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start, and the end."""
+    if not len(sorted_values):
+        return np.zeros(1, np.int64)
+    return np.concatenate([[0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1, [len(sorted_values)]])
 
-    customers: np.ndarray
-    tables: np.ndarray
-    discount: float
-    parent_discount: float
-    base: float
-    strength: float = 1.0
 
-    def share(self) -> np.ndarray:
-        """What each context restaurant gives to its parent's distribution."""
-        return (self.strength + self.discount * self.tables[:-1]) / (self.strength + self.customers[:-1])
-
-    def parent(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
-        """The parent's predictive probability of dishes with c customers at t tables there."""
-        own = np.maximum(c - self.parent_discount * t, 0)
-        return (own + (self.strength + self.parent_discount * self.tables[-1]) * self.base) / (self.strength + self.customers[-1])
+def merged(word: np.ndarray, context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs in order, equal ones added up."""
+    order = np.lexsort((context, word))
+    word, context, n = word[order], context[order], n[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(word)), bool), (word[1:] != word[:-1]) | (context[1:] != context[:-1])]))
+    return word[first], context[first], np.add.reduceat(n, first) if len(first) else n[:0]
 
 
-@dataclass
-class Seating:
-    tables: np.ndarray
-    parent_customers: np.ndarray
-    parent_tables: np.ndarray
+PAIRS = ("<u8", "<u4", "<u4", "<i8")  # words, pairs of each, their restaurants and counts
 
 
-def seat(type_of: np.ndarray, context: np.ndarray, counts: np.ndarray, n_types: int, totals: Totals, rng: np.random.Generator) -> Seating:
-    """Seat the customers of all (type, context) pairs anew."""
-    tables = np.zeros(len(counts), np.int64)
-    pc, pt = np.zeros(n_types, np.int64), np.zeros(n_types, np.int64)
-    weight = totals.strength + totals.discount * totals.tables[context]
-    fresh = (totals.strength + totals.parent_discount * totals.tables[-1]) * totals.base
-    live, seated = np.arange(len(counts)), np.zeros(len(counts), np.int64)
-    while len(live):
-        who, c, t = type_of[live], seated[live], tables[live]
-        new = weight[live] * totals.parent(pc[who], pt[who])
-        old = np.maximum(c - totals.discount * t, 0)
-        m = np.minimum(np.maximum(1, c // ALONE), counts[live] - c)
-        opened = np.where(c == 0, 1, rng.binomial(m, new / (new + old)))
-        tables[live] += opened
-        seated[live] += m
-        sent = np.bincount(who, opened, n_types).astype(np.int64)
-        some = np.flatnonzero(sent)
-        first = (pc[some] == 0).astype(np.int64)
-        chance = fresh / (np.maximum(pc[some] + first - totals.parent_discount * (pt[some] + first), 0) + fresh)
-        pt[some] += first + rng.binomial(sent[some] - first, chance)
-        pc[some] += sent[some]
-        live = live[seated[live] < counts[live]]
-    return Seating(tables, pc, pt)
-
-
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lists = batch.column("contexts")
-    sizes = np.diff(lists.offsets.to_numpy())
-    return np.repeat(np.arange(batch.num_rows), sizes), lists.flatten().to_numpy(), batch.column("counts").flatten().to_numpy()
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of the type table joined to about SAMPLE_TYPES rows."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= SAMPLE_TYPES:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
-    if sum(b.num_rows for b in held):
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+def pack_pairs(word: np.ndarray, context: np.ndarray, n: np.ndarray) -> bytes:
+    cuts = _runs(word)
+    return pack(word[cuts[:-1]], np.diff(cuts).astype("<u4"), context.astype("<u4"), n.astype("<i8"))
 
 
-def _rng(sweep: int, batch: pa.RecordBatch) -> np.random.Generator:
-    return np.random.default_rng([sweep, abs(batch.column("word")[0].as_py()), batch.num_rows])
+def unpack_pairs(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    parts = [unpack(v, *PAIRS) for v in values]
+    words = [np.repeat(w, k) for w, k, _, _ in parts]
+    return tuple(np.concatenate(x) for x in (words, [p[2] for p in parts], [p[3] for p in parts]))
 
 
-def _sweep(sweep: int, totals: Totals):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros(CONTEXTS + 1, np.int64)
-        for batch in _parts(batches):
-            who, context, counts = _flat(batch)
-            s = seat(who, context, counts, batch.num_rows, totals, _rng(sweep, batch))
-            tables[:-1] += np.bincount(context, s.tables, CONTEXTS).astype(np.int64)
-            tables[-1] += int(s.parent_tables.sum())
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CONTEXTS + 1)), pa.array(tables)], ["restaurant", "tables"])
+COUNTED = "part bigint, sub int, pairs binary"
 
-    return run
 
+def _count(ranges: int, heavy: int):
+    """Packed pairs of each range of words; pairs of words with ``heavy`` or more restaurants here go by ranges of restaurants."""
 
-def _records(history: list[tuple[int, Totals, Totals]]):
-    """One row per type: its count, and as 32-bit floats the parent's probability and the type's in each context that has it, averaged over the kept sweeps."""
+    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        word, context = (np.concatenate(x) for x in zip(*held, strict=True))
+        table = pa.table({"w": pa.array(word.view(np.int64)), "c": pa.array(context)}).group_by(["w", "c"], use_threads=False).aggregate([([], "count_all")])
+        word, context, n = merged(table.column("w").to_numpy().view(np.uint64), table.column("c").to_numpy(), table.column("count_all").to_numpy())
+        cuts = _runs(word)
+        large = np.repeat(np.diff(cuts) >= heavy, np.diff(cuts))
+        sub = np.where(large, 1 + (context >> np.uint32(CONTEXT_BITS - 10)).astype(np.int32), 0)
+        part = range_of(word, ranges)
+        order = np.lexsort((sub, part)) if large.any() else np.arange(len(word))
+        key = part[order] * 2048 + sub[order]
+        cuts = _runs(key)
+        rows = [(int(key[a]) // 2048, int(key[a]) % 2048, pack_pairs(word[order[a:b]], context[order[a:b]], n[order[a:b]])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], ["part", "sub", "pairs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            who, context, counts = _flat(batch)
-            parent, known = np.zeros(batch.num_rows), np.zeros(len(counts))
-            for sweep, before, after in history:
-                s = seat(who, context, counts, batch.num_rows, before, _rng(sweep, batch))
-                base = after.parent(s.parent_customers, s.parent_tables)
-                parent += base / len(history)
-                own = np.maximum(counts - after.discount * s.tables, 0) / (after.strength + after.customers[context])
-                known += (own + after.share()[context] * base[who]) / len(history)
-            k = np.bincount(who, minlength=batch.num_rows)
-            ends = np.cumsum(4 + 5 * k)
-            starts = ends - (4 + 5 * k)
-            out = np.zeros(ends[-1], np.uint8)
-            out[starts[:, None] + np.arange(4)] = parent.astype("<f4").view(np.uint8).reshape(-1, 4)
-            nth = np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k)
-            out[starts[who] + 4 + nth] = context
-            out[(starts[who] + 4 + k[who] + 4 * nth)[:, None] + np.arange(4)] = known.astype("<f4").view(np.uint8).reshape(-1, 4)
-            cuts = np.concatenate([[0], ends]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(cuts), pa.py_buffer(out)])], ["word", "c", "record"])
+        held: list[tuple] = []
+        for batch in batches:
+            texts = as_bytes(batch.column("text"))
+            for lo, hi in slices(texts):
+                word, context, _ = tokens(texts[lo:hi])
+                held.append((word, context))
+                if sum(len(w) for w, _ in held) >= FLUSH_TOKENS:
+                    yield from flush(held)
+                    held = []
+        if held:
+            yield from flush(held)
 
     return run
 
 
-def decode(records: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(contexts of each type, context, probability there, parent's probability of each type) of the types' records."""
-    cuts = np.frombuffer(records.buffers()[1], np.int32)[records.offset: records.offset + len(records) + 1].astype(np.int64)
-    data = np.frombuffer(records.buffers()[2], np.uint8)
-    starts, k = cuts[:-1], (np.diff(cuts) - 4) // 5
-    nth = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-    first = np.repeat(starts + 4, k)
-    floats = lambda at: data[at[:, None] + np.arange(4)].copy().view("<f4").ravel().astype(float)
-    return k, data[first + nth], floats(first + np.repeat(k, k) + 4 * nth), floats(starts)
+def _merge_sub(table: pa.Table) -> pa.Table:
+    pairs = merged(*unpack_pairs(table.column("pairs").to_pylist()))
+    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "pairs": pa.array([pack_pairs(*pairs)], pa.binary())})
 
 
-@dataclass
-class Model:
-    """``records``: the written type table; ``totals``: the restaurants after each kept sweep."""
-
-    records: DataFrame
-    n_tokens: int
-    n_types: int
-    totals: list[Totals]
+STATE = "part bigint, n_tokens bigint, n_types bigint, ones bigint, twos bigint, one bigint, two bigint, pairs binary, tables binary, kept binary, parents binary"
+NAMES = [c.split()[0] for c in STATE.split(", ")]
 
-    def share(self) -> np.ndarray:
-        """What each context gives to the parent's distribution, averaged over the kept sweeps."""
-        return np.mean([t.share() for t in self.totals], axis=0)
 
-    def unknown(self) -> float:
-        """The parent's probability of the unknown token, averaged likewise."""
-        return float(np.mean([t.parent(np.zeros(1), np.zeros(1))[0] for t in self.totals]))
+def _first_state(table: pa.Table) -> pa.Table:
+    """A range's pairs with every dish at one table, and what the discounts need."""
+    word, context, n = merged(*unpack_pairs(table.column("pairs").to_pylist()))
+    cuts = _runs(word)
+    c = np.add.reduceat(n, cuts[:-1]) if len(n) else n
+    many = int((n > 1).sum())
+    numbers = [table.column("part")[0].as_py(), int(n.sum()), len(c), int((n == 1).sum()), int((n == 2).sum()), int((c == 1).sum()), int((c == 2).sum())]
+    blobs = [pack_pairs(word, context, n), pack(np.zeros(many, "<u4"), np.ones(len(c), "<u4")), pack(np.zeros(many, "<u4")), pack(np.zeros(0, "<u4"))]
+    return pa.table({k: pa.array([v], t) for k, v, t in zip(NAMES, [*numbers, *blobs], [pa.int64()] * 7 + [pa.binary()] * 4, strict=True)})
 
 
-def fit(train: DataFrame) -> Model:
-    """Count all tokens of ``train`` (column ``text``), then sample ``BURN_IN + KEPT`` sweeps."""
-    counts = train.select("text").mapInArrow(_count, "word bigint, context int, n bigint")
-    pairs = counts.repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n")).select("word", "context", "n")
-    types = written(pairs.sortWithinPartitions("word", "context").mapInArrow(_types, "word bigint, c bigint, contexts array<int>, counts array<bigint>"), "lm-types")
-    flat = types.select("c", F.explode(F.arrays_zip("contexts", "counts")).alias("p")).select("c", "p.contexts", "p.counts")
-    seen = {r[0]: r[1:] for r in flat.groupBy("contexts").agg(F.sum("counts"), F.count_if(F.col("counts") == 1), F.count_if(F.col("counts") == 2)).collect()}
-    one, two, n_types = types.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.count(F.lit(1))).first()
-
-    def discount(a: int, b: int) -> float:
-        return min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5
-
-    customers = np.array([*(seen.get(u, (0,))[0] for u in range(CONTEXTS)), 0], float)
-    n_tokens = int(customers.sum())
-    # Before the first sweep: about a table for each customer to the power of the discount.
-    d = discount(sum(v[1] for v in seen.values()), sum(v[2] for v in seen.values()))
-    tables = np.ceil(customers**d)
-    customers[-1], tables[-1] = tables[:-1].sum(), n_types
-    totals, history = Totals(customers, tables, d, discount(one, two), 1 / (n_types + 1)), []
-    for sweep in range(BURN_IN + KEPT):
-        sums = types.mapInArrow(_sweep(sweep, totals), "restaurant bigint, tables bigint").groupBy("restaurant").agg(F.sum("tables")).collect()
-        tables = np.zeros(CONTEXTS + 1)
-        for r in sums:
-            tables[r[0]] = r[1]
-        now = customers.copy()
-        now[-1] = tables[:-1].sum()
-        after = Totals(now, tables, totals.discount, totals.parent_discount, totals.base)
-        if sweep >= BURN_IN:
-            history.append((sweep, totals, after))
-        totals = after
-    records = written(types.mapInArrow(_records(history), "word bigint, c bigint, record binary"), "lm-records")
-    return Model(records, n_tokens, int(n_types), [after for _, _, after in history])
+@dataclass
+class Range:
+    """The pairs of a range of words, with the tables of each pair and of each word at the parent."""
 
+    words: np.ndarray
+    sizes: np.ndarray
+    context: np.ndarray
+    n: np.ndarray
+    tables: np.ndarray
+    parent_tables: np.ndarray
 
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        blocks, texts = batch.column("block").to_numpy(), as_bytes(batch.column("text"))
-        for block in np.unique(blocks):
-            mine = [texts[i] for i in np.flatnonzero(blocks == block)]
-            words = np.unique(np.concatenate([np.unique(tokens(mine[lo:hi])[0] & ~_LOW) for lo, hi in slices(mine)]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), block)), pa.array(words.view(np.int64))], ["block", "word"])
+    @classmethod
+    def of(cls, pairs: bytes, tables: bytes) -> Range:
+        words, sizes, context, n = unpack(pairs, *PAIRS)
+        extra, parent_tables = unpack(tables, "<u4", "<u4")
+        t = np.ones(len(n), np.int64)
+        t[n > 1] += extra
+        return cls(words, sizes.astype(np.int64), context, n, t, parent_tables.astype(np.int64))
 
+    def who(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.words)), self.sizes)
 
-SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+    def customers(self) -> np.ndarray:
+        """The parent's customers of each word: its tables."""
+        return np.bincount(self.who(), self.tables, len(self.words)).astype(np.int64)
 
 
-def _score(share: np.ndarray, unknown: float, n_tokens: int, n_types: int):
-    def run(texts: pa.Table, records: pa.Table) -> pa.Table:
-        words, first = np.unique(records.column("word").to_numpy().view(np.uint64), return_index=True)
-        counts, known, pairs, parents = records.column("c").to_numpy()[first].astype(float), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0)
-        if len(words):
-            k, context, known, parents = decode(records.column("record").combine_chunks().take(pa.array(first)))
-            pairs = np.repeat(words, k) | context.astype(np.uint64)
-        known, counts, parents = np.append(known, 0.0), np.append(counts, 0.0), np.append(parents, unknown)
-        known_words, known_pairs = np.append(words, np.uint64(2**64 - 1)), np.append(pairs, np.uint64(2**64 - 1))
-        docs, held = texts.column("doc_id"), texts.column("held_out")
-        bodies = as_bytes(texts.column("text"))
-        out = []
-        for lo, hi in slices(bodies):
-            keys, per_doc = tokens(bodies[lo:hi])
-            at = np.searchsorted(known_words, keys & ~_LOW)
-            at = np.where(known_words[at] == keys & ~_LOW, at, len(words))
-            pair = np.searchsorted(known_pairs, keys)
-            c = counts[at]
-            p = np.where(known_pairs[pair] == keys, known[pair], share[(keys & _LOW).astype(int)] * parents[at])
-            starts = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
-            out.append((per_doc, *(np.add.reduceat(x, starts) for x in ((c > 0).astype(np.int64), np.log10((c + 1) / (n_tokens + n_types + 1)), np.log10(p)))))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)]
-        return pa.Table.from_arrays([docs, held, *(pa.array(c) for c in cols)], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Customers and tables of the restaurants, of one task, by ranges of restaurants."""
+    customers, tables = np.zeros(RESTAURANTS, np.int64), np.zeros(RESTAURANTS, np.int64)
+    for batch in batches:
+        for pairs, state in zip(batch.column("pairs").to_pylist(), batch.column("tables").to_pylist(), strict=True):
+            r = Range.of(pairs, state)
+            order = np.argsort(r.context, kind="stable")
+            cuts = _runs(r.context[order])
+            if len(order):
+                at = r.context[order[cuts[:-1]]]
+                customers[at] += np.add.reduceat(r.n[order], cuts[:-1])
+                tables[at] += np.add.reduceat(r.tables[order], cuts[:-1])
+    width = RESTAURANTS // SUM_RANGES
+    for i in range(SUM_RANGES):
+        mine = np.flatnonzero(customers[i * width: (i + 1) * width])
+        if len(mine):
+            value = pack(mine.astype("<u4"), customers[i * width + mine], tables[i * width + mine])
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([value], pa.binary())], ["range", "sums"])
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total = np.zeros((2, RESTAURANTS // SUM_RANGES), np.int64)
+    for value in table.column("sums").to_pylist():
+        at, customers, tables = unpack(value, "<u4", "<i8", "<i8")
+        total[0, at] += customers
+        total[1, at] += tables
+    at = np.flatnonzero(total[0])
+    return pa.table({"range": table.column("range").slice(0, 1), "sums": pa.array([pack(at.astype("<u4"), total[0, at], total[1, at])], pa.binary())})
+
+
+def restaurant_sums(state: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Customers and tables of all restaurants: two arrays of a fixed size."""
+    customers, tables = np.zeros(RESTAURANTS, np.int64), np.zeros(RESTAURANTS, np.int64)
+    rows = state.select("pairs", "tables").mapInArrow(_sums, "range int, sums binary").groupBy("range").applyInArrow(_added, "range int, sums binary")
+    for r in rows.toLocalIterator():
+        at, c, t = unpack(r["sums"], "<u4", "<i8", "<i8")
+        at = at + r["range"] * (RESTAURANTS // SUM_RANGES)
+        customers[at], tables[at] = c, t
+    return customers, tables
+
+
+def log_stirling(d: float, most: int) -> np.ndarray:
+    """log S(n, t) for n, t up to ``most``: S(n + 1, t) = S(n, t - 1) + (n - d t) S(n, t)."""
+    out = np.full((most + 1, most + 1), -np.inf)
+    out[0, 0] = 0
+    t = np.arange(most + 1)
+    with np.errstate(divide="ignore"):
+        for n in range(most):
+            stay = out[n] + np.log(np.maximum(n - d * t, 0))
+            out[n + 1] = stay
+            out[n + 1, 1:] = np.logaddexp(stay[1:], out[n, :-1])
+    return out
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """log of the gamma function of positive numbers, by Stirling's series from 8 on."""
+    x = np.asarray(x, float)
+    shift = np.zeros_like(x)
+    low = x < 8
+    y = np.where(low, x + 8, x)
+    for i in range(8):
+        shift = shift + np.where(low, np.log(np.where(low, x + i, 1.0)), 0.0)
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+
+
+def _saddle(d: float, n: float, t: np.ndarray) -> np.ndarray:
+    """log of the n-th coefficient of (1 - (1 - x)^d)^t by its saddle point."""
+    low, high = np.full(len(t), -700.0), np.full(len(t), -1e-12)  # log(1 - x)
+    for _ in range(60):
+        mid = (low + high) / 2
+        large = t * d * -np.expm1(mid) * np.exp((d - 1) * mid) / -np.expm1(d * mid) > n
+        low, high = np.where(large, mid, low), np.where(large, high, mid)
+    mid = (low + high) / 2
+    x = -np.expm1(mid)
+    curve = np.maximum(n * (1 + (1 - d) * x / np.exp(mid) - n / t), 1e-9)
+    return t * np.log(-np.expm1(d * mid)) - n * np.log(x) - 0.5 * np.log(2 * np.pi * curve)
+
+
+def _series(d: float, n: float, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same by the binomial series in (1 - x)^(d k), whose coefficients are gamma functions; and where its terms do not cancel out."""
+    k = np.arange(1, int(min(t.max(), 250)) + 1, dtype=float)[None]
+    t = t[:, None]
+    size = np.where(k <= t, log_gamma(t + 1) - log_gamma(k + 1) - log_gamma(np.maximum(t - k, 0) + 1), -np.inf)
+    size = size + log_gamma(n - d * k) - log_gamma(np.array([n + 1.0])) + log_gamma(1 + d * k)
+    top = size.max(axis=1, keepdims=True)
+    total = (np.exp(size - top) * np.where(k % 2 == 1, 1.0, -1.0) * np.sin(np.pi * d * k) / np.pi).sum(axis=1)
+    sound = (total > 1e-5) & ((size[:, -1] < top[:, 0] - 30) | (k.max() >= t[:, 0]))
+    return np.log(np.maximum(total, 1e-300)) + top[:, 0], sound
+
+
+def log_stirling_large(d: float, n: float, t: np.ndarray) -> np.ndarray:
+    """log S(n, t) - log n! for large n: the n-th coefficient of (1 - (1 - x)^d)^t / (t! d^t)."""
+    t = np.asarray(t, float)
+    out, sound = _series(d, n, t)
+    if not sound.all():
+        out[~sound] = _saddle(d, n, t[~sound])
+    return out - log_gamma(t + 1) - t * np.log(d)
 
-    return run
 
+@dataclass
+class Seats:
+    """Conditionals of table counts: n customers of one dish in a restaurant of discount d.
+
+    The i-th new table has probability (strength + d (others + i)), ``others`` being the restaurant's
+    other tables, times what its parent gives the dish: (first, then start + i) / (all + i), or the
+    constant ``base``, if there is no ``start``.
+    """
+
+    d: float
+    stirling: np.ndarray
+    n: np.ndarray
+    others: np.ndarray
+    first: np.ndarray
+    start: np.ndarray | None = None
+    all: np.ndarray | None = None
+
+    def steps(self, rows: np.ndarray, width: int) -> np.ndarray:
+        i = np.arange(width)[None]
+        out = np.log(STRENGTH + self.d * (self.others[rows][:, None] + i)) + np.log(self.first[rows])[:, None]
+        if self.start is not None:
+            gain = np.log(np.maximum(self.start[rows][:, None] + i[:, 1:], 1e-300)) - np.log(self.first[rows])[:, None]
+            out[:, 1:] += gain
+            out -= np.log(self.all[rows][:, None] + i)
+        return np.cumsum(out, axis=1)
+
+    def closed(self, row: int, t: np.ndarray) -> np.ndarray:
+        a = STRENGTH / self.d + self.others[row]
+        out = t * np.log(self.d) + log_gamma(a + t) - log_gamma(a)
+        if self.start is None:
+            return out + t * np.log(self.first[row])
+        start, total = self.start[row], self.all[row]
+        return out + np.log(self.first[row]) + log_gamma(start + t) - log_gamma(start + 1) - log_gamma(total + t) + log_gamma(total)
+
+    def drawn(self, u: np.ndarray) -> np.ndarray:
+        """A table count per row, by inverting its distribution at ``u``."""
+        out = np.ones(len(self.n), np.int64)
+        low = 2
+        while low <= EXACT:
+            high = min(EXACT, low if low < 5 else low + low // 2)
+            rows = np.flatnonzero((self.n >= low) & (self.n <= high))
+            for at in range(0, len(rows), max(1, (1 << 21) // high)):
+                some = rows[at: at + max(1, (1 << 21) // high)]
+                weight = self.stirling[self.n[some], 1: high + 1] + self.steps(some, high)
+                weight = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
+                out[some] = 1 + (weight < (u[some] * weight[:, -1])[:, None]).sum(axis=1)
+            low = high + 1
+        for row in np.flatnonzero(self.n > EXACT):
+            out[row] = self._large(int(row), float(u[row]))
+        return np.minimum(out, self.n)
+
+    def _large(self, row: int, u: float) -> int:
+        n = int(self.n[row])
+        grid = np.unique(np.geomspace(1, n, 96).astype(np.int64))
+        for _ in range(4):  # closer and closer around the bulk
+            weight = log_stirling_large(self.d, n, grid) + self.closed(row, grid)
+            bulk = np.flatnonzero(weight > weight.max() - 40)
+            low, high = int(grid[max(0, bulk[0] - 1)]), int(grid[min(len(grid) - 1, bulk[-1] + 1)])
+            if high - low < 400:
+                break
+            grid = np.unique(np.linspace(low, high, 200).astype(np.int64))
+        grid = np.unique(np.linspace(low, high, min(high - low + 1, 600)).astype(np.int64))
+        weight = log_stirling_large(self.d, n, grid) + self.closed(row, grid)
+        weight = np.cumsum(np.exp(weight - weight.max()))
+        return int(grid[min(len(grid) - 1, int((weight < u * weight[-1]).sum()))])
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Scores of all rows of ``docs`` (doc_id, held_out, text)."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // BLOCK))
-    dealt = docs.select("doc_id", "held_out", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")).repartition("block")
-    # All columns go in, so that both uses of the dealt texts share one exchange.
-    wanted = dealt.mapInArrow(_block_words, "block bigint, word bigint")
-    found = wanted.join(model.records, "word").select("block", "word", "c", "record")
-    run = _score(model.share(), model.unknown(), model.n_tokens, model.n_types)
-    return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, SCORED)
-
-
-def pair_tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All tokens of all texts, the token before each (the end token before a text's first), and tokens per text."""
-    words, counts = hash_words(texts, SPACE_WORDS)
-    place = np.arange(len(words)) + np.repeat(np.arange(len(counts)), counts)
-    keys = np.full(len(words) + len(counts), _END, np.uint64)
-    keys[place] = words
-    return keys, np.append(_END, keys)[:-1], counts + 1
 
+@dataclass
+class Totals:
+    """What all types share after a sweep: the parent's customers and tables, and the parameters."""
 
-def _long(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64))
+    d: float
+    parent_d: float
+    n_types: int
+    customers: float
+    tables: float
 
+    @property
+    def fresh(self) -> float:
+        """The parent's weight of a dish that it does not serve, before it is divided by ``all``."""
+        return (STRENGTH + self.parent_d * self.tables) / (self.n_types + 1)
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[pa.Table] = []
+    @property
+    def all(self) -> float:
+        return STRENGTH + self.customers
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        table = pa.concat_tables(held).group_by(["word", "previous"], use_threads=False).aggregate([([], "count_all")])
-        held.clear()
-        yield from table.select(["word", "previous", "count_all"]).rename_columns(["word", "previous", "n"]).to_batches()
+    def parent(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """The parent's probability of dishes with c customers at t tables there."""
+        return (c - self.parent_d * t + self.fresh) / self.all
+
+    def share(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """What each restaurant leaves to the parent."""
+        return (STRENGTH + self.d * tables) / (STRENGTH + customers)
+
+
+def uniforms(a: np.ndarray, b: np.ndarray, sweep: int) -> np.ndarray:
+    """Numbers in [0, 1) that follow from two keys and the sweep."""
+    return (mix64(a + mix64(b.astype(np.uint64) ^ mix64(np.array([sweep + 1], np.uint64) * _MIX))) >> np.uint64(11)).astype(float) / 2.0**53
+
+
+def swept(r: Range, tables: np.ndarray, totals: Totals, stirling: tuple[np.ndarray, np.ndarray], sweep: int) -> Range:
+    """One Gibbs sweep over a range: ``tables`` are the restaurants' tables before it."""
+    who, t, pc, pt = r.who(), r.tables.copy(), r.customers(), r.parent_tables
+    pairs = np.flatnonzero(r.n > 1)
+    cuts = _runs(who[pairs])
+    held = np.diff(cuts)
+    rank = np.arange(len(pairs)) - np.repeat(cuts[:-1], held)
+    turn = np.where(np.repeat(held, held) <= TURNS, rank, rank * TURNS // np.maximum(np.repeat(held, held), 1))
+    u = uniforms(r.words[who[pairs]], r.context[pairs], sweep)
+    for i in range(int(turn.max(initial=-1)) + 1):
+        mine = np.flatnonzero(turn == i)
+        p = pairs[mine]
+        w = who[p]
+        c = pc[w] - t[p]
+        at = np.minimum(pt[w], c)
+        served = c - totals.parent_d * at + totals.fresh
+        # A dish that the parent does not serve yet gets its table there with the first customer.
+        start = np.where(c > 0, served, totals.fresh - totals.parent_d)
+        seats = Seats(totals.d, stirling[0], r.n[p], tables[r.context[p]].astype(float) - r.tables[p], np.where(c > 0, served, totals.fresh), start, totals.all - t[p])
+        new = seats.drawn(u[mine])
+        pc += np.bincount(w, new - t[p], len(pc)).astype(np.int64)
+        t[p] = new
+    shared = np.flatnonzero(pc > 1)
+    at = np.ones(len(pc), np.int64)
+    base = np.full(len(shared), 1 / (totals.n_types + 1))
+    at[shared] = Seats(totals.parent_d, stirling[1], pc[shared], totals.tables - pt[shared].astype(float), base).drawn(uniforms(r.words[shared], np.zeros(len(shared)), sweep))
+    return Range(r.words, r.sizes, r.context, r.n, t, at)
+
+
+def _sweep(shared, totals: Totals, sweep: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, stirling = shared.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                r = swept(Range.of(row["pairs"], row["tables"]), tables, totals, stirling, sweep)
+                many = r.n > 1
+                row["tables"] = pack((r.tables[many] - 1).astype("<u4"), r.parent_tables.astype("<u4"))
+                if sweep >= BURN_IN:
+                    row["kept"] = pack(unpack(row["kept"], "<u4")[0] + (r.tables[many] - 1).astype("<u4"))
+                    row["parents"] = pack(np.concatenate([unpack(row["parents"], "<u4")[0], r.customers().astype("<u4"), r.parent_tables.astype("<u4")]))
+                yield pa.RecordBatch.from_pylist([row], batch.schema)
 
-    for batch in batches:
-        texts = as_bytes(batch.column("text"))
-        for lo, hi in slices(texts):
-            keys, previous, _ = pair_tokens(texts[lo:hi])
-            held.append(pa.Table.from_arrays([_long(keys), _long(previous)], ["word", "previous"]))
-            if sum(t.num_rows for t in held) > COUNT_TOKENS:
-                yield from flush()
-    if held:
-        yield from flush()
+    return run
 
 
-WORD_TYPES = "part bigint, word bigint, c bigint, previous array<bigint>, n array<bigint>"
+@dataclass
+class Model:
+    """``state``: a written row of packed pairs per range of words; the restaurants' customers and shares after each kept sweep."""
 
+    state: DataFrame
+    ranges: int
+    n_tokens: int
+    n_types: int
+    customers: np.ndarray
+    shares: list[np.ndarray]
+    totals: list[Totals]
 
-def _word_types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (word, previous, n, task), sorted, to one row per word; about ``SAMPLE_PAIRS`` pairs share a part number."""
-    word, previous, n = (np.zeros(0, np.int64) for _ in range(3))
-    held: list[tuple[np.ndarray, ...]] = []
-    task = done = 0
+    def unknown(self) -> np.ndarray:
+        return np.array([t.fresh / t.all for t in self.totals])
 
-    def rows(end: int) -> pa.RecordBatch:
-        first = np.flatnonzero(np.concatenate([[True], word[1:end] != word[: end - 1]]))
-        cuts = np.append(first, end).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x[:end])) for x in (previous, n)]
-        part = np.full(len(first), (task << 32) + done)
-        return pa.RecordBatch.from_arrays([pa.array(part), pa.array(word[first]), pa.array(np.add.reduceat(n[:end], first)), *lists], ["part", "word", "c", "previous", "n"])
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        task = batch.column("task")[0].as_py()
-        held.append(tuple(batch.column(i).to_numpy() for i in range(3)))
-        if sum(len(h[0]) for h in held) < SAMPLE_PAIRS:
-            continue
-        word, previous, n = (np.concatenate(x) for x in zip((word, previous, n), *held, strict=True))
-        held = []
-        end = int(np.searchsorted(word, word[-1]))
-        if end:
-            yield rows(end)
-            word, previous, n, done = word[end:], previous[end:], n[end:], done + 1
-    word, previous, n = (np.concatenate(x) for x in zip((word, previous, n), *held, strict=True))
-    if len(word):
-        yield rows(len(word))
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
 
-@dataclass
-class Part:
-    """The pairs of some types, and their restaurants' customers and tables after each sweep so far."""
+def fit(train: DataFrame) -> Model:
+    """Count all pairs of ``train`` (column ``text``), then sample ``BURN_IN + KEPT`` sweeps."""
+    spark = train.sparkSession
+    size, rows = train.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    size = (size or 0) + rows
+    ranges = max(1, -(-size // RANGE_BYTES))
+    # Words whose restaurants, over about as many flushes as there will be, might exceed a merge.
+    heavy = max(256, MERGED // (1 + size // (6 * FLUSH_TOKENS)))
+    counted = train.select("text").mapInArrow(_count(ranges, heavy), COUNTED)
+    once = counted.groupBy("part", "sub").applyInArrow(_merge_sub, "part bigint, pairs binary")
+    first = once.groupBy("part").applyInArrow(_first_state, STATE)
+    # Two tables take turns: a sweep reads one and overwrites the other.
+    paths = [scratch_path(spark, "lm-state") for _ in range(2)]
+
+    def kept(df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").option("compression", "none").option("maxRecordsPerFile", 1).parquet(path)
+        return spark.read.schema(STATE).parquet(path)
+
+    state = kept(first, paths[0])
+    sums = state.agg(*[F.sum(c).alias(c) for c in NAMES[1:7]]).first()
+    n_tokens, n_types, ones, twos, one, two = (x or 0 for x in sums)
+    d, parent_d = _discount(ones, twos), _discount(one, two)
+    customers, tables = restaurant_sums(state)
+    totals = Totals(d, parent_d, n_types, float(tables.sum()), float(n_types))
+    stirling = log_stirling(d, EXACT), log_stirling(parent_d, EXACT)
+    shares, history = [], []
+    for sweep in range(BURN_IN + KEPT):
+        shared = spark.sparkContext.broadcast((tables, stirling))
+        state = kept(state.mapInArrow(_sweep(shared, totals, sweep), STATE), paths[(sweep + 1) % 2])
+        shared.destroy()
+        _, tables = restaurant_sums(state)
+        parents = state.select("tables").mapInArrow(_parent_tables, "n bigint").agg(F.sum("n")).first()[0] or 0
+        totals = Totals(d, parent_d, n_types, float(tables.sum()), float(parents))
+        if sweep >= BURN_IN:
+            shares.append(totals.share(customers, tables).astype(np.float32))
+            history.append(totals)
+    return Model(state, ranges, n_tokens, n_types, customers.astype(np.float32), shares, history)
 
-    seed: int
-    words: np.ndarray
-    who: np.ndarray
-    previous: np.ndarray
-    counts: np.ndarray
-    context: np.ndarray
-    names: np.ndarray
-    customers: np.ndarray
-    tables: np.ndarray
 
-    def totals(self, sweep: int, parent: list[tuple[float, float]], d: float, parent_d: float, base: float) -> Totals:
-        c, t = parent[sweep]
-        return Totals(np.append(self.customers, c), np.append(self.tables[sweep], t), d, parent_d, base)
+def _parent_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([int(unpack(v, "<u4", "<u4")[1].sum()) for v in batch.column("tables").to_pylist()], pa.int64())], ["n"])
+
+
+class Lookup:
+    """Counts and averaged probabilities of a range's words and pairs."""
+
+    def __init__(self, row: dict, customers: np.ndarray, totals: list[Totals]):
+        self.words, sizes, context, n = unpack(row["pairs"], *PAIRS)
+        who = np.repeat(np.arange(len(self.words)), sizes.astype(np.int64))
+        self.counts = np.bincount(who, n, len(self.words))
+        mean = np.ones(len(n))
+        mean[n > 1] += unpack(row["kept"], "<u4")[0] / KEPT
+        self.keys = (who.astype(np.int64) << CONTEXT_BITS) | context
+        self.own = (n - totals[0].d * mean) / (STRENGTH + customers[context])
+        parents = unpack(row["parents"], "<u4")[0].astype(float).reshape(KEPT, 2, len(self.words))
+        self.parents = np.array([t.parent(c, at) for t, (c, at) in zip(totals, parents, strict=True)])
+
+    def only(self, word: int) -> Lookup:
+        """The same for a single word."""
+        out, i = object.__new__(Lookup), int(np.searchsorted(self.words, np.uint64(word)))
+        lo, hi = np.searchsorted(self.keys, [i << CONTEXT_BITS, (i + 1) << CONTEXT_BITS])
+        out.words, out.counts, out.parents = self.words[i: i + 1], self.counts[i: i + 1], self.parents[:, i: i + 1]
+        out.keys, out.own = self.keys[lo:hi] - (i << CONTEXT_BITS), self.own[lo:hi]
+        return out
+
+    def of(self, word: np.ndarray, context: np.ndarray, shares: list[np.ndarray], unknown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(count, probability) of tokens in their restaurants."""
+        at = np.searchsorted(self.words, word)
+        at[at == len(self.words)] = 0
+        known = self.words[at] == word if len(self.words) else np.zeros(len(word), bool)
+        key = (at.astype(np.int64) << CONTEXT_BITS) | context
+        pair = np.searchsorted(self.keys, key)
+        pair[pair == len(self.keys)] = 0
+        p = np.where(known & (self.keys[pair] == key), self.own[pair], 0.0) if len(self.keys) else np.zeros(len(word))
+        for s, share in enumerate(shares):
+            parent = np.where(known, self.parents[s][at], unknown[s]) if len(self.words) else unknown[s]
+            p = p + share[context] * parent / len(shares)
+        return np.where(known, self.counts[at], 0.0) if len(self.words) else np.zeros(len(word)), p
+
+
+SENT = "part bigint, unit bigint, tokens binary"
+
+
+def _sent(ranges: int, hot: dict[int, tuple[int, int]]):
+    """Packed tokens of each range of words, and the ids of the texts that they come from, under a number for each flush."""
+
+    def flush(held: list[tuple], unit: int) -> Iterator[pa.RecordBatch]:
+        word, context, per_text, ids, valid, held_out = (np.concatenate(x) for x in zip(*held, strict=True))
+        doc = np.repeat(np.arange(len(per_text), dtype=np.uint32), per_text)
+        rows = [(-1 - unit % ranges, pack(ids, valid, held_out, per_text.astype("<i8")))]
+        order = np.argsort(word, kind="stable")
+        word, context, doc = word[order], context[order], doc[order]
+        part = range_of(word, ranges)
+        for h, (base, salts) in hot.items():
+            lo, hi = (np.searchsorted(word, np.uint64(h), side=side) for side in ("left", "right"))
+            part[lo:hi] = base + unit % salts
+        order = np.argsort(part, kind="stable")
+        cuts = _runs(part[order])
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own = order[a:b]
+            runs = _runs(word[own])
+            rows.append((int(part[own[0]]), pack(word[own][runs[:-1]], np.diff(runs).astype("<u4"), context[own], doc[own])))
+        for p, value in rows:
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([unit], pa.int64()), pa.array([value], pa.binary())], ["part", "unit", "tokens"])
 
-    def rng(self, sweep: int) -> np.random.Generator:
-        return np.random.default_rng([sweep, self.seed, len(self.words)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        # A task that is run again gives its flushes the same numbers.
+        unit = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            ids, texts = batch.column("doc_id"), as_bytes(batch.column("text"))
+            numbers, valid = ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
+            held_out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint8)
+            for lo, hi in slices(texts):
+                word, context, per_text = tokens(texts[lo:hi])
+                held.append((word, context, per_text, numbers[lo:hi], valid[lo:hi], held_out[lo:hi]))
+                if sum(len(h[0]) for h in held) >= FLUSH_TOKENS:
+                    yield from flush(held, unit)
+                    held, unit = [], unit + 1
+        if held:
+            yield from flush(held, unit)
 
+    return run
 
-def _pair_parts(batches: Iterator[pa.RecordBatch], restaurants) -> Iterator[Part]:
-    """Parts of a written type table, read in its order."""
-    names, customers, tables = restaurants.value
-    held: list[pa.RecordBatch] = []
 
-    def part() -> Part:
-        batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        held.clear()
-        sizes = np.diff(batch.column("previous").offsets.to_numpy())
-        previous, counts = (batch.column(c).flatten().to_numpy() for c in ("previous", "n"))
-        own, context = np.unique(previous, return_inverse=True)
-        at = np.searchsorted(names, own)
-        words = batch.column("word").to_numpy()
-        return Part(abs(int(words[0])), words, np.repeat(np.arange(len(words)), sizes), previous, counts, context, own, customers[at], tables[:, at])
+PARTIAL = "unit bigint, ids boolean, sums binary"
+
+
+def _scored(shared, hot: dict[int, tuple[int, int]], n_tokens: int, n_types: int):
+    by_base = {base: word for word, (base, _) in hot.items()}
+
+    def run(key: tuple, sent: pa.Table, models: pa.Table) -> pa.Table:
+        customers, shares, totals, unknown = shared.value
+        part, rows, lookup = key[0].as_py(), [], None
+        if part >= 0:
+            row = models.to_pylist()[0] if models.num_rows else None
+            empty = {"pairs": pack(*(np.zeros(0, k) for k in PAIRS)), "kept": pack(np.zeros(0, "<u4")), "parents": pack(np.zeros(0, "<u4"))}
+            lookup = Lookup(row or empty, customers, totals)
+            bases = [b for b in by_base if b <= part]
+            if bases:
+                lookup = lookup.only(by_base[max(bases)])
+        for unit, value in zip(sent.column("unit").to_pylist(), sent.column("tokens").to_pylist(), strict=True):
+            if lookup is None:
+                rows.append((unit, True, value))
+                continue
+            words, sizes, context, doc = unpack(value, "<u8", "<u4", "<u4", "<u4")
+            c, p = lookup.of(np.repeat(words, sizes), context, shares, unknown)
+            place, at = np.unique(doc, return_inverse=True)
+            sums = [np.bincount(at, x, len(place)) for x in (np.log10((c + 1) / (n_tokens + n_types + 1)), np.log10(p), (c > 0).astype(float))]
+            rows.append((unit, False, pack(place.astype("<u4"), sums[0], sums[1].astype("<f4"), sums[2].astype("<u4"))))
+        columns = list(zip(*rows, strict=True)) if rows else [()] * 3
+        return pa.table({n: pa.array(c, t) for n, c, t in zip(("unit", "ids", "sums"), columns, (pa.int64(), pa.bool_(), pa.binary()), strict=True)})
 
-    for batch in batches:
-        # A batch of many common types is cut, so that a part stays about SAMPLE_PAIRS.
-        ends = np.cumsum(np.diff(batch.column("previous").offsets.to_numpy()))
-        lo = 0
-        while lo < batch.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SAMPLE_PAIRS, side="right")))
-            held.append(batch.slice(lo, hi - lo))
-            lo = hi
-            if sum(len(b.column("previous").flatten()) for b in held) >= SAMPLE_PAIRS:
-                yield part()
-    if held:
-        yield part()
-
-
-def _joined_part(table: pa.Table) -> Part:
-    """The part that a group of joined rows (part, word, previous, n, customers, tables) makes."""
-    table = table.sort_by([("word", "ascending"), ("previous", "ascending")]).combine_chunks()
-    word, previous, n, customers = (table.column(c).to_numpy() for c in ("word", "previous", "n", "customers"))
-    tables = table.column("tables").combine_chunks().flatten().to_numpy().reshape(len(word), -1)
-    words, who = np.unique(word, return_inverse=True)
-    own, first, context = np.unique(previous, return_index=True, return_inverse=True)
-    return Part(table.column("part")[0].as_py(), words, who, previous, n, context, own, customers[first], tables[first].T)
-
-
-def _seat_pairs(part: Part, sweep: int, args: tuple) -> pa.Table:
-    """(previous, tables) of a part's new seating; the row without ``previous`` counts the parent's tables."""
-    s = seat(part.who, part.context, part.counts, len(part.words), part.totals(sweep, *args), part.rng(sweep))
-    sums = np.bincount(part.context, s.tables, len(part.names)).astype(np.int64)
-    return pa.Table.from_arrays([pa.array([*part.names.tolist(), None], pa.int64()), pa.array(np.append(sums, s.parent_tables.sum()))], ["previous", "tables"])
-
-
-PROBABILITIES = "word bigint, previous bigint, c bigint, p float"
-
-
-def _pair_probabilities(part: Part, args: tuple) -> pa.Table:
-    """One row per pair with its probability, and one per type (no ``previous``) with its count and the parent's, averaged over the kept sweeps."""
-    parent, known = np.zeros(len(part.words)), np.zeros(len(part.counts))
-    for sweep in range(BURN_IN, BURN_IN + KEPT):
-        after = part.totals(sweep + 1, *args)
-        s = seat(part.who, part.context, part.counts, len(part.words), part.totals(sweep, *args), part.rng(sweep))
-        base = after.parent(s.parent_customers, s.parent_tables)
-        parent += base / KEPT
-        own = np.maximum(part.counts - after.discount * s.tables, 0) / (after.strength + after.customers[part.context])
-        known += (own + after.share()[part.context] * base[part.who]) / KEPT
-    c = np.bincount(part.who, part.counts, len(part.words)).astype(np.int64)
-    pairs = pa.Table.from_arrays([pa.array(part.words[part.who]), pa.array(part.previous), pa.nulls(len(known), pa.int64()), pa.array(known.astype(np.float32))], ["word", "previous", "c", "p"])
-    types = pa.Table.from_arrays([pa.array(part.words), pa.nulls(len(c), pa.int64()), pa.array(c), pa.array(parent.astype(np.float32))], ["word", "previous", "c", "p"])
-    return pa.concat_tables([pairs, types])
+    return run
 
 
-@dataclass
-class WordModel:
-    """``rows``: (word, previous, c, p, share) of all pairs and, with no ``previous``, of all types."""
+SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
-    rows: DataFrame
-    n_tokens: int
-    n_types: int
-    unknown: float
 
+def _joined(table: pa.Table) -> pa.Table:
+    """The rows of one flush: its texts' ids with all ranges' sums added up."""
+    is_ids = table.column("ids").to_pylist()
+    values = table.column("sums").to_pylist()
+    ids, valid, held_out, n = unpack(next(v for v, own in zip(values, is_ids, strict=True) if own), "<i8", "u1", "u1", "<i8")
+    total = np.zeros((3, len(ids)))
+    # In one order, whatever order the shuffle brings them in.
+    for value in sorted(v for v, own in zip(values, is_ids, strict=True) if not own):
+        place, base, score, known = unpack(value, "<u4", "<f8", "<f4", "<u4")
+        for row, x in zip(total, (base, score, known), strict=True):
+            row[place] += x
+    return pa.table({"doc_id": pa.array(ids, mask=valid == 0), "held_out": pa.array(held_out.astype(bool)), "n_tokens": pa.array(n),
+                     "n_known": pa.array(total[2].astype(np.int64)), "base_score": pa.array(total[0]), "score": pa.array(total[1])})
 
-def fit_words(train: DataFrame) -> WordModel:
-    """Count all pairs of ``train`` (column ``text``), then sample ``BURN_IN + KEPT`` sweeps."""
-    spark = train.sparkSession
-    counts = train.select("text").mapInArrow(_count_pairs, "word bigint, previous bigint, n bigint")
-    pairs = counts.repartition("word").groupBy("word", "previous").agg(F.sum("n").alias("n")).select("word", "previous", "n", F.spark_partition_id().alias("task"))
-    types = written(pairs.sortWithinPartitions("word", "previous").mapInArrow(_word_types, WORD_TYPES), "lm-word-types")
-    flat = types.select("part", "word", F.explode(F.arrays_zip("previous", "n")).alias("p")).select("part", "word", "p.previous", "p.n")
-    seen = written(flat.groupBy("previous").agg(F.sum("n").alias("customers"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")), "lm-restaurants")
-    n_tokens, ones, twos, n_restaurants = (x or 0 for x in seen.agg(F.sum("customers"), F.sum("ones"), F.sum("twos"), F.count(F.lit(1))).first())
-    one, two, n_types = types.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2), F.count(F.lit(1))).first()
-
-    def discount(a: int, b: int) -> float:
-        return min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5
-
-    # Before the first sweep: about a table for each customer to the power of the discount.
-    d, base = discount(ones, twos), 1 / (n_types + 1)
-    start = F.ceil(F.pow(F.col("customers").cast("double"), F.lit(d)))
-    rest = written(seen.select("previous", "customers", F.array(start).alias("tables")), "lm-restaurants")
-    parent = [(float(rest.agg(F.sum(F.col("tables")[0])).first()[0] or 0), float(n_types))]
-
-    def mapped(make, schema: str) -> DataFrame:
-        """``make(part)`` of all parts of the type table."""
-        if n_restaurants > BROADCAST_ROWS:
-            return flat.join(rest, "previous").groupBy("part").applyInArrow(lambda t: make(_joined_part(t)), schema)
-        held = rest.orderBy("previous").toArrow().combine_chunks()
-        tables = held.column("tables").combine_chunks().flatten().to_numpy().reshape(held.num_rows, -1).T if held.num_rows else np.zeros((BURN_IN + KEPT + 1, 0), np.int64)
-        sent = spark.sparkContext.broadcast((held.column("previous").to_numpy(), held.column("customers").to_numpy(), np.ascontiguousarray(tables)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in _pair_parts(batches, sent):
-                yield from make(part).to_batches()
-
-        return types.mapInArrow(run, schema)
 
-    for sweep in range(BURN_IN + KEPT):
-        args = (list(parent), d, discount(one, two), base)
-        sums = mapped(lambda part, sweep=sweep, args=args: _seat_pairs(part, sweep, args), "previous bigint, tables bigint")
-        sums = written(sums.groupBy("previous").agg(F.sum("tables").alias("now")), "lm-sums")
-        new = rest.join(sums.where("previous is not null"), "previous").select("previous", "customers", F.concat("tables", F.array("now")).alias("tables"))
-        rest = written(new, "lm-restaurants")
-        below, above = sums.agg(F.sum(F.when(F.col("previous").isNotNull(), F.col("now"))), F.sum(F.when(F.col("previous").isNull(), F.col("now")))).first()
-        parent.append((float(below or 0), float(above or 0)))
-    args = (parent, d, discount(one, two), base)
-    rows = written(mapped(lambda part: _pair_probabilities(part, args), PROBABILITIES), "lm-probabilities")
-    kept = F.slice("tables", BURN_IN + 2, KEPT)
-    mean = F.aggregate(kept, F.lit(0.0), lambda a, t: a + t / KEPT)
-    shares = rest.select(F.col("previous").alias("word"), ((Totals.strength + d * mean) / (Totals.strength + F.col("customers"))).alias("share"))
-    rows = rows.where("previous is not null").withColumn("share", F.lit(None).cast("double")).unionByName(rows.where("previous is null").join(shares, "word"))
-    totals = [Totals(np.array([c]), np.array([t]), d, discount(one, two), base) for c, t in parent[BURN_IN + 1:]]
-    unknown = float(np.mean([t.parent(np.zeros(1), np.zeros(1))[0] for t in totals]))
-    return WordModel(rows, int(n_tokens), int(n_types), unknown)
-
-
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, word, previous) of the distinct pairs of a block, and its distinct tokens without ``previous``."""
+def _hot_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, c) of the words of at least HOT_TOKENS."""
     for batch in batches:
-        blocks, texts = batch.column("block").to_numpy(), as_bytes(batch.column("text"))
-        for block in np.unique(blocks):
-            mine = [texts[i] for i in np.flatnonzero(blocks == block)]
-            tables = []
-            for lo, hi in slices(mine):
-                keys, previous, _ = pair_tokens(mine[lo:hi])
-                tables.append(pa.Table.from_arrays([_long(keys), _long(previous)], ["word", "previous"]).group_by(["word", "previous"], use_threads=False).aggregate([]))
-            pairs = pa.concat_tables(tables).group_by(["word", "previous"], use_threads=False).aggregate([]).combine_chunks()
-            words = np.unique(np.append(pairs.column("word").to_numpy(), np.int64(_END)))
-            for word, previous in ((pairs.column("word").combine_chunks(), pairs.column("previous").combine_chunks()), (pa.array(words), pa.nulls(len(words), pa.int64()))):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), block)), word, previous], ["block", "word", "previous"])
-
-
-def _pair_keys(words: np.ndarray, previous: np.ndarray) -> np.ndarray:
-    return mix64(words + mix64(previous ^ np.uint64(0x9FB21C651E98DF25)))
-
-
-def _score_pairs(unknown: float, n_tokens: int, n_types: int):
-    def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
-        is_type = pc.is_null(rows.column("previous"))
-        types, pairs = rows.filter(is_type), rows.filter(pc.invert(is_type))
-        words, first = np.unique(types.column("word").to_numpy().view(np.uint64), return_index=True)
-        counts, parents, shares = (types.column(c).to_numpy()[first].astype(float) for c in ("c", "p", "share"))
-        keys_of, first = np.unique(_pair_keys(*(pairs.column(c).to_numpy().view(np.uint64) for c in ("word", "previous"))), return_index=True)
-        known = np.append(pairs.column("p").to_numpy()[first].astype(float), 0.0)
-        # An unknown token has the unknown's probability; after one, all is left to the parent.
-        counts, parents, shares = np.append(counts, 0.0), np.append(parents, unknown), np.append(shares, 1.0)
-        ends = np.uint64(2**64 - 1)
-        known_words, known_pairs = np.append(words, ends), np.append(keys_of, ends)
-
-        def place(tokens: np.ndarray) -> np.ndarray:
-            at = np.searchsorted(known_words, tokens)
-            return np.where(known_words[at] == tokens, at, len(words))
-
-        bodies, out = as_bytes(texts.column("text")), []
-        for lo, hi in slices(bodies):
-            keys, previous, per_doc = pair_tokens(bodies[lo:hi])
-            at = place(keys)
-            both = _pair_keys(keys, previous)
-            pair = np.searchsorted(known_pairs, both)
-            c = counts[at]
-            p = np.where((known_pairs[pair] == both) & (pair < len(keys_of)), known[pair], shares[place(previous)] * parents[at])
-            starts = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
-            out.append((per_doc, *(np.add.reduceat(x, starts) for x in ((c > 0).astype(np.int64), np.log10((c + 1) / (n_tokens + n_types + 1)), np.log10(p)))))
-        cols = [np.concatenate(x) for x in zip(*out, strict=True)]
-        return pa.Table.from_arrays([texts.column("doc_id"), texts.column("held_out"), *(pa.array(c) for c in cols)], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-
-    return run
+        for value in batch.column("pairs").to_pylist():
+            words, sizes, _, n = unpack(value, *PAIRS)
+            c = np.bincount(np.repeat(np.arange(len(words)), sizes.astype(np.int64)), n, len(words)).astype(np.int64)
+            at = np.flatnonzero(c >= HOT_TOKENS)
+            yield pa.RecordBatch.from_arrays([pa.array(words[at].view(np.int64)), pa.array(c[at])], ["word", "c"])
 
 
-def score_words(docs: DataFrame, model: WordModel) -> DataFrame:
-    """Scores of all rows of ``docs`` (doc_id, held_out, text); a block is joined to its own pairs."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // BLOCK))
-    dealt = docs.select("doc_id", "held_out", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")).repartition("block")
-    # All columns go in, so that both uses of the dealt texts share one exchange.
-    wanted = dealt.mapInArrow(_block_pairs, "block bigint, word bigint, previous bigint")
-    rows = model.rows.withColumnsRenamed({"word": "m_word", "previous": "m_previous"})
-    found = wanted.join(rows, (F.col("word") == F.col("m_word")) & F.col("previous").eqNullSafe(F.col("m_previous"))).select("block", "word", "previous", "c", "p", "share")
-    run = _score_pairs(model.unknown, model.n_tokens, model.n_types)
-    return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, SCORED)
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """Scores of all rows of ``docs`` (doc_id, held_out, text)."""
+    spark = docs.sparkSession
+    hot, base = {}, model.ranges
+    # At most one word in HOT_TOKENS tokens.
+    for r in model.state.select("pairs").mapInArrow(_hot_words, "word bigint, c bigint").orderBy("word").collect():
+        salts = -(-r["c"] // HOT_TOKENS)
+        hot[r["word"] % (1 << 64)] = (base, salts)
+        base += salts
+    sent = docs.select("doc_id", "held_out", "text").mapInArrow(_sent(model.ranges, hot), SENT)
+    rows = model.state.select("part", "pairs", "kept", "parents")
+    if hot:
+        words = np.array(list(hot), np.uint64)
+        copies = [(int(p), b + i) for p, (b, n) in zip(range_of(words, model.ranges).tolist(), hot.values(), strict=True) for i in range(n)]
+        more = F.broadcast(spark.createDataFrame(copies, "of bigint, copy bigint"))
+        rows = rows.union(rows.join(more, F.col("part") == F.col("of")).select(F.col("copy").alias("part"), "pairs", "kept", "parents"))
+    shared = spark.sparkContext.broadcast((model.customers, model.shares, model.totals, model.unknown()))
+    run = _scored(shared, hot, model.n_tokens, model.n_types)
+    partial = sent.groupBy("part").cogroup(rows.withColumnRenamed("part", "range").groupBy("range")).applyInArrow(run, PARTIAL)
+    return partial.groupBy("unit").applyInArrow(_joined, SCORED)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """All documents scored by a model of those whose CRC-32 remainder (mod 7) is not 2."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc32_text(F.col("doc_id")) % 7 == 2).alias("held_out"), "text")
-    model = fit_words(rows.where(~F.col("held_out")))
-    return score_words(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    model = fit(rows.where(~F.col("held_out")))
+    return score(rows, model).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")

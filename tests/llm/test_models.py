@@ -8,7 +8,6 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,10 +310,12 @@ def brute_base(rows):
     return [(i, held, len(w), sum(x in train for x in w), n, sum(math.log10((train.get(x, 0) + 1) / (n + len(train) + 1)) for x in w)) for i, held, w in texts]
 
 
-@pytest.mark.parametrize("block", [hpylm.BLOCK, 5000])
+@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("which", ["documents", "edge"])
-def test_language_model_base(which, block, request, monkeypatch):
-    monkeypatch.setattr(hpylm, "BLOCK", block)
+def test_language_model_base(which, small, request, monkeypatch):
+    if small:
+        for name, value in (("FLUSH_TOKENS", 3000), ("RANGE_BYTES", 20_000), ("HOT_TOKENS", 500), ("MERGED", 1)):
+            monkeypatch.setattr(hpylm, name, value)
     docs = request.getfixturevalue(which)
     got = hpylm.score_documents(docs).collect()
     key = lambda r: str(r[:5])
@@ -327,30 +328,6 @@ def test_language_model_base(which, block, request, monkeypatch):
         assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def test_language_model_is_normalised(spark):
-    docs = spark.createDataFrame([(1, "a b a c"), (2, "b a"), (3, "c c c d")], "doc_id long, text string")
-    model = hpylm.fit(docs)
-    words = ["a", "b", "c", "d", "zz"]
-    # P(w | start) for every known word, the unknown one, and the end of an empty text.
-    probe = spark.createDataFrame([(i, False, w) for i, w in enumerate(words)] + [(9, False, None)], "doc_id long, held_out boolean, text string")
-    rows = {r["doc_id"]: r["score"] for r in hpylm.score(probe, model).collect()}
-    records = {r["word"]: r for r in model.records.collect()}
-    keys, _ = hpylm.tokens([w.encode() for w in words])
-
-    def p(key):
-        word, context = np.uint64(key) & ~hpylm._LOW, int(np.uint64(key) & hpylm._LOW)
-        r = records.get(int(word.astype(np.int64)))
-        if r is None:
-            return float(model.share()[context] * model.unknown())
-        _, contexts, known, parents = hpylm.decode(pa.array([bytes(r["record"])], pa.binary()))
-        return float(known[contexts == context].sum() if context in contexts else model.share()[context] * parents[0])
-
-    start = [p(k) for k in keys[::2]] + [10 ** rows[9]]
-    assert sum(start) == pytest.approx(1, abs=1e-5)
-    for i in range(len(words)):
-        assert rows[i] == pytest.approx(math.log10(p(keys[2 * i]) * p(keys[2 * i + 1])), abs=1e-6)
-
-
 def test_language_model_edges(spark, no_rows):
     assert hpylm.score_documents(no_rows).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
