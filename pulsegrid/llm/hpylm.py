@@ -116,12 +116,19 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1, [len(sorted_values)]])
 
 
-def merged(word: np.ndarray, context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs in order, equal ones added up."""
-    order = np.lexsort((context, word))
-    word, context, n = word[order], context[order], n[order]
-    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(word)), bool), (word[1:] != word[:-1]) | (context[1:] != context[:-1])]))
-    return word[first], context[first], np.add.reduceat(n, first) if len(first) else n[:0]
+def merged(words: np.ndarray, which: np.ndarray, context: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, restaurant, count) of pairs in order, equal ones added up; ``which`` is each pair's place in ``words``, without ``n`` each counts 1."""
+    words, place = np.unique(words, return_inverse=True)
+    key = place[which] << CONTEXT_BITS | context
+    if n is None:
+        key = np.sort(key)
+    elif (key[1:] <= key[:-1]).any():
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+    cuts = _runs(key)
+    key = key[cuts[:-1]]
+    n = np.diff(cuts) if n is None else np.add.reduceat(n, cuts[:-1]) if len(n) else n
+    return words[key >> CONTEXT_BITS], (key & (RESTAURANTS - 1)).astype(np.uint32), n
 
 
 PAIRS = ("<u8", "<u4", "<u4", "<i8")  # words, pairs of each, their restaurants and counts
@@ -132,10 +139,10 @@ def pack_pairs(word: np.ndarray, context: np.ndarray, n: np.ndarray) -> bytes:
     return pack(word[cuts[:-1]], np.diff(cuts).astype("<u4"), context.astype("<u4"), n.astype("<i8"))
 
 
-def unpack_pairs(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [unpack(v, *PAIRS) for v in values]
-    words = [np.repeat(w, k) for w, k, _, _ in parts]
-    return tuple(np.concatenate(x) for x in (words, [p[2] for p in parts], [p[3] for p in parts]))
+def merged_pairs(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``merged`` of packed pairs."""
+    words, sizes, context, n = (np.concatenate(x) for x in zip(*(unpack(v, *PAIRS) for v in values), strict=True))
+    return merged(words, np.repeat(np.arange(len(words)), sizes.astype(np.int64)), context, n)
 
 
 COUNTED = "part bigint, sub int, pairs binary"
@@ -146,8 +153,7 @@ def _count(ranges: int, heavy: int):
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         word, context = (np.concatenate(x) for x in zip(*held, strict=True))
-        table = pa.table({"w": pa.array(word.view(np.int64)), "c": pa.array(context)}).group_by(["w", "c"], use_threads=False).aggregate([([], "count_all")])
-        word, context, n = merged(table.column("w").to_numpy().view(np.uint64), table.column("c").to_numpy(), table.column("count_all").to_numpy())
+        word, context, n = merged(word, np.arange(len(word)), context)
         cuts = _runs(word)
         large = np.repeat(np.diff(cuts) >= heavy, np.diff(cuts))
         sub = np.where(large, 1 + (context >> np.uint32(CONTEXT_BITS - 10)).astype(np.int32), 0)
@@ -175,7 +181,7 @@ def _count(ranges: int, heavy: int):
 
 
 def _merge_sub(table: pa.Table) -> pa.Table:
-    pairs = merged(*unpack_pairs(table.column("pairs").to_pylist()))
+    pairs = merged_pairs(table.column("pairs").to_pylist())
     return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "pairs": pa.array([pack_pairs(*pairs)], pa.binary())})
 
 
@@ -185,7 +191,7 @@ NAMES = [c.split()[0] for c in STATE.split(", ")]
 
 def _first_state(table: pa.Table) -> pa.Table:
     """A range's pairs with every dish at one table, and what the discounts need."""
-    word, context, n = merged(*unpack_pairs(table.column("pairs").to_pylist()))
+    word, context, n = merged_pairs(table.column("pairs").to_pylist())
     cuts = _runs(word)
     c = np.add.reduceat(n, cuts[:-1]) if len(n) else n
     many = int((n > 1).sum())
@@ -277,13 +283,14 @@ def log_stirling(d: float, most: int) -> np.ndarray:
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """log of the gamma function of positive numbers, by Stirling's series from 8 on."""
-    x = np.asarray(x, float)
-    shift = np.zeros_like(x)
+    x = np.atleast_1d(np.asarray(x, float))
     low = x < 8
     y = np.where(low, x + 8, x)
-    for i in range(8):
-        shift = shift + np.where(low, np.log(np.where(low, x + i, 1.0)), 0.0)
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
+    out = (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+    if low.any():
+        v = x[low]
+        out[low] -= np.log(v * (v + 1) * (v + 2) * (v + 3) * (v + 4) * (v + 5) * (v + 6) * (v + 7))
+    return out
 
 
 def _saddle(d: float, n: float, t: np.ndarray) -> np.ndarray:
@@ -551,19 +558,21 @@ class Lookup:
         out.keys, out.own = self.keys[lo:hi] - (i << CONTEXT_BITS), self.own[lo:hi]
         return out
 
-    def of(self, word: np.ndarray, context: np.ndarray, shares: list[np.ndarray], unknown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(count, probability) of tokens in their restaurants."""
-        at = np.searchsorted(self.words, word)
+    def of(self, words: np.ndarray, sizes: np.ndarray, context: np.ndarray, shares: list[np.ndarray], unknown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The count of each word, and the probability of each of its tokens (``sizes`` of a word) in their restaurants."""
+        at = np.searchsorted(self.words, words)
         at[at == len(self.words)] = 0
-        known = self.words[at] == word if len(self.words) else np.zeros(len(word), bool)
-        key = (at.astype(np.int64) << CONTEXT_BITS) | context
-        pair = np.searchsorted(self.keys, key)
-        pair[pair == len(self.keys)] = 0
-        p = np.where(known & (self.keys[pair] == key), self.own[pair], 0.0) if len(self.keys) else np.zeros(len(word))
+        known = self.words[at] == words if len(self.words) else np.zeros(len(words), bool)
+        who = np.repeat(np.arange(len(words)), sizes)
+        p = np.zeros(len(context))
+        if known.any():
+            key = (at[who] << CONTEXT_BITS) | context
+            pair = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            p = np.where(known[who] & (self.keys[pair] == key), self.own[pair], 0.0)
         for s, share in enumerate(shares):
-            parent = np.where(known, self.parents[s][at], unknown[s]) if len(self.words) else unknown[s]
-            p = p + share[context] * parent / len(shares)
-        return np.where(known, self.counts[at], 0.0) if len(self.words) else np.zeros(len(word)), p
+            parent = np.where(known, self.parents[s][at], unknown[s]) if len(self.words) else np.full(len(words), unknown[s])
+            p += share[context] * (parent / len(shares))[who]
+        return np.where(known, self.counts[at], 0.0) if len(self.words) else np.zeros(len(words)), p
 
 
 SENT = "part bigint, unit bigint, tokens binary"
@@ -576,18 +585,21 @@ def _sent(ranges: int, hot: dict[int, tuple[int, int]]):
         word, context, per_text, ids, valid, held_out = (np.concatenate(x) for x in zip(*held, strict=True))
         doc = np.repeat(np.arange(len(per_text), dtype=np.uint32), per_text)
         rows = [(-1 - unit % ranges, pack(ids, valid, held_out, per_text.astype("<i8")))]
-        order = np.argsort(word, kind="stable")
+        order = np.argsort(word)
         word, context, doc = word[order], context[order], doc[order]
         part = range_of(word, ranges)
         for h, (base, salts) in hot.items():
             lo, hi = (np.searchsorted(word, np.uint64(h), side=side) for side in ("left", "right"))
             part[lo:hi] = base + unit % salts
-        order = np.argsort(part, kind="stable")
-        cuts = _runs(part[order])
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            own = order[a:b]
-            runs = _runs(word[own])
-            rows.append((int(part[own[0]]), pack(word[own][runs[:-1]], np.diff(runs).astype("<u4"), context[own], doc[own])))
+        # Words are in order, and so are their ranges; a hot word's run stands between two runs of its range.
+        cuts = _runs(part)
+        pieces: dict[int, list[slice]] = {}
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            pieces.setdefault(int(part[a]), []).append(slice(a, b))
+        for p, own in pieces.items():
+            w, c, at = (np.concatenate([x[i] for i in own]) if len(own) > 1 else x[own[0]] for x in (word, context, doc))
+            runs = _runs(w)
+            rows.append((p, pack(w[runs[:-1]], np.diff(runs).astype("<u4"), c, at)))
         for p, value in rows:
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([unit], pa.int64()), pa.array([value], pa.binary())], ["part", "unit", "tokens"])
 
@@ -632,9 +644,12 @@ def _scored(shared, hot: dict[int, tuple[int, int]], n_tokens: int, n_types: int
                 rows.append((unit, True, value))
                 continue
             words, sizes, context, doc = unpack(value, "<u8", "<u4", "<u4", "<u4")
-            c, p = lookup.of(np.repeat(words, sizes), context, shares, unknown)
-            place, at = np.unique(doc, return_inverse=True)
-            sums = [np.bincount(at, x, len(place)) for x in (np.log10((c + 1) / (n_tokens + n_types + 1)), np.log10(p), (c > 0).astype(float))]
+            sizes = sizes.astype(np.int64)
+            c, p = lookup.of(words, sizes, context, shares, unknown)
+            base, known = np.log10((c + 1) / (n_tokens + n_types + 1)), (c > 0).astype(float)
+            sums = [np.bincount(doc, x) for x in (np.repeat(base, sizes), np.log10(p), np.repeat(known, sizes))]
+            place = np.flatnonzero(np.bincount(doc))
+            sums = [x[place] for x in sums]
             rows.append((unit, False, pack(place.astype("<u4"), sums[0], sums[1].astype("<f4"), sums[2].astype("<u4"))))
         columns = list(zip(*rows, strict=True)) if rows else [()] * 3
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("unit", "ids", "sums"), columns, (pa.int64(), pa.bool_(), pa.binary()), strict=True)})

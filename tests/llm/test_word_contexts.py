@@ -33,7 +33,7 @@ def test_every_context_is_a_distribution(spark, small, monkeypatch):
         out = []
         for w in asked:
             own = next((r for r in rows if w in r.words), rows[0])
-            out.append(own.of(np.array([w], np.uint64), np.array([context], np.uint32), model.shares, model.unknown())[1][0])
+            out.append(own.of(np.array([w], np.uint64), np.array([1]), np.array([context], np.uint32), model.shares, model.unknown())[1][0])
         return out
 
     for context in np.unique(np.append(contexts, hpylm.restaurants(asked))):
