@@ -178,7 +178,7 @@ def weighted_rows(df: DataFrame, features: str = SCALED, label: str = "label") -
 
 
 def fit_svc_weighted(df: DataFrame, features: str = SCALED, label: str = "label", settings: ModelSettings = ModelSettings(),
-                     name: str = SVC, tol: float = 1e-4, partitions: int | None = None):
+                     name: str = SVC, tol: float = 1e-3, partitions: int | None = None):
     """M3 on weighted rows, ended when the objective settles.
 
     On rows that a plane separates the hinge loss keeps falling ever more slowly as the

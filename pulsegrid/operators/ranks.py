@@ -194,6 +194,11 @@ def row_range(df: DataFrame, start: int, stop: int, seed: int, key: str | Sequen
 def range_of(order: SeededOrder, start: int, stop: int, position: str = "pos") -> DataFrame:
     start, stop = max(0, start), min(stop, order.total())
     rows = order.between(order.cut(start), order.cut(stop))
+    if stop - start <= LEAF:
+        # So few rows that one task sorts them; no table is written.
+        content = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+        placed = F.row_number().over(Window.orderBy(*shuffle_order(order.seed, order.keys), content))
+        return rows.withColumn(position, placed.cast("long") - 1 + F.lit(start).cast("long"))
     numbered = with_positions(rows, shuffle_order(order.seed, order.keys), position)
     return numbered.withColumn(position, F.col(position) + F.lit(start))
 
