@@ -5,8 +5,15 @@ kept, and returns a DataFrame; all but the last return the columns of
 ``documents``.  ``run`` writes each stage's result as Parquet below the shared
 checkpoint folder and reads it again as the next one's input.
 
-No SQL can state the fitted classifier's decisions, so ``ORACLE_SQL`` is None;
-the tests hold every stage against a brute-force version on small tables.
+No SQL can state the fitted classifier's decisions, so ``ORACLE_SQL`` is None.
+The tests hold the near-duplicate, decontamination and secret stages against
+brute force, the quality stage against its operator's report, packing against its input,
+and ``run`` against the chain of these, on small tables.
+
+In every stage a NULL text counts as the empty text and stays NULL where the row stays,
+repeated rows and rows without an id are rows of their own, ties do not change which rows
+stay, long texts are read whole, an empty table gives no rows, and further columns come
+through whatever their names (all but packing, which returns pieces).
 """
 
 from __future__ import annotations
@@ -34,7 +41,10 @@ def restored(rows: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject (score of at least its threshold)."""
+    """Documents that the classifier does not reject (score of at least its threshold).
+
+    Rows of one text have one score, so all stay or all go; an empty text is scored like any other.
+    """
     weights = quality.fit(docs, read_table(spark, sf_dir, "labels"), lambda c: ~quality.is_held_out(c))
     rows, names = shielded(docs)
     return restored(quality.score(rows, weights, names["text"]).where("predicted = 1"), names)
@@ -53,14 +63,17 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
+    """Documents without any benchmark window; a text without words has none and stays."""
     rows, names = shielded(docs)
     hits = decontaminate.scan(rows, read_table(spark, sf_dir, "benchmark"), names["text"])
     return restored(hits.where(F.size("hit_ranges") == 0), names)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret in a text replaced by a mark; n_chars follows the new text."""
+    """All documents, every secret in a text replaced by a mark; n_chars follows the new text.
+
+    Overlapping secrets become one mark; a row without secrets, or without a text, stays as it is.
+    """
     _, findings = secrets.scan_step(docs.select("text"), *secrets.empty_ledger(docs))
     rows, names = shielded(docs)
     rows = secrets.at_paths(rows, findings, text=names["text"])
@@ -74,7 +87,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, packed into sequences."""
+    """The pieces of all documents, packed into sequences; an empty text is its end id alone, repeated rows are packed each."""
     return packing.pack(docs, tokenizer_path())
 
 
