@@ -3,7 +3,7 @@
 ``read_arc`` parses legacy ARC archives: the version block names the version
 (1: five header fields, 2: ten), each record's header line declares its length,
 and the block is cut by that length alone, so a payload may hold anything.
-``to_warc`` synthesises WARC records from them: a record id (a name-based UUID
+``convert`` synthesises WARC records from them: a record id (a name-based UUID
 of the archive, offset, URI and date), the date as a timestamp, the type and
 block and payload digests.  Records with an equal payload become one response
 and revisits of it.  ``write_warc`` writes WARC files through Spark's text
@@ -17,7 +17,13 @@ Edge cases: a NULL payload is empty; an empty payload has a digest like any
 other; a URL's white space and control characters are percent-encoded, and a
 NULL URL becomes ``urn:none``; repeated rows are separate records; a record
 without a page id takes part with NULL, smaller than every id; rows that tie on
-the largest id of a group are all responses; an empty table gives no rows.
+the largest id of a group are all responses; an empty table gives no rows; other
+columns, and their names, are not used.  A header line that does not hold (too few
+fields, no date or length, an end beyond the archive, an unknown version) ends neither the archive
+nor the job: the bytes up to the next header that does are one record of kind
+``damaged`` with the reason, and go to the WARC file as they are.  Without a version block a
+header's own number of fields names the version.  Spaces in a content type are kept; bytes that
+are no UTF-8 are percent-encoded.
 """
 
 from __future__ import annotations
@@ -33,12 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_bytes, bounded, written
+from pulsegrid.llm.common import as_bytes, written
 from pulsegrid.session import scratch_path
 
 SEGMENT_BYTES = 16 << 20
-#: Groups of equal payloads (about 100 bytes each) that may be broadcast; beyond, a shuffle join.
+#: Groups of equal payloads (about 100 bytes each) that may be broadcast; beyond, only those with very many rows are.
 BROADCAST_GROUPS = 500_000
+#: Rows of a group up to which a shuffle join may bring them to one task.
+HOT_ROWS = 100_000
 
 # The header fields of both versions.
 FIELDS = {
@@ -108,28 +116,68 @@ def pages_to_arc(pages: DataFrame, key: str = "page_id", url: str = "url", paylo
     return rows.mapInArrow(run, "archive string, data binary")
 
 
+def header_text(raw: bytes) -> str:
+    return re.sub("[\udc80-\udcff]", lambda m: f"%{ord(m[0]) - 0xDC00:02X}", raw.decode("utf-8", "surrogateescape"))
+
+
+def arc_header(data: bytes, at: int, fields: list[str] | None) -> dict | str:
+    """The header line at ``at`` with its block's ``start`` and ``end``, or the reason why it does not hold."""
+    stop = data.find(b"\n", at)
+    if stop < 0:
+        return "the header line has no end"
+    parts = data[at:stop].rstrip(b"\r").split(b" ")
+    names = fields or next((f for f in FIELDS.values() if len(f) == len(parts)), None)
+    if names is None or len(parts) < len(names):
+        return f"{len(parts)} header fields"
+    # Fields beyond the version's are spaces in the content type.
+    mime = names.index("Content-type")
+    beyond = len(parts) - len(names)
+    parts[mime: mime + beyond + 1] = [b" ".join(parts[mime: mime + beyond + 1])]
+    head = dict(zip(names, parts, strict=True))
+    if not re.fullmatch(rb"[0-9]{4,14}", head["Archive-date"]):
+        return "no date"
+    if not re.fullmatch(rb"[0-9]{1,18}", head["Archive-length"]):
+        return "no length"
+    end = stop + 1 + int(head["Archive-length"])
+    if end > len(data):
+        return f"{end - stop - 1} bytes declared, {len(data) - stop - 1} left"
+    return {**{k: header_text(v) for k, v in head.items()}, "start": stop + 1, "end": end}
+
+
+_HEADER_LINE = re.compile(rb"(?m)^[^ \r\n]+(?: [^ \r\n]+){3,20} [0-9]{1,18}\r?$")
+
+
+def next_header(data: bytes, after: int, fields: list[str] | None) -> int:
+    """Where the next header line that holds begins, its block followed by a line's or the archive's end."""
+    line = data.find(b"\n", after)
+    for m in _HEADER_LINE.finditer(data, line + 1) if line >= 0 else ():
+        head = arc_header(data, m.start(), fields)
+        if not isinstance(head, str) and data[head["end"]: head["end"] + 1] in (b"", b"\r", b"\n"):
+            return m.start()
+    return len(data)
+
+
 def arc_records(data: bytes) -> Iterator[dict]:
-    """The records of one ARC archive; ValueError on a header or length that does not hold."""
+    """The records of one ARC archive; a stretch without a header that holds is one record with an ``error``."""
     at, fields = 0, None
     while at < len(data):
         if data[at] in b"\r\n":
             at += 1
             continue
-        stop = data.index(b"\n", at)
-        parts = data[at:stop].decode("utf-8").rstrip("\r").split(" ")
-        n = int(parts[-1])
-        block = data[stop + 1: stop + 1 + n]
-        if len(block) != n:
-            raise ValueError(f"record at {at} declares {n} bytes, {len(block)} are left")
-        if fields is None:
-            if not parts[0].startswith("filedesc:"):
-                raise ValueError("an ARC archive starts with its version block")
-            fields = FIELDS[int(block.split(b" ", 1)[0])]
-        if len(parts) != len(fields):
-            raise ValueError(f"record at {at} has {len(parts)} header fields, its version has {len(fields)}")
-        head = dict(zip(fields, parts, strict=True))
-        yield {"offset": at, "url": head["URL"], "ip": head["IP-address"], "date": head["Archive-date"], "mime": head["Content-type"], "block": block}
-        at = stop + 1 + n
+        head = arc_header(data, at, fields)
+        if not isinstance(head, str) and fields is None and head["URL"].startswith("filedesc:"):
+            version = re.match(rb"[0-9]{1,9}", data[head["start"]: head["end"]])
+            fields = FIELDS.get(int(version[0])) if version else None
+            if fields is None:
+                head = "unknown version"
+        if isinstance(head, str):
+            stop = next_header(data, at, fields)
+            yield {"offset": at, "url": None, "ip": None, "date": "", "mime": "application/octet-stream", "block": data[at:stop], "error": head}
+            at = stop
+            continue
+        yield {"offset": at, "url": head["URL"], "ip": head["IP-address"], "date": head["Archive-date"], "mime": head["Content-type"],
+               "block": data[head["start"]: head["end"]], "error": None}
+        at = head["end"]
 
 
 def warc_date(date: str) -> str:
@@ -144,16 +192,17 @@ def http_parts(block: bytes) -> tuple[bytes, bytes]:
     return head + sep, payload
 
 
-def _header(block: bytes, name: bytes) -> bytes | None:
-    found = re.search(rb"(?im)^" + re.escape(name) + rb":[ \t]*([^\r\n]*)", block)
-    return found[1] if found else None
+def _page(head: bytes) -> int | None:
+    """The page id among HTTP headers; None if there is none or it is no number."""
+    found = re.search(rb"(?im)^X-Page-Id:[ \t]*(-?[0-9]{1,19})[ \t]*\r?$", head)
+    return int(found[1]) if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
 
 
-RECORDS = "archive string, record_id string, url string, ip string, warc_date string, mime string, kind string, page_id bigint, payload_digest string, payload_bytes bigint, block binary"
+RECORDS = "archive string, record_id string, url string, ip string, warc_date string, mime string, kind string, page_id bigint, payload_digest string, payload_bytes bigint, error string, block binary"
 
 
 def read_arc(archives: DataFrame) -> DataFrame:
-    """Records of (archive, data) rows, with what WARC needs of them; ``kind``: http, filedesc or resource."""
+    """Records of (archive, data) rows, with what WARC needs of them; ``kind``: http, filedesc, resource or damaged (``error`` has the reason)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split(" ")[0] for f in RECORDS.split(", ")]
@@ -162,14 +211,15 @@ def read_arc(archives: DataFrame) -> DataFrame:
             for archive, data in zip(batch.column("archive").to_pylist(), as_bytes(batch.column("data")), strict=True):
                 rows, size = [], 0
                 for r in arc_records(data):
-                    http = r["block"].startswith(b"HTTP/")
+                    http = r["error"] is None and r["block"].startswith(b"HTTP/")
                     head, payload = http_parts(r["block"]) if http else (b"", r["block"])
-                    page = _header(head, b"X-Page-Id")
+                    url = r["url"] if r["error"] is None else f"urn:arc:{archive}:{r['offset']}"
+                    kind = "damaged" if r["error"] else "filedesc" if url.startswith("filedesc:") else "http" if http else "resource"
                     rows.append({
-                        "archive": archive, "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}|{r['offset']}|{r['url']}|{r['date']}')}",
-                        "url": r["url"], "ip": r["ip"], "warc_date": warc_date(r["date"]), "mime": r["mime"],
-                        "kind": "filedesc" if r["url"].startswith("filedesc:") else "http" if http else "resource",
-                        "page_id": int(page) if page else None, "payload_digest": digest32(payload), "payload_bytes": len(payload), "block": r["block"]})
+                        "archive": archive, "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}|{r['offset']}|{url}|{r['date']}')}",
+                        "url": url, "ip": r["ip"], "warc_date": warc_date(r["date"]), "mime": r["mime"],
+                        "kind": kind, "page_id": _page(head), "payload_digest": digest32(payload), "payload_bytes": len(payload),
+                        "error": r["error"], "block": r["block"]})
                     size += len(r["block"])
                     if size > SEGMENT_BYTES // 4:
                         yield pa.RecordBatch.from_pylist(rows, schema)
@@ -180,20 +230,46 @@ def read_arc(archives: DataFrame) -> DataFrame:
     return archives.select("archive", "data").mapInArrow(run, RECORDS)
 
 
+def met(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``side``, which has one row per key and in ``held`` the number of ``rows`` with it.
+
+    A small side is broadcast.  Of a larger one the rows of hot keys are: as many rows
+    hold each of them, there are at most ``BROADCAST_GROUPS``.  The other keys meet in a shuffle join.
+    """
+    n, total = side.agg(F.count(F.lit(1)), F.sum("held")).first()
+    if n <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(side), keys)
+    often = F.col("held") > max(HOT_ROWS, total // BROADCAST_GROUPS)
+    hot = side.where(often)
+    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(side.where(~often), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(cold)
+
+
 def with_revisits(records: DataFrame, least: int = 0) -> DataFrame:
     """Records with ``record_type`` and ``refers_to_id``: of equal payloads of at least ``least`` bytes the largest page id responds.
 
-    Only the digests of payloads that repeat are joined back: one row per group,
-    broadcast if the counted groups are few, else in a shuffle join.
+    Few groups of equal payloads are broadcast to the records.  Else ids and digests alone
+    meet the groups, and what they decide is put back by the record's own columns, so
+    records of one payload are never brought together.
     """
+    digest = ["payload_digest", "payload_bytes"]
     http = records.where((F.col("kind") == "http") & (F.col("payload_bytes") >= least))
-    groups = http.groupBy("payload_digest", "payload_bytes").agg(
-        F.count(F.lit(1)).alias("held"), F.max(F.struct("page_id", "record_id")).alias("top"))
-    groups = written(groups.where("held > 1").select("payload_digest", "payload_bytes", F.col("top.page_id").alias("top_page"), F.col("top.record_id").alias("top_id")), "warc-groups")
-    joined = records.join(bounded(groups, BROADCAST_GROUPS), ["payload_digest", "payload_bytes"], "left")
-    revisit = (F.col("kind") == "http") & F.col("top_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top_page"))
-    kind = F.when(F.col("kind") == "filedesc", "warcinfo").when(F.col("kind") == "resource", "resource").when(revisit, "revisit").otherwise("response")
-    return joined.withColumn("record_type", kind).withColumn("refers_to_id", F.when(revisit, F.col("top_id"))).drop("top_page", "top_id")
+    groups = http.groupBy(*digest).agg(F.count(F.lit(1)).alias("held"), F.max(F.struct("page_id", "record_id")).alias("top"))
+    groups = written(groups.where("held > 1").select(*digest, "held", F.col("top.page_id").alias("top_page"), F.col("top.record_id").alias("top_id")), "warc-groups")
+    again = (F.col("kind") == "http") & F.col("top_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top_page"))
+    if groups.count() <= BROADCAST_GROUPS:
+        joined = records.join(F.broadcast(groups.drop("held")), digest, "left").withColumn("refers_to_id", F.when(again, F.col("top_id"))).drop("top_page", "top_id")
+    else:
+        own = ["record_id", *digest, "page_id"]
+        ids = http.select(*own, "kind").distinct()
+        decided = met(ids, groups, digest).where(again).select(*[F.col(c).alias(f"_{c}") for c in own], F.col("top_id").alias("refers_to_id"))
+        same = F.lit(True)
+        for c in own:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        joined = records.join(decided, same & (F.col("kind") == "http"), "left").drop(*[f"_{c}" for c in own])
+    kind = (F.when(F.col("kind") == "filedesc", "warcinfo").when(F.col("kind") != "http", "resource")
+            .when(F.col("refers_to_id").isNotNull(), "revisit").otherwise("response"))
+    return joined.withColumn("record_type", kind)
 
 
 def warc_record(r: dict) -> bytes:
@@ -206,7 +282,7 @@ def warc_record(r: dict) -> bytes:
     if r["record_type"] in ("response", "revisit"):
         head.append(f"WARC-IP-Address: {r['ip']}")
     if r["record_type"] == "revisit":
-        head += [f"WARC-Refers-To: <{r['refers_to_id']}>", "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"]
+        head += [f"WARC-Refers-To: <{r['refers_to_id']}>", f"X-Payload-Length: {r['payload_bytes']}", "WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"]
     http = r["record_type"] in ("response", "revisit")
     head += [f"Content-Type: {'application/http; msgtype=response' if http else r['mime']}", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block
@@ -268,9 +344,8 @@ def read_warc(spark, path: str) -> DataFrame:
                     digest = head["warc-payload-digest"].removeprefix("sha1:")
                     if kind == "response" and digest32(payload) != digest:
                         raise ValueError(f"payload digest of {head['warc-record-id']} does not hold")
-                    page = _header(http, b"X-Page-Id")
                     rows.append((kind, head["warc-record-id"].strip("<>"), head.get("warc-refers-to", "").strip("<>") or None, head["warc-target-uri"],
-                                 int(page) if page else None, len(payload) if kind == "response" else int(_header(http, b"Content-Length")), digest))
+                                 _page(http), len(payload) if kind == "response" else int(head["x-payload-length"]), digest))
                 if rows:
                     kinds = [pa.string()] * 4 + [pa.int64()] * 2 + [pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -298,5 +373,7 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id"]
     first = rows.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long"))
     named = rows.where("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
-    again = rows.where("record_type = 'revisit'").join(named, "refers_to_id", "left")
-    return first.select(*cols).union(again.select(*cols))
+    revisits = rows.where("record_type = 'revisit'")
+    held = revisits.groupBy("refers_to_id").agg(F.count(F.lit(1)).alias("held"))
+    referred = written(held.join(named.dropDuplicates(["refers_to_id"]), "refers_to_id", "left"), "warc-referred")
+    return first.select(*cols).union(met(revisits, referred, ["refers_to_id"]).select(*cols))

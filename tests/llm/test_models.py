@@ -112,12 +112,78 @@ def test_arc_versions_and_lengths():
         got = list(archive.arc_records(data))
         assert [r["url"] for r in got] == ["filedesc://x.arc", "http://a", "dns:b"]
         assert got[1]["block"] == records[0][1] and got[2]["block"] == b""
-        with pytest.raises(ValueError):
-            list(archive.arc_records(data[:-10] if version == 1 else data.replace(b"http://a ", b"http://a - ")))
+        assert all(r["error"] is None for r in got)
+        assert [r["error"] for r in archive.arc_records(data[:-1])] == [None] * 3
     assert archive.warc_date("20200102030405") == "2020-01-02T03:04:05Z"
     assert archive.warc_date("20200102") == "2020-01-02T00:00:00Z"
 
 
+@pytest.mark.parametrize("version", [1, 2])
+def test_damaged_arc_records_keep_the_rest(version):
+    """Every byte is in a record, the records around a damaged header are read, and the reason is told."""
+    blocks = [("http://a", b"HTTP/1.1 200 OK\r\n\r\nfirst"), ("http://b", b"second\nline one two\n"), ("http://c", b"third")]
+    data = archive.arc_segment("x.arc", version, "20200102030405", blocks)
+
+    def read(raw):
+        return [(r["url"], r["block"], r["error"]) for r in archive.arc_records(raw)]
+
+    cases = {
+        b"http://b 0.0.0.0 2020": (b"http://b 0.0.0.0 x2020", "no date"),
+        b"http://b 0.0.0.0 ": (b"http://b ", f"{4 if version == 1 else 9} header fields"),
+        b"\nhttp://b ": (b"\nhttp://b  ", "no date"),
+    }
+    for old, (new, reason) in cases.items():
+        raw = data.replace(old, new)
+        got = read(raw)
+        assert [g[0] for g in got] == ["filedesc://x.arc", "http://a", None, "http://c"], reason
+        assert got[2][2] == reason and blocks[1][1] in got[2][1] and got[3][1] == b"third"
+        assert raw[raw.index(b"http://b"):].startswith(got[2][1])
+    # A length beyond the archive, a cut archive, no version block, an unknown version, bytes that are no UTF-8.
+    own = b" %d\n" % len(blocks[1][1])
+    got = read(data.replace(own + b"second", b" 99999\nsecond"))
+    assert got[2][0] is None and got[2][2].startswith("99999 bytes declared") and got[3][:2] == ("http://c", b"third")
+    got = read(data[:-3])
+    assert got[3][0] is None and got[3][2] == "5 bytes declared, 3 left" and got[3][1].endswith(b"thi")
+    start = data.index(b"http://a ")
+    assert [g[0] for g in read(data[start:])] == ["http://a", "http://b", "http://c"]
+    got = read(data.replace(b"%d 0 pulsegrid" % version, b"7 0 pulsegrid"))
+    assert got[0][2] == "unknown version" and [g[0] for g in got[1:]] == ["http://a", "http://b", "http://c"]
+    got = read(data.replace(b"http://b ", b"http://b\xff\xc3\xa9 "))
+    assert got[2] == ("http://b%FFé", blocks[1][1], None)
+    got = list(archive.arc_records(data.replace(b"text/html", b"text/html; charset=x")))
+    assert [r["mime"] for r in got[1:]] == ["text/html; charset=x"] * 3 and got[2]["block"] == blocks[1][1]
+    assert read(b"") == [] and read(b"junk") == [(None, b"junk", "the header line has no end")]
+
+
+def test_damaged_archives_go_to_warc_as_they_are(spark, tmp_path):
+    good = archive.arc_segment("g.arc", 1, "20200102030405", [("http://a", b"HTTP/1.1 200 OK\r\nX-Page-Id: 5x\r\n\r\nbody")] * 2)
+    rows = [("g.arc", good), ("b.arc", b"\xff\xfe broken\n" + good), ("n.arc", None)]
+    archives = spark.createDataFrame([(1, *r) for r in rows], "kind int, archive string, data binary")
+    kinds = [tuple(r) for r in archive.read_arc(archives).groupBy("kind", "error").count().collect()]
+    assert sorted(kinds, key=str) == sorted([("damaged", "2 header fields", 1), ("filedesc", None, 2), ("http", None, 4)], key=str)
+    path = str(tmp_path / "w")
+    archive.convert(archives, path)
+    seen = [(h["warc-type"], b) for f in (tmp_path / "w").glob("part-*") for h, b in archive.warc_records(zlib.decompress(f.read_bytes(), 47))]
+    assert [b for k, b in seen if k == "resource"] == [b"\xff\xfe broken\n"]
+    assert archive.read_warc(spark, path).where("page_id is null and payload_bytes = 4").count() == 4
+
+
+def test_many_groups_of_equal_payloads(spark, monkeypatch):
+    """Beyond the broadcast bound: hot groups and the others give what the broadcast gives, a null id and repeated archives included."""
+    rows = [(i, f"http://{i}", "hot" if i % 3 == 0 else f"p{i % 40}") for i in range(300)]
+    rows += [(None, "n", "hot"), (7, "http://7", "p7"), (297, "http://x", "hot")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives = archive.pages_to_arc(pages.coalesce(2))
+    archives = archives.union(archives)
+    cols = ["record_id", "page_id", "record_type", "refers_to_id"]
+    want = rows_of(archive.with_revisits(archive.read_arc(archives)).select(*cols))
+    trip = rows_of(archive.round_trip(pages))
+    monkeypatch.setattr(archive, "BROADCAST_GROUPS", 10)
+    monkeypatch.setattr(archive, "HOT_ROWS", 20)
+    assert rows_of(archive.with_revisits(archive.read_arc(archives)).select(*cols)) == want
+    assert rows_of(archive.round_trip(pages)) == trip
+
+
 def test_warc_files_hold_standard_records(spark, tmp_path):
     path = str(tmp_path / "w")
     archive.convert(archive.pages_to_arc(pages_table(spark)), path)
