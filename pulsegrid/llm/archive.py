@@ -39,14 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import as_bytes, written
+from pulsegrid.llm.common import HOT_ROWS, as_bytes, met, written
 from pulsegrid.session import scratch_path
 
 SEGMENT_BYTES = 16 << 20
 #: Groups of equal payloads (about 100 bytes each) that may be broadcast; beyond, only those with very many rows are.
 BROADCAST_GROUPS = 500_000
-#: Rows of a group up to which a shuffle join may bring them to one task.
-HOT_ROWS = 100_000
 
 # The header fields of both versions.
 FIELDS = {
@@ -230,21 +228,6 @@ def read_arc(archives: DataFrame) -> DataFrame:
     return archives.select("archive", "data").mapInArrow(run, RECORDS)
 
 
-def met(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` joined with ``side``, which has one row per key and in ``held`` the number of ``rows`` with it.
-
-    A small side is broadcast.  Of a larger one the rows of hot keys are: as many rows
-    hold each of them, there are at most ``BROADCAST_GROUPS``.  The other keys meet in a shuffle join.
-    """
-    n, total = side.agg(F.count(F.lit(1)), F.sum("held")).first()
-    if n <= BROADCAST_GROUPS:
-        return rows.join(F.broadcast(side), keys)
-    often = F.col("held") > max(HOT_ROWS, total // BROADCAST_GROUPS)
-    hot = side.where(often)
-    cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(side.where(~often), keys)
-    return rows.join(F.broadcast(hot), keys).unionByName(cold)
-
-
 def with_revisits(records: DataFrame, least: int = 0) -> DataFrame:
     """Records with ``record_type`` and ``refers_to_id``: of equal payloads of at least ``least`` bytes the largest page id responds.
 
@@ -262,7 +245,7 @@ def with_revisits(records: DataFrame, least: int = 0) -> DataFrame:
     else:
         own = ["record_id", *digest, "page_id"]
         ids = http.select(*own, "kind").distinct()
-        decided = met(ids, groups, digest).where(again).select(*[F.col(c).alias(f"_{c}") for c in own], F.col("top_id").alias("refers_to_id"))
+        decided = met(ids, groups, digest, BROADCAST_GROUPS, HOT_ROWS).where(again).select(*[F.col(c).alias(f"_{c}") for c in own], F.col("top_id").alias("refers_to_id"))
         same = F.lit(True)
         for c in own:
             same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
@@ -376,4 +359,4 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     revisits = rows.where("record_type = 'revisit'")
     held = revisits.groupBy("refers_to_id").agg(F.count(F.lit(1)).alias("held"))
     referred = written(held.join(named.dropDuplicates(["refers_to_id"]), "refers_to_id", "left"), "warc-referred")
-    return first.select(*cols).union(met(revisits, referred, ["refers_to_id"]).select(*cols))
+    return first.select(*cols).union(met(revisits, referred, ["refers_to_id"], BROADCAST_GROUPS, HOT_ROWS).select(*cols))

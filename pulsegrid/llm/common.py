@@ -13,6 +13,8 @@ from pulsegrid.session import scratch_path
 
 #: Bytes of text that one vectorised pass handles (its arrays take about 40 bytes each).
 BLOCK_BYTES = 1 << 20
+#: Rows of a key up to which a shuffle join may bring them to one task.
+HOT_ROWS = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,22 @@ def bounded(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def met(rows: DataFrame, side: DataFrame, keys: list[str], most: int, hot: int = HOT_ROWS, how: str = "inner") -> DataFrame:
+    """``rows`` joined (inner or left) with ``side``, which has one row per key and in ``held`` the number of ``rows`` with it.
+
+    A side of at most ``most`` rows is broadcast.  Of a larger one the rows of hot keys are: as many
+    rows hold each of them, there are at most ``most``.  The other keys, each of at most
+    ``hot`` rows or a ``most``-th of all, meet in a shuffle join.
+    """
+    n, total = side.agg(F.count(F.lit(1)), F.sum("held")).first()
+    if n <= most:
+        return rows.join(F.broadcast(side), keys, how)
+    often = F.col("held") > max(hot, total // most)
+    hottest = side.where(often)
+    cold = rows.join(F.broadcast(hottest.select(*keys)), keys, "left_anti").join(side.where(~often), keys, how)
+    return rows.join(F.broadcast(hottest), keys).unionByName(cold)
+
+
 def crc32_text(col) -> object:
     """Unsigned CRC-32 of a value's text; a NULL counts as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))

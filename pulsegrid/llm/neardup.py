@@ -41,13 +41,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import SPACE_WORDS, as_bytes, bounded, hash_words, mix64, slices, written
+from pulsegrid.llm.common import HOT_ROWS, SPACE_WORDS, as_bytes, bounded, hash_words, met, mix64, slices, written
 
 BANDS, ROWS = 36, 5
 #: Signature comparisons in one batch of the sequential test.
 BATCH = 20
 #: Rows of the small side that a broadcast may have (16 bytes each); beyond, a shuffle join.
 BROADCAST_ROWS = 1_000_000
+#: Buckets or shingles (up to 100 bytes each) that a broadcast may have; beyond, only those with very many classes are.
+MET_ROWS = 500_000
+#: Classes of a shingle that meet another block of as many in one place.
+BLOCK_CLASSES = 256
 
 _RNG = np.random.default_rng(11)
 _SCALE = _RNG.integers(1, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -200,8 +204,8 @@ class NearDuplicates:
     def entries(self) -> DataFrame:
         """(band, cid, n) of the buckets that hold more than one class, with the bucket's size."""
         rows = self.classes.select(F.explode("bands").alias("band"), "cid", F.col("n_shingles").alias("n"))
-        shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        return rows.join(shared, "band")
+        shared = written(rows.groupBy("band").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "nd-shared")
+        return met(rows, shared, ["band"], MET_ROWS, HOT_ROWS)
 
     def _size_fits(self, a: str, b: str):
         return (F.col(a) * 100 >= F.col(b) * self.percent) & (F.col(b) * 100 >= F.col(a) * self.percent)
@@ -227,16 +231,17 @@ class NearDuplicates:
         """Each class with the most central other member of each of its buckets."""
         weight = entries.groupBy("cid").agg(F.sum("held").alias("weight"))
         weighed = entries.join(weight, "cid")
-        lead = weighed.groupBy("band").agg(F.max(F.struct("weight", (-F.col("cid")).alias("cid"), "n")).alias("l")).select(
-            "band", (-F.col("l.cid")).alias("lead"), F.col("l.n").alias("lead_n"))
-        pairs = entries.join(lead, "band").where((F.col("cid") != F.col("lead")) & self._size_fits("n", "lead_n"))
+        lead = weighed.groupBy("band").agg(F.max(F.struct("weight", (-F.col("cid")).alias("cid"), "n")).alias("l"), F.max("held").alias("held")).select(
+            "band", "held", (-F.col("l.cid")).alias("lead"), F.col("l.n").alias("lead_n"))
+        pairs = met(entries.drop("held"), written(lead, "nd-leads"), ["band"], MET_ROWS, HOT_ROWS).where((F.col("cid") != F.col("lead")) & self._size_fits("n", "lead_n"))
         return pairs.select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct()
 
     def open_entries(self, entries: DataFrame, labels: DataFrame) -> DataFrame:
-        """(band, cid, n, comp) of the buckets that hold more than one component."""
+        """(band, cid, n, comp, low) of the buckets that hold more than one component; ``low`` is the bucket's least n."""
         marked = entries.select("band", "cid", "n").join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-        split = marked.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-        return written(marked.join(split, "band", "left_semi"), "nd-open")
+        split = marked.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("low"), F.count(F.lit(1)).alias("held")).where("lo < hi")
+        split = written(split.select("band", "low", "held"), "nd-split")
+        return written(met(marked, split, ["band"], MET_ROWS, HOT_ROWS).drop("held"), "nd-open")
 
     def rest_pairs(self, opened: DataFrame, texts: DataFrame, tested: DataFrame) -> DataFrame:
         """Candidates among the open classes, in different components and not tested yet.
@@ -246,24 +251,33 @@ class NearDuplicates:
         that one of its first n - common + 1 shingles, rarest first, is shared; and after the
         first shared one both sides must have enough left.
         Of the classes that meet at a shingle, only those outside the largest
-        component there look for partners.
+        component there look for partners.  They and all classes there are dealt into blocks of
+        ``BLOCK_CLASSES``, and block meets block, so that no task gets a whole hot shingle.
         """
         t = self.percent
         shingles = written(texts.mapInArrow(_shingles(self.shingle), "cid bigint, shingle bigint"), "nd-shingles")
-        floor = opened.groupBy("band").agg(F.min("n").alias("low"))
-        info = opened.join(floor, "band").groupBy("cid").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.min("low").alias("low"))
+        info = opened.groupBy("cid").agg(F.first("n").alias("n"), F.first("comp").alias("comp"), F.min("low").alias("low"))
         low = F.greatest("low", F.ceil(F.col("n") * t / 100))
         info = info.select("cid", "n", "comp", (F.col("n") - F.ceil((F.col("n") + low) * t / (100 + t)) + 1).alias("prefix"))
-        df = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-        rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "shingle"))
-        rows = shingles.join(df, "shingle").withColumn("rank", rank).join(info, "cid").where("rank <= prefix and df > 1")
+        shared = written(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "nd-frequent")
+        df = F.coalesce("held", F.lit(1))
+        rank = F.row_number().over(Window.partitionBy("cid").orderBy(df, "shingle"))
+        rows = met(shingles, shared, ["shingle"], MET_ROWS, HOT_ROWS, "left").withColumn("rank", rank).join(info, "cid").where("rank <= prefix and held > 1")
         # What is left from here on, this shingle included: a bound on what is shared if it is the first in common.
         rows = written(rows.select("shingle", "cid", "n", "comp", (F.col("n") - F.col("rank") + 1).alias("rest")), "nd-prefixes")
-        sizes = rows.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("held"))
-        main = sizes.groupBy("shingle").agg(F.max_by("comp", F.struct("held", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        rows = rows.join(main.select("shingle", "main"), "shingle")
-        a, b = (rows.select("shingle", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "comp", "rest", "main")]) for s in "ab")
-        pairs = a.where("comp_a != main_a").join(b, "shingle").where(
+        sizes = rows.groupBy("shingle", "comp").agg(F.count(F.lit(1)).alias("size"))
+        main = sizes.groupBy("shingle").agg(
+            F.max_by("comp", F.struct("size", "comp")).alias("main"), F.sum("size").alias("held"), F.max("size").alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        main = written(main.select("shingle", "main", "held", F.ceil(F.col("held") / BLOCK_CLASSES).cast("int").alias("blocks"),
+                                   F.ceil((F.col("held") - F.col("most")) / BLOCK_CLASSES).cast("int").alias("outer_blocks")), "nd-main")
+        rows = met(rows, main, ["shingle"], MET_ROWS, HOT_ROWS)
+
+        def dealt(side: str, own: str, other: str) -> DataFrame:
+            block, everywhere = F.pmod(F.xxhash64("cid"), F.col(own)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+            at = (block.alias("at_a"), everywhere.alias("at_b")) if side == "a" else (everywhere.alias("at_a"), block.alias("at_b"))
+            return rows.where("comp != main" if side == "a" else "true").select("shingle", *at, *[F.col(c).alias(f"{c}_{side}") for c in ("cid", "n", "comp", "rest", "main")])
+
+        pairs = dealt("a", "outer_blocks", "blocks").join(dealt("b", "blocks", "outer_blocks"), ["shingle", "at_a", "at_b"]).where(
             (F.least("rest_a", "rest_b") * (100 + t) >= (F.col("n_a") + F.col("n_b")) * t) &
             (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main_b")) | (F.col("cid_a") < F.col("cid_b"))) & self._size_fits("n_a", "n_b"))
         pairs = pairs.select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()

@@ -57,8 +57,11 @@ def test_near_duplicates_equal_brute_force(which, request):
     assert rows_of(neardup.near_duplicates(docs)) == sort_rows(brute_groups(pairs(docs)))
 
 
-def test_near_duplicates_of_edited_copies(spark):
-    """A hub with edited copies that are not all alike, and a chain."""
+@pytest.mark.parametrize("bounds", [{}, {"MET_ROWS": 30, "HOT_ROWS": 2, "BLOCK_CLASSES": 3}, {"MET_ROWS": 1, "HOT_ROWS": 10**6}])
+def test_near_duplicates_of_edited_copies(spark, monkeypatch, bounds):
+    """A hub with edited copies that are not all alike, and a chain; hot buckets and shingles in blocks, or beyond the broadcast bound."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(neardup, name, value)
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(200)]
     rows = [(0, " ".join(base))]
