@@ -28,7 +28,7 @@ from pulsegrid.operators.features import FEATURES, SCALED, array_to_features, as
 from pulsegrid.operators.logs import every_kth_logged, finite
 from pulsegrid.operators.score import linear_predict_fn, score_batches
 from pulsegrid.sources.csv import read_signal_csv, read_signal_csv_inferred
-from pulsegrid.sources.tables import read_table
+from pulsegrid.sources.tables import read_table, table_version
 from pulsegrid.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -426,15 +426,15 @@ _INFERENCE_RESULTS: dict = {}
 
 
 def _inference(spark, sf_dir):
-    """One inference flow per session and data folder, shared by the three queries below."""
+    """One inference flow per session and state of the table's files, shared by the three queries below."""
     from pulsegrid.plans.inference import inference_flow
 
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _INFERENCE_RESULTS:
-        _INFERENCE_RESULTS[key] = inference_flow(
+    key, version = (id(spark), spark.sparkContext.applicationId, sf_dir), table_version(spark, sf_dir, "embeddings")
+    if _INFERENCE_RESULTS.get(key, (None,))[0] != version:
+        _INFERENCE_RESULTS[key] = version, inference_flow(
             spark, sf_dir, linear_predict_fn(embedding_weights(64), 0.0), seed=SPLIT_SEED,
             fraction=EXACT_FRACTION, first_n=FIRST_N, check_n=CHECK_N, batch_size=BATCH)
-    return _INFERENCE_RESULTS[key]
+    return _INFERENCE_RESULTS[key][1]
 
 
 def q_m7_inference_validation_rows(spark, sf_dir):

@@ -59,7 +59,7 @@ from pulsegrid.plans.catalog import (
 from pulsegrid.plans.classify import embeddings_signal, flagship_result, prepare
 from pulsegrid.session import scratch_path
 from pulsegrid.sources.sinks import load_model, save_model
-from pulsegrid.sources.tables import read_table
+from pulsegrid.sources.tables import read_table, table_version
 
 # ---------------------------------------------------------------------------
 # Fixed values of the model checks.
@@ -256,11 +256,13 @@ _FLAGSHIP_RESULTS: dict = {}
 
 
 def _flagship_result(spark, sf_dir):
-    """One fitted flagship per session and data folder, shared by the queries below."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _FLAGSHIP_RESULTS:
-        _FLAGSHIP_RESULTS[key] = flagship_result(spark, sf_dir)
-    return _FLAGSHIP_RESULTS[key]
+    """One fitted flagship per session and state of the table's files, shared by the queries below."""
+    key, version = (id(spark), spark.sparkContext.applicationId, sf_dir), table_version(spark, sf_dir, "embeddings")
+    if _FLAGSHIP_RESULTS.get(key, (None,))[0] != version:
+        if key in _FLAGSHIP_RESULTS:
+            _FLAGSHIP_RESULTS[key][1].metrics.unpersist()
+        _FLAGSHIP_RESULTS[key] = version, flagship_result(spark, sf_dir)
+    return _FLAGSHIP_RESULTS[key][1]
 
 
 def q_e8_flagship_grid(spark, sf_dir):

@@ -70,3 +70,23 @@ def test_scratch_paths_are_recorded(spark):
 
     p = scratch_path(spark, "probe")
     assert p in scratch_paths() and "probe-" in p
+
+
+def test_remembered_results_follow_the_files(spark, tmp_out):
+    """The inference flow is shared while the table's files stay, and runs again when they change."""
+    from pulsegrid.plans import catalog
+    from pulsegrid.sources.tables import table_version
+
+    path = os.path.join(tmp_out, "embeddings.parquet")
+    emb = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    emb.write.parquet(path)
+    before = table_version(spark, tmp_out, "embeddings")
+    first = catalog._inference(spark, tmp_out)
+    assert table_version(spark, tmp_out, "embeddings") == before
+    assert catalog._inference(spark, tmp_out) is first
+    old = sorted(map(tuple, catalog.q_m7_inference_validation_rows(spark, tmp_out).collect()))
+    emb.where("vec_id % 3 = 0").write.mode("overwrite").parquet(path)
+    assert table_version(spark, tmp_out, "embeddings") != before
+    assert catalog._inference(spark, tmp_out) is not first
+    new = sorted(map(tuple, catalog.q_m7_inference_validation_rows(spark, tmp_out).collect()))
+    assert new != old and all(r[0] % 3 == 0 for r in new)
