@@ -33,10 +33,11 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if table:
-        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{table}.parquet")
-        files = at.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.getFileStatus(at).isDirectory():
-            return reader.parquet(at.toString())
+        # A table that is one file lists itself; a folder lists what it holds, or nothing.
+        at = f"{path.rstrip('/')}/{table}.parquet"
+        listed = spark.read.format("binaryFile").load(at).select("path").head(1)
+        if not (listed and listed[0]["path"].endswith(f"/{table}.parquet")):
+            return reader.parquet(at)
         reader = reader.option("pathGlobFilter", f"{table}.parquet")
     return reader.parquet(path)
 
